@@ -167,14 +167,14 @@ _BAR = "symbol, dt, open, high, low, close, volume"
 _ADJ = "adj_open, adj_high, adj_low, adj_close"
 
 _SUMS = ", ".join(
-    f"cast(sum(cast({c} as decimal(18,2))) as double) as {c}_sum"
+    f"cast(sum(cast(floor({c} * 100 + 0.5) as decimal(19,0))) as double) / 100 as {c}_sum"
     for c in ("open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close")
 )
 
 
 def _totals(table, where):
     sums = ", ".join(
-        f"cast(trunc(cast(sum(cast({c} as decimal(18,2))) as double)) as bigint) as {c}_sum"
+        f"cast(trunc(cast(sum(cast(floor({c} * 100 + 0.5) as decimal(19,0))) as double) / 100) as bigint) as {c}_sum"
         for c in ("open", "high", "low", "close")
     )
     return f"""select cast(year(dt) as integer) as year, count(*) as row_count, {sums},

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Month names in order.
+# Month and day names in order.
 MONTHS = [
     "January",
     "February",
@@ -20,23 +20,39 @@ MONTHS = [
 ]
 
 
+DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def _part(text: Column, first, length) -> Column:
+    return F.substring(text, first, length)
+
+
+def _name(names, position: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position)
+
+
 # ---- a date to text or numbers ---------------------------------------------------
+# Text forms are cut from one ISO rendering, which Spark computes once per row.
+
+
+def _iso(d: Column) -> Column:
+    return d.cast("string")
 
 
 def ddmmyy(d: Column) -> Column:
-    return F.date_format(d, "ddMMyy")
+    return F.concat(_part(_iso(d), 9, 2), _part(_iso(d), 6, 2), _part(_iso(d), 3, 2))
 
 
 def ddmmyyyy(d: Column) -> Column:
-    return F.date_format(d, "ddMMyyyy")
+    return F.concat(_part(_iso(d), 9, 2), _part(_iso(d), 6, 2), _part(_iso(d), 1, 4))
 
 
 def ddMMMyyyy(d: Column) -> Column:
-    return F.upper(F.date_format(d, "ddMMMyyyy"))
+    return F.concat(_part(_iso(d), 9, 2), MMM(d), _part(_iso(d), 1, 4))
 
 
 def yyyy(d: Column) -> Column:
-    return F.date_format(d, "yyyy")
+    return _part(_iso(d), 1, 4)
 
 
 def mm_int(d: Column) -> Column:
@@ -44,7 +60,7 @@ def mm_int(d: Column) -> Column:
 
 
 def MMM(d: Column) -> Column:
-    return F.upper(F.date_format(d, "MMM"))
+    return _name([m[:3].upper() for m in MONTHS], F.month(d))
 
 
 def weekday(d: Column) -> Column:
@@ -53,7 +69,7 @@ def weekday(d: Column) -> Column:
 
 
 def dayofweek(d: Column) -> Column:
-    return F.date_format(d, "EEEE")
+    return _name(DAYS, F.weekday(d) + 1)
 
 
 # ---- arithmetic ------------------------------------------------------------------
@@ -67,11 +83,11 @@ def relativedate(d: Column, years=0, months=0, days=0) -> Column:
 def setdate(d: Column, year=0, month=0, day=0) -> Column:
     """Replace the parts that are not 0; a date that does not exist is null."""
     parts = [
-        F.lit(f"{year:04d}") if year > 0 else F.date_format(d, "yyyy"),
-        F.lit(f"{month:02d}") if month > 0 else F.date_format(d, "MM"),
-        F.lit(f"{day:02d}") if day > 0 else F.date_format(d, "dd"),
+        F.lit(f"{year:04d}") if year > 0 else _part(_iso(d), 1, 4),
+        F.lit(f"{month:02d}") if month > 0 else _part(_iso(d), 6, 2),
+        F.lit(f"{day:02d}") if day > 0 else _part(_iso(d), 9, 2),
     ]
-    return F.try_to_date(F.concat(*parts), "yyyyMMdd")
+    return F.concat_ws("-", *parts).try_cast("date")
 
 
 def datediff(first: Column, second: Column = None) -> Column:
@@ -82,51 +98,47 @@ def datediff(first: Column, second: Column = None) -> Column:
 
 
 # ---- text to date, text to text --------------------------------------------------
+# Like the inputs they stand for, these only rearrange characters.
 
 
 def todate(text: Column) -> Column:
-    return F.try_to_date(text, "yyyyMMdd")
-
-
-def _reformat(text: Column, source, target) -> Column:
-    return F.date_format(F.try_to_date(text, source), target)
+    """`yyyymmdd` to a date; null where it is none."""
+    return yyyymmdd_to_yyyy_mm_dd(text).try_cast("date")
 
 
 def yyyy_mm_dd_to_yyyymmdd(text: Column) -> Column:
-    return _reformat(text, "yyyy-MM-dd", "yyyyMMdd")
+    return F.concat(_part(text, 1, 4), _part(text, 6, 2), _part(text, 9, 2))
 
 
 def yyyymmdd_to_yyyy_mm_dd(text: Column) -> Column:
-    return _reformat(text, "yyyyMMdd", "yyyy-MM-dd")
+    return F.concat_ws("-", _part(text, 1, 4), _part(text, 5, 2), _part(text, 7, 2))
 
 
 def mm_dd_yyyy_to_yyyy_mm_dd(text: Column, sep="-") -> Column:
     """Any one-character separators in the input; `sep` in the output."""
-    return F.concat_ws(sep, F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
+    return F.concat_ws(sep, _part(text, 7, 4), _part(text, 1, 2), _part(text, 4, 2))
 
 
 def ddmmyy_to_yyyy_mm_dd(text: Column) -> Column:
     """Two-digit years above 60 belong to the 1900s."""
-    century = F.when(F.substring(text, 5, 2) > "60", "19").otherwise("20")
-    return F.concat(
-        century, F.substring(text, 5, 2), F.lit("-"), F.substring(text, 3, 2), F.lit("-"), F.substring(text, 1, 2)
-    )
+    century = F.when(_part(text, 5, 2) > "60", "19").otherwise("20")
+    return F.concat_ws("-", F.concat(century, _part(text, 5, 2)), _part(text, 3, 2), _part(text, 1, 2))
 
 
 def ddMMMyyyy_to_yyyy_mm_dd(text: Column) -> Column:
-    return F.concat(F.substring(text, 6, 4), F.lit("-"), mm(F.substring(text, 3, 3)), F.lit("-"), F.substring(text, 1, 2))
+    return F.concat(_part(text, 6, 4), F.lit("-"), mm(_part(text, 3, 3)), F.lit("-"), _part(text, 1, 2))
 
 
 def dd_MMM_yyyy_to_yyyy_mm_dd(text: Column) -> Column:
-    return F.concat(F.substring(text, 8, 4), F.lit("-"), mm(F.substring(text, 4, 3)), F.lit("-"), F.substring(text, 1, 2))
+    return F.concat(_part(text, 8, 4), F.lit("-"), mm(_part(text, 4, 3)), F.lit("-"), _part(text, 1, 2))
 
 
 def ddmmyyyy_to_yyyy_mm_dd(text: Column) -> Column:
-    return _reformat(text, "ddMMyyyy", "yyyy-MM-dd")
+    return F.concat_ws("-", _part(text, 5, 4), _part(text, 3, 2), _part(text, 1, 2))
 
 
 def dd_mm_yyyy_to_yyyymmdd(text: Column) -> Column:
-    return F.concat(F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
+    return F.concat(_part(text, 7, 4), _part(text, 4, 2), _part(text, 1, 2))
 
 
 # ---- month names -----------------------------------------------------------------

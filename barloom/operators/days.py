@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..arguments import day
+from ..functions.dates import dayofweek
 
 # Day names.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]
@@ -15,7 +16,7 @@ def calendar(bounds: DataFrame, days=ALL_DAYS) -> DataFrame:
     """Every day of the wanted weekdays from `start_dt` to `end_dt` of each bounds row."""
     spans = bounds.where("start_dt <= end_dt")
     each = spans.select(F.explode(F.sequence("start_dt", "end_dt")).alias("dt"))
-    return each.where(F.date_format("dt", "EEEE").isin(list(days)))
+    return each.where(dayofweek(F.col("dt")).isin(list(days)))
 
 
 def missing_dates(present: DataFrame, end, days=ALL_DAYS) -> DataFrame:

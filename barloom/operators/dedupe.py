@@ -75,7 +75,14 @@ def duplicate_rows(df: DataFrame, keys=KEY, order=("seq",)) -> DataFrame:
 
 
 def split_duplicates(df: DataFrame, keys=KEY, order=("seq",)) -> Split:
-    return Split(first_rows(df, keys, order), duplicate_rows(df, keys, order), later_rows(df, keys, order))
+    """All three from one marking: a plan that uses several of them shuffles the rows once."""
+    marked = mark_copies(df, keys, order)
+    first, later = F.col("key_rows").isNotNull(), F.col("key_rows").isNull()
+    return Split(
+        marked.where(first).drop("key_rows"),
+        marked.where(later | (F.col("key_rows") > 1)).drop("key_rows"),
+        marked.where(later).drop("key_rows"),
+    )
 
 
 def append_first(stored: DataFrame, delta: DataFrame, keys=KEY, order=("seq",)) -> Appended:

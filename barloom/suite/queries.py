@@ -50,17 +50,20 @@ class Inputs:
         return dedupe.later_rows(spark_view(self.spark, self.sf_dir, view))
 
     def scores(self, view="bars_raw", from_date=None) -> DataFrame:
-        return repair.score_skipped(self.unique(view), self.skipped(view), from_date)
+        split = dedupe.split_duplicates(spark_view(self.spark, self.sf_dir, view))
+        return repair.score_skipped(split.unique, split.skipped, from_date)
+
+    def table(self, name, df) -> DataFrame:
+        """`df` as a stored table, which is how later operators find it."""
+        store = PriceStore(self.spark, work_path(self.spark, name))
+        df.write.parquet(store.path(name))
+        return self.spark.read.schema(df.schema).parquet(store.path(name))
 
     def replacements(self) -> DataFrame:
-        return repair.pick_replacements(repair.replaceable(self.scores()))
+        return self.table("bars_replace", repair.pick_replacements(repair.replaceable(self.scores())))
 
     def snapshots(self) -> DataFrame:
-        """The snapshots as a stored table, which is how flags and history find them."""
-        store = PriceStore(self.spark, work_path(self.spark, "snapshots"))
-        built = membership.index_snapshots(self.index_changes, self.index_current)
-        built.write.parquet(store.path("snapshots"))
-        return store.read("snapshots")
+        return self.table("snapshots", membership.index_snapshots(self.index_changes, self.index_current))
 
     def stored(self) -> DataFrame:
         return dedupe.first_rows(self.bars_raw.where(F.col("dt") < STORED_UNTIL))
@@ -218,7 +221,7 @@ def unverified(x):
 
 @query
 def replacements(x):
-    return x.replacements()
+    return repair.pick_replacements(repair.replaceable(x.scores()))
 
 
 # ---- symbols ---------------------------------------------------------------------

@@ -1,0 +1,101 @@
+import random
+
+from conftest import bar, bars, plan, rows
+from pyspark.sql import functions as F
+
+from barloom.operators import actions, symbols
+
+
+def mapping(spark, pairs):
+    return spark.createDataFrame([(o, n, i) for i, (o, n) in enumerate(pairs)], "old string, new string, pos int")
+
+
+def resolved(spark, pairs):
+    return dict((r.old, r.new) for r in symbols.resolve_map(mapping(spark, pairs)).collect())
+
+
+def stepwise(pairs, value):
+    latest = {}
+    for old, new in pairs:
+        latest[old] = new
+    for old, new in latest.items():
+        value = new if value == old else value
+    return value
+
+
+def test_forward_chain_resolves_backward_does_not(spark):
+    assert resolved(spark, [("A", "B"), ("B", "C")]) == {"A": "C", "B": "C"}
+    assert resolved(spark, [("B", "C"), ("A", "B")]) == {"A": "B", "B": "C"}
+
+
+def test_cycle_and_repeated_old_value(spark):
+    assert resolved(spark, [("A", "B"), ("B", "A")]) == {"A": "A", "B": "A"}
+    assert resolved(spark, [("A", "B"), ("B", "C"), ("A", "D")]) == {"A": "D", "B": "C"}
+
+
+def test_resolve_map_equals_applying_entries_in_turn(spark):
+    rng = random.Random(7)
+    for _ in range(4):
+        names = [f"N{i}" for i in range(12)]
+        pairs = [(rng.choice(names), rng.choice(names)) for _ in range(14)]
+        got = resolved(spark, pairs)
+        assert got == {old: stepwise(pairs, old) for old in got}
+
+
+def test_long_chain(spark):
+    pairs = [(f"N{i}", f"N{i + 1}") for i in range(100)]
+    assert set(resolved(spark, pairs).values()) == {"N100"}
+
+
+def test_map_with_a_second_column(spark):
+    m = spark.createDataFrame(
+        [("d1", "A", "B", 1), ("d1", "B", "C", 2), ("d2", "A", "B", 1)], "day string, old string, new string, pos int"
+    )
+    got = {(r.day, r.old): r.new for r in symbols.resolve_map(m, by=("day",)).collect()}
+    assert got == {("d1", "A"): "C", ("d1", "B"): "C", ("d2", "A"): "B"}
+
+
+def test_many_to_one_rename_is_a_broadcast_join(spark):
+    data = bars(spark, [bar("A", "2001-01-02", 1, seq=1), bar("B", "2001-01-03", 2, seq=2), bar("X", "2001-01-03", 3, seq=3)])
+    renames = spark.createDataFrame([("A", "C"), ("B", "C")], "old string, new string")
+    renamed = symbols.rename_symbols(data, renames)
+    assert rows(renamed, "symbol", "seq") == [("C", 1), ("C", 2), ("X", 3)]
+    path_free = plan(renamed)
+    assert "BroadcastHashJoin" in path_free or "SortMergeJoin" in path_free
+
+
+def test_replacement_beats_bar_and_losers_are_reported(spark):
+    stored = bars(
+        spark, [bar("OLD", "2001-01-02", 1, seq=1), bar("NEW", "2001-01-02", 2, seq=2), bar("NEW", "2001-01-03", 3, seq=3)]
+    )
+    replace = bars(spark, [bar("OLD", "2001-01-02", 9, seq=8)])
+    renames = spark.createDataFrame([("OLD", "NEW")], "old string, new string")
+    built = symbols.build_modified(stored, replace, renames)
+    assert rows(built.rows, "symbol", "dt", "open") == [("NEW", "2001-01-02", 9.0), ("NEW", "2001-01-03", 3.0)]
+    assert rows(built.losers, "symbol", "open") == [("NEW", 1.0), ("NEW", 2.0)]
+    assert built.rows.where("adj_open is not null").count() == 0
+
+
+def test_append_modified_order_is_stored_replacement_new(spark):
+    stored = actions.without_adjustment(bars(spark, [bar("A", "2001-01-02", 1)], seq=False))
+    stored = stored.withColumn("adj_open", F.lit(7.0))
+    new = bars(spark, [bar("A", "2001-01-02", 2, seq=1), bar("A", "2001-01-03", 3, seq=2), bar("A", "2001-01-04", 4, seq=3)])
+    replace = bars(spark, [bar("A", "2001-01-02", 8, seq=4), bar("A", "2001-01-03", 9, seq=5)])
+    none = spark.createDataFrame([], "old string, new string")
+    result = symbols.append_modified(stored, new, replace, none)
+    assert rows(result.rows, "dt", "open", "adj_open") == [
+        ("2001-01-02", 1.0, 7.0),
+        ("2001-01-03", 9.0, None),
+        ("2001-01-04", 4.0, None),
+    ]
+    assert rows(result.skipped, "open") == [(2.0,), (3.0,), (8.0,)]
+
+
+def test_rename_stored_reports_collisions_and_repeats_safely(spark):
+    stored = bars(spark, [bar("OLD", "2001-01-02", 1), bar("NEW", "2001-01-02", 2), bar("OLD", "2001-01-03", 3)], seq=False)
+    renames = spark.createDataFrame([("OLD", "NEW")], "old string, new string")
+    once = symbols.rename_stored(stored, renames)
+    assert rows(once.rows, "symbol", "dt", "open") == [("NEW", "2001-01-02", 2.0), ("NEW", "2001-01-03", 3.0)]
+    assert rows(once.losers, "symbol", "old_symbol", "open") == [("NEW", "OLD", 1.0)]
+    twice = symbols.rename_stored(once.rows, renames)
+    assert rows(twice.rows) == rows(once.rows) and twice.losers.count() == 0

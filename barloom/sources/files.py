@@ -119,7 +119,15 @@ def read_scrip_map(spark, path) -> DataFrame:
 
 
 def read_manual_fixes(spark, path) -> DataFrame:
-    return _csv(spark, path, S.MANUAL_FIX, encoding="windows-1252")
+    """The file is in the Windows code page, which Spark's CSV reader does not list.
+
+    It equals Latin-1 but for the bytes 0x80 to 0x9f, which are translated after reading.
+    """
+    special = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    special = [(latin, windows) for latin, windows in special if windows]
+    latin, windows = ("".join(side) for side in zip(*special))
+    raw = _csv(spark, path, S.MANUAL_FIX, encoding="iso-8859-1")
+    return raw.withColumns({c: F.translate(c, latin, windows) for c in ("symbol", "correct_symbol")})
 
 
 def read_index_current(spark, path) -> DataFrame:

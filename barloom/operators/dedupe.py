@@ -88,16 +88,17 @@ def split_duplicates(df: DataFrame, keys=KEY, order=("seq",)) -> Split:
 def append_first(stored: DataFrame, delta: DataFrame, keys=KEY, order=("seq",)) -> Appended:
     """Add delta rows whose key is not stored; within the delta the first row wins.
 
-    Only the key columns of `stored` are shuffled, and only `fresh` needs writing.
+    `stored` is only cut down to the delta's keys, without a shuffle while those are few;
+    only `fresh` needs writing.
     """
+    repeated_stored = match(stored, delta.select(*keys).distinct(), keys, "left_semi")
     firsts = mark_copies(delta, keys, order).where(F.col("key_rows").isNotNull())
-    fresh_counted = match(firsts, stored, keys, "left_anti")
+    fresh_counted = match(firsts, repeated_stored, keys, "left_anti")
     fresh = fresh_counted.drop("key_rows")
     # Joins on key and order value: rows of a hot key spread over partitions.
     spread = [*keys, *order]
     skipped = match(delta, fresh, spread, "left_anti")
     repeated = match(delta, fresh_counted.where("key_rows = 1"), spread, "left_anti")
-    repeated_stored = match(stored, delta.select(*keys).distinct(), keys, "left_semi")
     duplicates = repeated_stored.unionByName(repeated, allowMissingColumns=True)
     return Appended(stored.unionByName(fresh, allowMissingColumns=True), fresh, duplicates, skipped)
 

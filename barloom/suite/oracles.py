@@ -275,9 +275,10 @@ ORACLES = {
                case when s.symbol is null then 'insert' when n.max_dt > s.end_dt then 'extend' else 'keep' end as action
         from stored_ranges s full join new_ranges n using (symbol, source)""",
     "range_anomalies": """
-        select symbol, source, min_dt, max_dt, start_dt, end_dt, min_dt <= start_dt as starts_early,
-               max_dt <= end_dt as ends_inside
-        from stored_ranges join new_ranges using (symbol, source) where min_dt <= start_dt or max_dt <= end_dt""",
+        select symbol, source, s.start_dt as min_dt, s.end_dt as max_dt, n.min_dt as start_dt, n.max_dt as end_dt,
+               s.start_dt <= n.min_dt as starts_early, s.end_dt <= n.max_dt as ends_inside
+        from stored_ranges s join new_ranges n using (symbol, source)
+        where s.start_dt <= n.min_dt or s.end_dt <= n.max_dt""",
     "delta_gate": """
         select max(end_dt) as last_dt, date '2000-01-01' as delta_dt, max(end_dt) < date '2000-01-01' as ok
         from stored_ranges""",

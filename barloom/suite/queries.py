@@ -278,7 +278,8 @@ def range_delta(x):
 
 @query
 def range_anomalies(x):
-    return ranges.range_anomalies(x.new_ranges(), x.ranges())
+    """The older bars delivered again, against the ranges of the later ones."""
+    return ranges.range_anomalies(x.ranges(), x.new_ranges())
 
 
 @query

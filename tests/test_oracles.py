@@ -41,29 +41,27 @@ def test_view(spark, duck, name):
     assert sorted_rows(df.columns, df.collect()) == sorted_rows(columns, result.fetchall())
 
 
+def check_plan(shown):
+    """No cross join, no Python, no window over all rows in one task."""
+    for bad in ("CartesianProduct", "Python", "ArrowEval"):
+        assert bad not in shown
+    # `index_current` crosses suppliers with five names: the input, not an operator.
+    assert "BroadcastNestedLoopJoin" not in shown or "s_suppkey" in shown
+    lines = shown.splitlines()
+    for n, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert not any(" Window " in above for above in lines[max(0, n - 2) : n])
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     result = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
+    check_plan(plan(df))
     assert sorted_rows(df.columns, df.collect()) == sorted_rows(columns, result.fetchall())
 
 
-# These write tables or run jobs while the plan is built.
-LAZY = sorted(set(QUERIES) - {"ingest_stream"})
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_cross_joins_no_single_task_windows_no_python(spark, name):
-    shown = plan(QUERIES[name](spark, SF))
-    for bad in ("CartesianProduct", "Python", "BatchEval", "ArrowEval"):
-        assert bad not in shown
-    # `index_current` crosses suppliers with five names; that is the input, not an operator.
-    if "BroadcastNestedLoopJoin" in shown:
-        assert "s_suppkey" in shown
-    assert "Window [" not in shown or "Exchange SinglePartition" not in shown or "HashAggregate" in shown
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() == 5334

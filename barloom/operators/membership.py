@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..arguments import day
-from ..schemas import INDEX_RENAMES, KEY, MOD_SOURCE
+from ..schemas import DEFAULT_INDICES, INDEX_RENAMES, KEY, MOD_SOURCE
 from .symbols import rename_symbols, replace_values
 
 MEMBER = ["index_name", "symbol"]
@@ -193,14 +193,16 @@ def flag_bars(bars: DataFrame, snapshots: DataFrame, indices, names=None) -> Dat
     return flagged.select(*bars.columns, *[flags[name].alias(name) for name in names])
 
 
-def membership_flags(bars_mod: DataFrame, snapshots: DataFrame, indices, from_year) -> DataFrame:
+def membership_flags(bars_mod: DataFrame, snapshots: DataFrame, indices=None, from_year=1995) -> DataFrame:
+    indices = DEFAULT_INDICES if indices is None else indices
     start = F.make_date(F.lit(int(from_year)), F.lit(1), F.lit(1))
     bars = bars_mod.where(F.col("dt") >= start).select(*KEY)
     return flag_bars(bars, snapshots_from(snapshots, from_year, indices), indices)
 
 
-def current_flags(bars_mod: DataFrame, current: DataFrame, indices, from_date) -> DataFrame:
+def current_flags(bars_mod: DataFrame, current: DataFrame, indices=None, from_date="1900-01-01") -> DataFrame:
     """0/1 per index by the current components, for bars from a date on."""
+    indices = DEFAULT_INDICES if indices is None else indices
     bars = bars_mod.where(F.col("dt") >= day(from_date)).select(*KEY)
     held = current.where(F.col("index_name").isin(list(indices)))
     held = held.groupBy("symbol").agg(
@@ -260,12 +262,13 @@ def membership_recon(changes: DataFrame, current: DataFrame) -> DataFrame:
     return both.select(*MEMBER, side.alias("side"))
 
 
-def flags_recon(flags: DataFrame, snapshots: DataFrame, indices) -> DataFrame:
+def flags_recon(flags: DataFrame, snapshots: DataFrame, indices=None) -> DataFrame:
     """Per snapshot interval and calendar year: members without a flagged bar, and the reverse.
 
     The last interval runs to the last year of the flags. Flagged bars before the first
     snapshot are compared with an empty membership dated 1900-01-01.
     """
+    indices = DEFAULT_INDICES if indices is None else indices
     snapshots = snapshots.where(F.col("index_name").isin(list(indices)))
     dates = _ranked_dates(snapshots).select("index_name", "dt", "next_dt")
     last_day = flags.agg(F.max("dt").alias("dt")).scalar()

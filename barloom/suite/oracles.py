@@ -160,6 +160,23 @@ STEPS["modified"] = """
             from (select *, 0 as prio from picked union all select *, 1 as prio from kept) b
             left join renames r on r.old = b.symbol)"""
 
+# The whole run: actions cleaned by the ranges of all bars, then modified bars adjusted.
+STEPS["run_actions"] = """
+        select symbol, dt, product(multiplier) over (
+            partition by symbol order by dt rows between unbounded preceding and current row) as cum_multiplier
+        from (select *, row_number() over (partition by symbol, dt order by seq) as n from (
+            select coalesce(r.new, m.symbol) as symbol, m.dt, m.multiplier, m.seq
+            from multipliers_raw m left join renames r on r.old = m.symbol) c
+            where c.dt >= coalesce((select min(dt) from modified g where g.symbol = c.symbol),
+                                   (select min(dt) from kept k where k.symbol = c.symbol)))
+        where n = 1"""
+STEPS["run_result"] = """
+        select b.symbol, b.dt, b.open, b.high, b.low, b.close, b.volume,
+               b.open * m.cum_multiplier as adj_open, b.high * m.cum_multiplier as adj_high,
+               b.low * m.cum_multiplier as adj_low, b.close * m.cum_multiplier as adj_close
+        from (select * from modified where n = 1) b
+        asof left join run_actions m on b.symbol = m.symbol and b.dt >= m.dt"""
+
 _NULL_ADJUSTED = ", ".join(
     f"cast(null as double) as adj_{p}" for p in ("open", "high", "low", "close")
 )
@@ -204,6 +221,9 @@ ORACLES = {
         union all
         select {_BAR}, 'bars_late' from landed
         where file_day >= date '1999-11-01' and file_day <= (select max(dt) from kept where dt < date '2000-01-01')""",
+    "full_load": "select * from run_result",
+    "delta_run": """
+        select symbol, dt, open, high, low, close, volume, adj_open, adj_high, adj_low, adj_close from run_result""",
     "rewrite_year": """
         select symbol, dt, open, high, low, case when year(dt) = 1998 then close / 2 else close end as close, volume
         from kept""",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..operators import actions, days, dedupe, history, membership, ranges, repair, reports, symbols
+from ..plans import runs
 from ..plans.store import PriceStore
 from ..schemas import ADJUSTED, BAR, KEY
 from ..session import tune, work_path
@@ -136,6 +137,36 @@ def ingest_stream(x):
     return marked[0].unionByName(marked[1]).unionByName(marked[2])
 
 
+def _file_multipliers(x):
+    """Actions as read from a file: the position is file, block and row."""
+    place = F.struct(
+        F.lit(None).cast("date").alias("day"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
+        F.col("seq").alias("row"),
+    )
+    return x.multipliers_raw.withColumn("seq", place)
+
+
+@query
+def full_load(x):
+    """Text files to adjusted bars through every stored table."""
+    store = PriceStore(x.spark, work_path(x.spark, "full"))
+    runs.full_load(store, _landed(x), x.renames, _file_multipliers(x))
+    return store.read("bars_mod").select(*BAR, *ADJUSTED)
+
+
+@query
+def delta_run(x):
+    """The years up to 1999 loaded in full, the rest added by a delta run."""
+    store = PriceStore(x.spark, work_path(x.spark, "delta"))
+    files = work_path(x.spark, "landing")
+    raw, new = x.bars_raw, F.col("dt") >= DELTA
+    exports.write_bar_files(raw.where(~new), f"{files}/old", _month())
+    exports.write_bar_files(raw.where(new), f"{files}/new", _month())
+    runs.full_load(store, f"{files}/old", x.renames, _file_multipliers(x))
+    runs.delta_run(store, files, DELTA, x.renames, _file_multipliers(x))
+    return store.read("bars_mod").select(*BAR, *ADJUSTED)
+
+
 @query
 def rewrite_year(x):
     """One stored year replaced by halved prices, read back with the untouched years."""

@@ -157,3 +157,48 @@ def test_repeated_batch_changes_nothing(spark, folder):
         ingest_batch(store, batch, "stream-0")
     assert rows(store.read("bars"), "open") == [(1.0,)]
     assert rows(store.read("bars_skipped"), "open") == [(2.0,)]
+
+
+def test_serving_from_the_store(spark, folder):
+    import os
+
+    from barloom.plans import serve
+
+    feed(spark, folder)
+    renames, multipliers = inputs(spark, folder)
+    store = PriceStore(spark, f"{folder}/store")
+    runs.full_load(store, f"{folder}/files", renames, multipliers)
+    snapshots = spark.createDataFrame(
+        [("Nifty 50", "A", day("2000-12-10")), ("Nifty 50", "B", day("2001-01-10"))],
+        "index_name string, symbol string, dt date",
+    )
+    snapshots.write.parquet(store.path("snapshots"))
+
+    one = serve.symbol_history(store, "A", "20001210", "20010120", "20001201", "Nifty 50")
+    by_flag = {f: n for f, n in rows(one.groupBy("idxflag").count())}
+    assert by_flag == {1: 31, 0: 20}
+    assert rows(one.where("split <> 0"), "date", "split") == [("2000-12-15", 0.5), ("2001-01-15", 4.0)]
+    members = serve.index_history(store, "Nifty 50", "20001210", "20010109")
+    assert rows(members.select("symbol").distinct()) == [("A",)]
+    assert serve.split_history(store, "NEW").count() == 1
+    changed, dates = serve.index_change_history(store, "Nifty 50")
+    assert changed.count() == 2 and dates.count() == 2
+
+    raw, mod, diff = serve.table_report(store)
+    assert rows(raw, "year") == rows(mod, "year") == [(2000,), (2001,)]
+    assert diff.where("metric = 'row_count'").count() == 0
+    flags = serve.membership_flags(store)
+    assert len(flags.columns) == 2 + 14
+    assert serve.flags_recon(store, flags).count() == 0
+
+    serve.export_prices(store, f"{folder}/out")
+    serve.export_prices(store, f"{folder}/out_delta", "20010101", delta=True)
+    serve.export_membership(store, f"{folder}/flags", "Nifty 50", "20001201")
+    assert os.path.isdir(f"{folder}/out/adjusted/year=2000") and os.path.isdir(f"{folder}/out_delta/raw/20010101")
+    back = spark.read.option("header", True).csv(f"{folder}/flags")
+    assert set(back.where("symbol = 'A.N50'").select("Nifty 50").toPandas()["Nifty 50"]) == {"0", "1"}
+    current = spark.createDataFrame([("Nifty 50", "B")], "index_name string, symbol string")
+    serve.export_membership(store, f"{folder}/flags_delta", "Nifty 50", "20010110", current)
+    with pytest.raises(ValueError):
+        serve.export_membership(store, f"{folder}/flags_delta", "Nifty 50", "20010109", current)
+    assert serve.last_stored_day(store) == day("2001-01-29")

@@ -29,16 +29,19 @@ def full_load(store: PriceStore, files, renames, multipliers=None, start_year=No
     # Parsed once; everything after reads columns of the staged copy.
     raw = read_bar_files(store.spark, files, start_year=start_year).select(*_STORED)
     raw = store.stage_once(raw, "raw", batch)
-    marked = store.stage_once(dedupe.mark_copies(raw), "marked", batch)
-    unique = marked.where("key_rows is not null").drop("key_rows")
-    skipped = marked.where("key_rows is null").drop("key_rows")
-    duplicates = marked.where("key_rows is null or key_rows > 1").drop("key_rows")
+    # One folder per kind, so the few repeated rows are found without reading the rest.
+    kind = F.when(F.col("key_rows").isNull(), "later").when(F.col("key_rows") > 1, "first").otherwise("lone")
+    marked = dedupe.mark_copies(raw).select(*_STORED, kind.alias("kind"))
+    marked = store.stage_once(marked, "marked", batch, ["kind"])
+    unique = marked.where("kind in ('lone', 'first')").drop("kind")
+    skipped = marked.where("kind = 'later'").drop("kind")
+    duplicates = marked.where("kind in ('first', 'later')").drop("kind")
     sink.write_bars_table(unique, store.path("bars"))
     sink.write_batch(skipped, store.path("bars_skipped"), batch)
     sink.write_batch(duplicates, store.path("bars_duplicates"), batch)
 
     bars = store.read("bars").drop("year")
-    replace = _repair(store, bars, store.read("bars_skipped").drop("batch"), batch)
+    replace = _repair(store, bars, batch)
     modified = symbols.build_modified(bars, replace, renames)
     rows = store.stage_once(modified.rows, "modified", batch)
     sink.write_batch(modified.losers.select(*BAR), store.path("modified_losers"), batch)
@@ -48,7 +51,13 @@ def full_load(store: PriceStore, files, renames, multipliers=None, start_year=No
     sink.write_bars_table(actions.adjust_prices(rows, store.read("multipliers")), store.path("bars_mod"))
 
 
-def _repair(store, bars, skipped, batch, from_day=None) -> DataFrame:
+def _repair(store, bars, batch, from_day=None) -> DataFrame:
+    """Replacements for the bars of this run, from the rows it rejected.
+
+    Rows rejected by earlier runs have dates before the delta date, so only this run's
+    folder is read.
+    """
+    skipped = store.read("bars_skipped").where(F.col("batch") == batch).drop("batch")
     scores = store.stage_once(repair.score_skipped(bars, skipped, from_day), "scores", batch)
     sink.write_batch(repair.unverified(scores).select(*_STORED), store.path("bars_unverified"), batch)
     picked = repair.pick_replacements(repair.replaceable(scores))
@@ -91,7 +100,7 @@ def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None) -
     sink.write_batch(duplicates, store.path("bars_duplicates"), batch)
 
     bars = _in_years(store.read("bars"), years)
-    replace = _repair(store, bars, store.read("bars_skipped").drop("batch"), batch, delta_date)
+    replace = _repair(store, bars, batch, delta_date)
     stored_mod = _in_years(store.read("bars_mod"), years)
     new_bars = from_date(bars, delta_date)
     modified = symbols.append_modified(stored_mod, new_bars, replace, renames)

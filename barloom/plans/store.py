@@ -54,14 +54,14 @@ class PriceStore:
             return self.spark.createDataFrame([], SCHEMAS[table])
         return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
 
-    def stage_once(self, df: DataFrame, label, batch) -> DataFrame:
+    def stage_once(self, df: DataFrame, label, batch, partition_by=()) -> DataFrame:
         """Write a step's result under the run's name; a repeated run reads what it wrote before.
 
         Later steps then see the same rows even if the tables have changed in between.
         """
         path = self.path(f"_staged/{label}-{batch}")
         if not self.exists(f"{path}/_SUCCESS"):
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def exists(self, path) -> bool:

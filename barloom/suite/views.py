@@ -5,6 +5,10 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Stand-ins for index names and their export codes.
+INDICES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+CODES = {"1-URGENT": "URG", "2-HIGH": "HIGH", "3-MEDIUM": "MED", "4-NOT SPECIFIED": "NSP", "5-LOW": "LOW"}
+
 VIEWS = {
     # Supplier as symbol, ship date as bar date; has natural duplicate keys.
     "bars_raw": """
@@ -43,10 +47,12 @@ select o_orderpriority as index_name, concat('S', cast(o_custkey % 100 as string
        case when o_orderstatus = 'F' then 'I' else 'E' end as change_type,
        min(o_orderkey) as seq
 from {orders} where o_orderkey % 50 = 0 and o_orderstatus in ('F', 'O') group by 1, 2, 3, 4""",
-    "index_current": """
-select p as index_name, concat('S', cast(s_suppkey as string)) as symbol
-from {supplier} cross join (select distinct o_orderpriority as p from {orders}) z
-where (s_suppkey + length(p)) % 3 = 0""",
+    "index_current": " union all ".join(
+        f"""
+select '{name}' as index_name, concat('S', cast(s_suppkey as string)) as symbol
+from {{supplier}} where (s_suppkey + {len(name)}) % 3 = 0"""
+        for name in INDICES
+    ),
     # Raw feed: scrip names, text change types, dd-mm-yyyy text dates.
     "index_feed": """
 select o_orderpriority as index_name,
@@ -72,11 +78,6 @@ select concat('S', cast(s_suppkey as string)) as symbol from {supplier} where s_
 
 TABLES = ["lineitem", "orders", "supplier"]
 
-# Stand-ins for index names and their export codes.
-INDICES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-CODES = {"1-URGENT": "URG", "2-HIGH": "HIGH", "3-MEDIUM": "MED", "4-NOT SPECIFIED": "NSP", "5-LOW": "LOW"}
-
-
 def spark_view(spark: SparkSession, sf_dir, name) -> DataFrame:
     text = VIEWS[name]
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}

@@ -78,17 +78,24 @@ def load_multipliers(store: PriceStore, multipliers, renames, append=False, curr
 
 
 def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None) -> None:
-    """Add the files from `delta_date` on. Only new rows are written to the bar tables.
-
-    All bars from the delta date on are new (the gate), so the modified rows are adjusted
-    before they are appended and no stored year is rewritten.
-    """
+    """Add the files from `delta_date` on, which must come after everything stored."""
     batch = f"{as_day(delta_date):%Y%m%d}"
-    stored_ranges = store.read("symbol_range")
-    ranges.require_delta_after(stored_ranges, delta_date)
-
+    known = store.read("symbol_range")
+    if known.isEmpty():
+        # A run that broke off while replacing the ranges left their copy behind.
+        known = store.stage_once(known, "ranges_before", batch)
+    ranges.require_delta_after(known, delta_date)
     raw = read_bar_files(store.spark, files, start_date=delta_date).select(*_STORED)
-    raw = store.stage_once(raw, "raw", batch)
+    take_in(store, store.stage_once(raw, "raw", batch), batch, delta_date, renames, multipliers)
+
+
+def take_in(store: PriceStore, raw: DataFrame, batch, from_day, renames, multipliers=None) -> None:
+    """Carry new raw rows through every table; only new rows are written to the bar tables.
+
+    No modified row from `from_day` on is stored yet, so the new ones are adjusted before
+    they are appended and no stored year is rewritten.
+    """
+    stored_ranges = store.stage_once(store.read("symbol_range"), "ranges_before", batch)
     years = sink.years_of(raw)
     stored = _in_years(store.read("bars"), years)
     appended = dedupe.append_first(stored, raw)
@@ -100,9 +107,9 @@ def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None) -
     sink.write_batch(duplicates, store.path("bars_duplicates"), batch)
 
     bars = _in_years(store.read("bars"), years)
-    replace = _repair(store, bars, batch, delta_date)
+    replace = _repair(store, bars, batch, from_day)
     stored_mod = _in_years(store.read("bars_mod"), years)
-    new_bars = from_date(bars, delta_date)
+    new_bars = from_date(bars, from_day)
     modified = symbols.append_modified(stored_mod, new_bars, replace, renames)
     fresh_mod = store.stage_once(modified.fresh, "modified", batch)
     losers = store.stage_once(modified.skipped.select(*BAR), "losers", batch)
@@ -116,7 +123,7 @@ def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None) -
     sink.write_batch(anomalies, store.path("range_anomalies"), batch)
     if multipliers is not None:
         load_multipliers(store, multipliers, renames, current_ranges=updated)
-    adjusted = actions.adjust_prices(fresh_mod, store.read("multipliers"), delta_date)
+    adjusted = actions.adjust_prices(fresh_mod, store.read("multipliers"), from_day)
     sink.append_new_keys(adjusted, stored_mod, store.path("bars_mod"))
     # Last: from here on the gate refuses this date.
     sink.replace_table(updated, store.path("symbol_range"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..session import no_rows
 
 
 def _plus(schema, **fields):
@@ -51,7 +52,7 @@ class PriceStore:
     def read(self, table) -> DataFrame:
         """The table, or no rows while it has not been written."""
         if not self.exists(self.path(table)):
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            return no_rows(self.spark, SCHEMAS[table])
         return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
 
     def stage_once(self, df: DataFrame, label, batch, partition_by=()) -> DataFrame:

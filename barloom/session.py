@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,3 +53,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan; no job is run."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def no_rows(spark: SparkSession, schema) -> DataFrame:
+    """An empty frame that Catalyst knows to be empty, so joins with it fall away."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -219,6 +219,11 @@ ORACLES = {
         union all
         select {_BAR}, 'bars_skipped' from rejected where dt >= date '2000-01-01'
         union all
+        select {_BAR}, 'bars_mod' from (
+            select *, row_number() over (partition by symbol, dt order by prio, seq) as n
+            from (select *, 0 as prio from picked union all select *, 1 as prio from kept)
+            where dt >= date '2000-01-01') where n = 1
+        union all
         select {_BAR}, 'bars_late' from landed
         where file_day >= date '1999-11-01' and file_day <= (select max(dt) from kept where dt < date '2000-01-01')""",
     "full_load": "select * from run_result",

@@ -1,5 +1,7 @@
 """Every operator as a query over the given tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,11 +132,11 @@ def ingest_stream(x):
     )
     sink.write_bars_table(loaded, store.path("bars"))
     start_ingest(store, files, start_date="1999-11-01").awaitTermination()
-    marked = [
+    tables = [
         store.read(table).select(*BAR, F.lit(table).alias("went_to"))
-        for table in ("bars", "bars_skipped", "bars_late")
+        for table in ("bars", "bars_skipped", "bars_late", "bars_mod")
     ]
-    return marked[0].unionByName(marked[1]).unionByName(marked[2])
+    return reduce(DataFrame.unionByName, tables)
 
 
 def _file_multipliers(x):

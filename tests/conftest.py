@@ -8,7 +8,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from barloom import schemas as S  # noqa: E402
 from barloom.session import tune  # noqa: E402
 
 BAR_DDL = "symbol string, dt date, open double, high double, low double, close double, volume bigint"
@@ -60,4 +59,4 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-__all__ = ["S", "bar", "bars", "day", "plan", "rows"]
+__all__ = ["bar", "bars", "day", "plan", "rows"]

@@ -139,6 +139,7 @@ def test_stream_takes_each_file_once_and_sets_late_files_aside(spark, folder):
     start_ingest(store, landing).awaitTermination()
     assert rows(store.read("bars"), "symbol", "open") == [("A", 1.0)]
     assert rows(store.read("bars_skipped"), "open") == [(2.0,)]
+    assert rows(store.read("bars_mod"), "open") == [(1.0,)]
 
     write(landing, "2001-01-03.txt", "A,20010103,3,3,3,3,3", "A,20010102,4,4,4,4,4")
     write(landing, "2001-01-01.txt", "A,20010101,5,5,5,5,5")
@@ -147,6 +148,11 @@ def test_stream_takes_each_file_once_and_sets_late_files_aside(spark, folder):
     assert rows(store.read("bars"), "dt", "open") == [("2001-01-02", 1.0), ("2001-01-03", 3.0)]
     assert rows(store.read("bars_skipped"), "open") == [(2.0,), (4.0,)]
     assert rows(store.read("bars_late"), "open") == [(5.0,)]
+    assert rows(store.read("bars_mod"), "dt", "open") == [("2001-01-02", 1.0), ("2001-01-03", 3.0)]
+    assert rows(store.read("symbol_range")) == [
+        ("A", "Dump", "2001-01-02", "2001-01-03"),
+        ("A", "ModDump", "2001-01-02", "2001-01-03"),
+    ]
 
 
 def test_repeated_batch_changes_nothing(spark, folder):
@@ -157,6 +163,7 @@ def test_repeated_batch_changes_nothing(spark, folder):
         ingest_batch(store, batch, "stream-0")
     assert rows(store.read("bars"), "open") == [(1.0,)]
     assert rows(store.read("bars_skipped"), "open") == [(2.0,)]
+    assert rows(store.read("bars_mod"), "open") == [(1.0,)]
 
 
 def test_serving_from_the_store(spark, folder):

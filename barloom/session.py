@@ -1,6 +1,5 @@
 """Session settings the operators rely on, and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_root = None
-
-
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
@@ -26,16 +22,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the cluster in spark.checkpoint.dir."""
-    global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="barloom-")
-    return _local_root
+    """Folder every executor can reach: spark.checkpoint.dir, or the warehouse where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,20 +54,34 @@ def mix(h):
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(texts, lower=True):
-    """(hash of each word, first word of each text plus the end) of a string array; null is no text."""
+def word_codes(texts, lower=True):
+    """(code of each word, first word of each text plus the end, distinct words); null is no text.
+
+    Words are those of WORD, with A-Z lower-cased.
+    """
     texts = pc.fill_null(texts, "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     offsets = lists.offsets.to_numpy().astype(np.int64)
     flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
-    codes = flat.dictionary_encode()
-    words = codes.dictionary.to_pylist()
-    of = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
-    codes = codes.indices.to_numpy(zero_copy_only=False)
-    hashes = of[codes] if len(of) else np.zeros(0, np.uint64)
-    full = np.array([w != "" for w in words], dtype=bool)[codes] if len(of) else np.zeros(0, bool)
+    encoded = flat.dictionary_encode()
+    words = encoded.dictionary.to_pylist()
+    codes = encoded.indices.to_numpy(zero_copy_only=False)
+    if "" not in words:
+        return codes, offsets - offsets[0], words
+    # Leading and trailing white space leaves empty pieces.
+    full = codes != words.index("")
     ends = np.concatenate([[0], np.cumsum(full)])
-    return hashes[full], ends[offsets - offsets[0]]
+    return codes[full], ends[offsets - offsets[0]], words
+
+
+def hashes_of(words):
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+
+
+def word_hashes(texts, lower=True):
+    """(hash of each word, first word of each text plus the end) of a string array."""
+    codes, starts, words = word_codes(texts, lower)
+    return (hashes_of(words)[codes] if words else np.zeros(0, np.uint64)), starts
 
 
 def shingle_sets(texts, width=SHINGLE):
@@ -92,5 +107,14 @@ def shingle_sets(texts, width=SHINGLE):
     return sets
 
 
+def storage(uri: str):
+    """(file system, path) of a folder of the shared store, usable inside tasks."""
+    if "://" not in uri and not uri.startswith("file:"):
+        uri = "file://" + uri
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:") :]
+    return pafs.FileSystem.from_uri(uri)
+
+
 def column(batch: pa.RecordBatch, name: str):
     return batch.column(batch.schema.get_field_index(name))

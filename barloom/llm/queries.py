@@ -6,7 +6,25 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .lines import clean_lines
+from .packing import pack
 from .secrets import find_secrets
+from .toxicity import fit_toxicity, score_toxicity
+from .warc import read_archives, write_archives
+from .wavelet import read_shards, write_shards
+
+
+def tokenizer(name):
+    """The file of a public tokenizer; every machine of the cluster has the package that knows it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_wavelet_shards(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return read_shards(write_shards(docs, tokenizer("word_bpe_49k.json"), end_id=2)).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
 
 
 def op2_line_cleaning(spark, sf_dir):
@@ -27,6 +45,40 @@ def op2_line_cleaning(spark, sf_dir):
     )
 
 
+def op3_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, tokenizer("byte_bpe_50k.json"), window=2048, end_id=1).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op4_toxicity(spark, sf_dir):
+    def held_out():
+        return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return score_toxicity(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        "toxic",
+    )
+
+
+def op7_warc(spark, sf_dir):
+    return read_archives(write_archives(table(spark, sf_dir, "pages"), min_bytes=0)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_secret_scan(spark, sf_dir):
     return find_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -40,7 +92,11 @@ def op8_secret_scan(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_wavelet_shards": op1_wavelet_shards,
     "op2_line_cleaning": op2_line_cleaning,
+    "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op7_warc": op7_warc,
     "op8_secret_scan": op8_secret_scan,
 }
 ORACLES = {}

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .chunks import repeated_passages
 from .common import table
+from .contamination import contained_items
 from .lines import clean_lines
 from .packing import pack
+from .resampling import resample
 from .secrets import find_secrets
 from .toxicity import fit_toxicity, score_toxicity
 from .warc import read_archives, write_archives
@@ -73,6 +76,10 @@ def op4_toxicity(spark, sf_dir):
     )
 
 
+def op6_decontamination(spark, sf_dir):
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_warc(spark, sf_dir):
     return read_archives(write_archives(table(spark, sf_dir, "pages"), min_bytes=0)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -91,12 +98,25 @@ def op8_secret_scan(spark, sf_dir):
     )
 
 
+def op9_repeated_passages(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op10_resampling(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "log_weight", "sample_key", F.lit(True).alias("kept")
+    )
+
+
 QUERIES = {
     "op1_wavelet_shards": op1_wavelet_shards,
     "op2_line_cleaning": op2_line_cleaning,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_secret_scan": op8_secret_scan,
+    "op9_repeated_passages": op9_repeated_passages,
+    "op10_resampling": op10_resampling,
 }
 ORACLES = {}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .chunks import repeated_passages
 from .common import table
 from .contamination import contained_items
+from .jaccard import jaccard_components
 from .lines import clean_lines
 from .packing import pack
 from .resampling import resample
@@ -76,6 +77,10 @@ def op4_toxicity(spark, sf_dir):
     )
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark, sf_dir):
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -113,6 +118,7 @@ QUERIES = {
     "op2_line_cleaning": op2_line_cleaning,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_secret_scan": op8_secret_scan,

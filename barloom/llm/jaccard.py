@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path
@@ -452,14 +452,55 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     never the smallest; where all are null, component_id is null. Extra columns are ignored; an
     empty table gives no rows.
     """
+    placed, empty = _placed(docs)
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = save(least, work_path(docs.sparkSession, "jaccard-least"))
+    return (
+        placed.join(least, "root")
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        .unionByName(
+            empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+        )
+    )
+
+
+def _placed(docs):
+    """(doc_id, node, n, root) of the rows with shingles, and (doc_id, node, n) of those without."""
     root = work_path(docs.sparkSession, "jaccard-components")
     rows, links = find_links(docs)
     top = save(components(links), f"{root}/components")
     placed = rows.where("n > 0").join(top, "node", "left")
-    placed = save(placed.select("doc_id", "n", F.coalesce("root", "node").alias("root")), f"{root}/placed")
-    least = save(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), f"{root}/least")
+    placed = placed.select("doc_id", "node", "n", F.coalesce("root", "node").alias("root"))
+    return save(placed, f"{root}/placed"), rows.where("n = 0")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, of one document per component: that of the smallest doc_id.
+
+    A null doc_id comes last. Of rows that repeat the doc_id that stays, one is kept (the smallest
+    set hash, then text). Documents without shingles are kept, one row per doc_id.
+    """
+    placed, empty = _placed(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "node")
+    winners = placed.groupBy("root").agg(F.min(order).alias("w")).select("w.*")
+    winners = winners.unionByName(empty.select(order.alias("w")).select("w.*").distinct())
+    winners = save(winners, work_path(docs.sparkSession, "jaccard-winners"))
+
+    def with_keys(batches):
+        for batch in bounded(batches):
+            nodes = [node_of(s) for s in shingle_sets(column(batch, "text"))]
+            ids = column(batch, "doc_id")
+            keys = [pa.array(nodes, pa.int64()), ids.is_null(), ids.fill_null(0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *keys], names=[*batch.schema.names, *names])
+
+    names = ["__node", "__none", "__id"]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    keyed = docs.mapInArrow(with_keys, f"{fields}, __node long, __none boolean, __id long")
+    winners = winners.toDF("__none", "__id", "__node")
+    first = Window.partitionBy("__none", "__id", "__node").orderBy("text")
     return (
-        placed.join(least, "root")
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        keyed.join(winners, ["__none", "__id", "__node"])
+        .withColumn("__row", F.row_number().over(first))
+        .where("__row = 1")
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

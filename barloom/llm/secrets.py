@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import bounded, column
 
@@ -181,6 +182,36 @@ def _masked(text, spans):
     return "".join([*out, text[at:]])
 
 
+def _suspects(texts):
+    """Which texts of an Arrow column can hold a secret or an encoded layer at all."""
+    looks = pc.or_(pc.match_substring_regex(texts, PLAIN), pc.match_substring_regex(texts, ENCODED))
+    return pc.fill_null(looks, False).to_pylist()
+
+
+def mask_secrets(docs: DataFrame, most: int = 8_000_000) -> DataFrame:
+    """`docs`, all columns, with every secret of any layer replaced in `text` by its kind in brackets.
+
+    Null texts stay null; see find_secrets for the other cases. A column n_chars, where there is
+    one, is brought up to date.
+    """
+
+    def run(batches):
+        for batch in bounded(batches):
+            texts = column(batch, "text")
+            changed = [
+                _masked(t.as_py(), unwrap(t.as_py(), most)[0]) if look else t.as_py()
+                for t, look in zip(texts, _suspects(texts))
+            ]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(changed, texts.type))
+
+    masked = docs.mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        masked = masked.withColumn("n_chars", F.char_length("text").cast(kind))
+    return masked
+
+
 def find_secrets(docs: DataFrame, mask: bool = False, most: int = 8_000_000) -> DataFrame:
     """Secrets of every document: counts and list of the plain ones, list of those of all layers.
 
@@ -194,9 +225,8 @@ def find_secrets(docs: DataFrame, mask: bool = False, most: int = 8_000_000) ->
     def run(batches):
         for batch in bounded(batches):
             texts = column(batch, "text")
-            plain = pc.fill_null(pc.or_(pc.match_substring_regex(texts, PLAIN), pc.match_substring_regex(texts, ENCODED)), False)
             rows = {k: [] for k in names}
-            for doc_id, text, look in zip(column(batch, "doc_id").to_pylist(), texts, plain.to_pylist()):
+            for doc_id, text, look in zip(column(batch, "doc_id").to_pylist(), texts, _suspects(texts)):
                 base, spans, layers, cut, value = [], set(), 1, 0, None
                 if look:
                     value = text.as_py()

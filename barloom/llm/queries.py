@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import oracles
 from .chunks import repeated_passages
 from .common import table
 from .contamination import contained_items
@@ -125,4 +126,4 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_resampling": op10_resampling,
 }
-ORACLES = {}
+ORACLES = oracles.ORACLES

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..arguments import day
 from ..schemas import ADJUSTED, KEY, MOD_SOURCE, PRICES, RAW_SOURCE
-from .asof import BROADCAST_LIMIT, as_of
+from .asof import as_of
 from .dedupe import first_rows
 from .symbols import rename_symbols
 
@@ -48,13 +48,13 @@ def cum_multiplier(multipliers: DataFrame) -> DataFrame:
     return multipliers.select(*KEY, "multiplier", F.product("multiplier").over(window).alias("cum_multiplier"))
 
 
-def adjust_prices(bars_mod: DataFrame, multipliers: DataFrame, from_date=None, limit=BROADCAST_LIMIT) -> DataFrame:
+def adjust_prices(bars_mod: DataFrame, multipliers: DataFrame, from_date=None, method="interval") -> DataFrame:
     """Set the adjusted prices from the cumulative multiplier of the latest action.
 
     Bars before the symbol's first action, or before `from_date`, keep what they have.
     `multipliers` carries `cum_multiplier`; all of it applies, also actions before `from_date`.
     """
-    matched = as_of(bars_mod, multipliers, "cum_multiplier", limit=limit)
+    matched = as_of(bars_mod, multipliers, "cum_multiplier", method=method)
     touched = F.col("cum_multiplier").isNotNull()
     if from_date is not None:
         touched = touched & (F.col("dt") >= day(from_date))

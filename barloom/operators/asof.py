@@ -3,25 +3,18 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import estimated_bytes
 
-# Catalyst's estimate for an event table that may be sent to every executor.
-BROADCAST_LIMIT = 32 * 1024 * 1024
-
-
-def as_of(facts: DataFrame, events: DataFrame, value, key="symbol", on="dt", limit=BROADCAST_LIMIT) -> DataFrame:
+def as_of(facts: DataFrame, events: DataFrame, value, key="symbol", on="dt", method="interval") -> DataFrame:
     """Add `value` of the latest event of the same key on or before the fact's date.
 
-    Events have one row per (key, date). While their estimated size is under `limit`
-    they are turned into [date, next date) intervals and broadcast, so the facts are
-    not shuffled. Beyond it both sides go through one window per key, linear in their
-    rows; with facts unique per (key, date) a window partition is bounded by the
-    number of calendar days, whatever the size of the table.
+    Events without a date apply to nothing; of several on one date the largest value counts.
+    Both methods give the same rows. "interval" turns events into [date, next date) spans and
+    joins them by key, leaving it to the optimizer whether to broadcast them or to sort and split
+    a skewed key. "window" fills forward over facts and events together: one window per key, with
+    facts unique per (key, date) bounded by the number of calendar days.
     """
-    events = events.select(key, on, value)
-    if estimated_bytes(events) <= limit:
-        return _by_interval(facts, events, value, key, on)
-    return _by_window(facts, events, value, key, on)
+    events = events.where(F.col(on).isNotNull()).groupBy(key, on).agg(F.max(value).alias(value))
+    return {"interval": _by_interval, "window": _by_window}[method](facts, events, value, key, on)
 
 
 def _by_interval(facts, events, value, key, on) -> DataFrame:
@@ -30,8 +23,7 @@ def _by_interval(facts, events, value, key, on) -> DataFrame:
         F.col(key).alias("_key"), F.col(on).alias("_from"), upto.alias("_to"), F.col(value)
     )
     inside = (F.col(on) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(on) < F.col("_to")))
-    condition = (F.col(key) == F.col("_key")) & inside
-    return facts.join(F.broadcast(spans), condition, "left").drop("_key", "_from", "_to")
+    return facts.join(spans, (F.col(key) == F.col("_key")) & inside, "left").drop("_key", "_from", "_to")
 
 
 def _by_window(facts, events, value, key, on) -> DataFrame:

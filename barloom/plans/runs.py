@@ -3,14 +3,21 @@
 Every step reads stored or staged tables and writes tables, so no run carries a long
 lineage. Staged results carry the run's name: a run that is started again after a
 failure picks up what it had finished, and its appends leave out keys already there.
+A run that ends well drops them, so the next one sees new and corrected inputs.
+
+Every raw row is found in exactly one of `bars`, `bars_skipped` (a later row of a key),
+`bars_late` (dated before what a run adds) and `bars_undated` (no valid date).
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..arguments import as_day, day
 from ..operators import actions, dedupe, membership, ranges, repair, symbols
 from ..schemas import ADJUSTED, BAR, KEY
+from ..session import work_path
 from ..sinks import tables as sink
 from ..sources.files import read_bar_files
 from ..sources.tables import from_date
@@ -23,32 +30,71 @@ def _in_years(table: DataFrame, years) -> DataFrame:
     return table.where(F.col("year").isin([int(y) for y in years])).drop("year")
 
 
+#: What a load lists besides the bars; a reload replaces these for the years that it loads.
+REJECTS = ("bars_skipped", "bars_duplicates", "bars_late", "bars_undated", "bars_unverified", "modified_losers")
+
+
 def full_load(store: PriceStore, files, renames, multipliers=None, start_year=None) -> None:
-    """Build every bar table from the files. `renames` is a resolved map."""
-    batch = "full"
+    """Build every bar table from the files. `renames` is a resolved map.
+
+    With `start_year` the stored years from it on are emptied and loaded, earlier ones stay.
+    """
+    batch = "full" if start_year is None else f"full-{int(start_year)}"
     # Parsed once; everything after reads columns of the staged copy.
     raw = read_bar_files(store.spark, files, start_year=start_year).select(*_STORED)
     raw = store.stage_once(raw, "raw", batch)
+    in_scope = F.col("dt").isNotNull()
+    if start_year is not None:
+        in_scope = in_scope & (F.year("dt") >= int(start_year))
+    _clear_rejects(store, batch, start_year)
+    sink.write_batch(raw.where("dt is null"), store.path("bars_undated"), batch)
+    sink.write_batch(raw.where(F.col("dt").isNotNull() & ~in_scope), store.path("bars_late"), batch)
     # One folder per kind, so the few repeated rows are found without reading the rest.
     kind = F.when(F.col("key_rows").isNull(), "later").when(F.col("key_rows") > 1, "first").otherwise("lone")
-    marked = dedupe.mark_copies(raw).select(*_STORED, kind.alias("kind"))
+    marked = dedupe.mark_copies(raw.where(in_scope)).select(*_STORED, kind.alias("kind"))
     marked = store.stage_once(marked, "marked", batch, ["kind"])
     unique = marked.where("kind in ('lone', 'first')").drop("kind")
     skipped = marked.where("kind = 'later'").drop("kind")
     duplicates = marked.where("kind in ('first', 'later')").drop("kind")
-    sink.write_bars_table(unique, store.path("bars"))
+    _write_loaded(store, "bars", unique, start_year)
     sink.write_batch(skipped, store.path("bars_skipped"), batch)
     sink.write_batch(duplicates, store.path("bars_duplicates"), batch)
 
     bars = store.read("bars").drop("year")
     replace = _repair(store, bars, batch)
-    modified = symbols.build_modified(bars, replace, renames)
+    loaded = bars if start_year is None else bars.where(F.year("dt") >= int(start_year))
+    modified = symbols.build_modified(loaded, replace, renames)
     rows = store.stage_once(modified.rows, "modified", batch)
     sink.write_batch(modified.losers.select(*BAR), store.path("modified_losers"), batch)
-    sink.replace_table(ranges.symbol_range(bars, rows), store.path("symbol_range"))
+    all_rows = rows
+    if start_year is not None:
+        before = store.read("bars_mod").where(F.col("year") < int(start_year))
+        all_rows = before.select(*KEY).unionByName(rows.select(*KEY))
+    sink.replace_table(ranges.symbol_range(bars, all_rows), store.path("symbol_range"))
     if multipliers is not None:
         load_multipliers(store, multipliers, renames)
-    sink.write_bars_table(actions.adjust_prices(rows, store.read("multipliers")), store.path("bars_mod"))
+    _write_loaded(store, "bars_mod", actions.adjust_prices(rows, store.read("multipliers")), start_year)
+    store.drop_staged(batch)
+
+
+def _write_loaded(store, table, rows, start_year) -> None:
+    if start_year is None or not store.exists(store.path(table)):
+        sink.write_bars_table(rows, store.path(table))
+    else:
+        years = [r.year for r in store.read(table).select("year").distinct().collect() if r.year is not None]
+        sink.replace_from_year(rows, store.path(table), years, start_year)
+
+
+def _clear_rejects(store, batch, start_year) -> None:
+    """Empty the reject tables of what a reload is about to list again."""
+    for table in REJECTS:
+        if not store.exists(store.path(table)):
+            continue
+        old = store.read(table)
+        kept = old.limit(0) if start_year is None else old.where(F.col("dt").isNull() | (F.year("dt") < int(start_year)))
+        kept = store.stage_once(kept, f"kept-{table}", batch)
+        # Written as a whole: no folder of an earlier batch is left.
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(store.path(table))
 
 
 def _repair(store, bars, batch, from_day=None) -> DataFrame:
@@ -68,7 +114,11 @@ def _repair(store, bars, batch, from_day=None) -> DataFrame:
 def load_multipliers(store: PriceStore, multipliers, renames, append=False, current_ranges=None) -> None:
     """Clean the actions, keep one per symbol and date and store their running product."""
     if append:
-        multipliers = actions.append_multipliers(store.read("multipliers"), multipliers)
+        both = actions.append_multipliers(store.read("multipliers"), multipliers)
+        # Written down first, as the table it reads is replaced below.
+        path = work_path(store.spark, "actions")
+        both.write.parquet(path)
+        multipliers = store.spark.read.schema(both.schema).parquet(path)
     known = store.read("symbol_range") if current_ranges is None else current_ranges
     cleaned = actions.clean_multipliers(multipliers, renames, known)
     kept = dedupe.first_rows(cleaned.kept)
@@ -77,8 +127,12 @@ def load_multipliers(store: PriceStore, multipliers, renames, append=False, curr
     sink.replace_table(cleaned.skipped.select(*KEY, "multiplier"), store.path("multipliers_skipped"))
 
 
-def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None) -> None:
-    """Add the files from `delta_date` on, which must come after everything stored."""
+def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None, action_mode="refresh") -> None:
+    """Add the files from `delta_date` on, which must come after everything stored.
+
+    `action_mode` "refresh" replaces the stored actions by `multipliers`; "append" adds them to
+    the stored ones, first come first kept, and adjusts stored rows after new actions again.
+    """
     batch = f"{as_day(delta_date):%Y%m%d}"
     known = store.read("symbol_range")
     if known.isEmpty():
@@ -86,20 +140,32 @@ def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None) -
         known = store.stage_once(known, "ranges_before", batch)
     ranges.require_delta_after(known, delta_date)
     raw = read_bar_files(store.spark, files, start_date=delta_date).select(*_STORED)
-    take_in(store, store.stage_once(raw, "raw", batch), batch, delta_date, renames, multipliers)
+    take_in(store, store.stage_once(raw, "raw", batch), batch, delta_date, renames, multipliers, action_mode)
+    store.drop_staged(batch)
 
 
-def take_in(store: PriceStore, raw: DataFrame, batch, from_day, renames, multipliers=None) -> None:
+def take_in(
+    store: PriceStore, raw: DataFrame, batch, from_day, renames, multipliers=None, action_mode="refresh"
+) -> None:
     """Carry new raw rows through every table; only new rows are written to the bar tables.
 
-    No modified row from `from_day` on is stored yet, so the new ones are adjusted before
-    they are appended and no stored year is rewritten.
+    Rows of new keys dated before `from_day` are listed in `bars_late`, rows without a date in
+    `bars_undated`.
+    New rows are adjusted before they are appended, so no stored year is rewritten, unless
+    appended actions reach back before `from_day`.
     """
+    sink.write_batch(raw.where("dt is null"), store.path("bars_undated"), batch)
+    raw = raw.where("dt is not null")
     stored_ranges = store.stage_once(store.read("symbol_range"), "ranges_before", batch)
     years = sink.years_of(raw)
     stored = _in_years(store.read("bars"), years)
     appended = dedupe.append_first(stored, raw)
-    fresh = store.stage_once(appended.fresh, "fresh", batch)
+    found = store.stage_once(appended.fresh, "fresh", batch)
+    fresh, late = from_date(found, from_day), found.where(F.col("dt") < day(from_day))
+    if store.exists(store.path(f"bars_late/batch={batch}")):
+        # The stream has listed its late files there already.
+        late = late.unionByName(store.read("bars_late").where(F.col("batch") == batch).drop("batch")).distinct()
+    sink.write_batch(store.stage_once(late, "late", batch), store.path("bars_late"), batch)
     skipped = store.stage_once(appended.skipped, "skipped", batch)
     duplicates = store.stage_once(appended.duplicates, "duplicates", batch)
     sink.append_new_keys(fresh, stored, store.path("bars"))
@@ -121,10 +187,17 @@ def take_in(store: PriceStore, raw: DataFrame, batch, from_day, renames, multipl
         ranges.range_delta(new_ranges, stored_ranges).drop("action"), "ranges", batch
     )
     sink.write_batch(anomalies, store.path("range_anomalies"), batch)
+    since = None
     if multipliers is not None:
-        load_multipliers(store, multipliers, renames, current_ranges=updated)
+        before = store.stage_once(store.read("multipliers"), "actions_before", batch)
+        load_multipliers(store, multipliers, renames, append=action_mode == "append", current_ranges=updated)
+        if action_mode == "append":
+            added = store.read("multipliers").join(before.select(*KEY), KEY, "left_anti")
+            since = added.agg(F.min("dt").alias("dt")).first().dt
     adjusted = actions.adjust_prices(fresh_mod, store.read("multipliers"), from_day)
     sink.append_new_keys(adjusted, stored_mod, store.path("bars_mod"))
+    if since is not None and since < as_day(from_day):
+        update_adjusted(store, since)
     # Last: from here on the gate refuses this date.
     sink.replace_table(updated, store.path("symbol_range"))
 
@@ -158,7 +231,7 @@ def rename_stored_symbols(store: PriceStore, renames: DataFrame) -> DataFrame:
     moving = rows.join(renames.select(F.col("old").alias("symbol")), "symbol", "left_semi")
     years = sink.years_of(moving.drop("year"))
     renamed = symbols.rename_stored(_in_years(rows, years), renames)
-    batch = "rename-" + "-".join(str(y) for y in years[:1] + years[-1:])
+    batch = f"rename-{uuid.uuid4().hex}"
     collisions = renamed.losers.select(*BAR, *ADJUSTED, "old_symbol")
     sink.write_batch(collisions, store.path("rename_collisions"), batch)
     if years:

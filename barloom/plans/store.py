@@ -22,6 +22,7 @@ SCHEMAS = {
     "bars_skipped": _REJECTED,
     "bars_duplicates": _REJECTED,
     "bars_late": _REJECTED,
+    "bars_undated": _REJECTED,
     "bars_replace": _plus(S.BARS, seq=S.SEQ),
     "bars_unverified": _plus(S.BARS, seq=S.SEQ, batch=_TEXT),
     "modified_losers": _plus(S.BARS, batch=_TEXT),
@@ -56,16 +57,24 @@ class PriceStore:
         return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
 
     def stage_once(self, df: DataFrame, label, batch, partition_by=()) -> DataFrame:
-        """Write a step's result under the run's name; a repeated run reads what it wrote before.
+        """Write a step's result under the run's name; a run that is started again after a failure reads it.
 
-        Later steps then see the same rows even if the tables have changed in between.
+        Later steps then see the same rows even if the tables have changed in between. A run that
+        ends well drops what it staged, so the next one of the name reads its inputs anew.
         """
-        path = self.path(f"_staged/{label}-{batch}")
+        path = self.path(f"_staged/{batch}/{label}")
         if not self.exists(f"{path}/_SUCCESS"):
             df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def exists(self, path) -> bool:
+    def drop_staged(self, batch) -> None:
+        location, system = self._location(self.path(f"_staged/{batch}"))
+        system.delete(location, True)
+
+    def _location(self, path):
         location = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        system = location.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return location, location.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self, path) -> bool:
+        location, system = self._location(path)
         return system.exists(location)

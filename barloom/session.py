@@ -16,6 +16,7 @@ SETTINGS = {
 }
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Set the session up for the operators; this changes the caller's session, its time zone included."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark
@@ -39,11 +40,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def no_rows(spark: SparkSession, schema) -> DataFrame:
     """An empty frame that Catalyst knows to be empty, so joins with it fall away."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -32,10 +32,8 @@ def append_new_keys(bars: DataFrame, stored: DataFrame, path) -> None:
 
 
 def write_batch(rows: DataFrame, path, batch) -> None:
-    """Write a run's rows under its own folder; a repeated run replaces them."""
-    rows.withColumn("batch", F.lit(str(batch))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("batch").parquet(path)
+    """Write a run's rows as its own folder; a repeated run replaces them, also by no rows."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch}")
 
 
 def write_bars_table(bars: DataFrame, path) -> None:
@@ -67,6 +65,14 @@ def replace_table(df: DataFrame, path) -> None:
     spark.read.schema(df.schema).parquet(staged_path).write.mode("overwrite").parquet(path)
 
 
+def replace_from_year(bars: DataFrame, path, stored_years, start_year) -> None:
+    """Replace the stored years from `start_year` on by the rows of `bars`; earlier years stay."""
+    bars = bars.where(F.year("dt") >= int(start_year))
+    years = set(years_of(bars)) | {y for y in stored_years if y >= int(start_year)}
+    if years:
+        overwrite_years(bars, path, sorted(years))
+
+
 def years_of(bars: DataFrame) -> list[int]:
     """The calendar years present: one small number per year comes to the driver."""
     return sorted(r.year for r in with_year(bars).select("year").distinct().collect() if r.year is not None)

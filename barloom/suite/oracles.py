@@ -374,10 +374,10 @@ ORACLES = {
             except select * from last_in)""",
     "flags_recon": """
         with flagged as (
-            select symbol, dt, index_name, snap_dt from bar_snaps where dt < date '1996-01-01'
-            union
-            select b.symbol, b.dt, b.index_name, b.snap_dt from bar_snaps b join bar_flags f
+            select distinct coalesce(r.new, b.symbol) as symbol, b.dt, b.index_name, b.snap_dt
+            from bar_snaps b join bar_flags f
               on f.symbol = b.symbol and f.dt = b.dt and f.index_name = b.index_name
+            left join renames r on r.old = b.symbol
             where f.flag = 1 and b.dt >= date '1995-01-01'),
         until as (
             select index_name, dt, coalesce(next_dt - 1, greatest(dt, (select max(dt) from kept))) as last_dt
@@ -408,7 +408,7 @@ ORACLES = {
         select concat(k.symbol, '.URG') as symbol, k.dt, 0 as open, 0 as high, 0 as low, 1 as close,
                case when c.symbol is null then 0 else 1 end as "1-URGENT"
         from kept k left join (select distinct symbol from index_current where index_name = '1-URGENT') c
-          on c.symbol = k.symbol where k.dt >= date '2000-01-01'""",
+          on c.symbol = k.symbol where k.dt >= date '2001-08-15'""",
     # history
     "buffer_flag": """
         select symbol, dt, case when dt < date '1997-01-01' then true end as buffer

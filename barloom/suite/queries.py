@@ -26,6 +26,8 @@ STORED_UNTIL = "2000-01-01"
 DELIVERED_FROM = "1999-07-01"
 DELTA = "2000-01-01"
 INDEX = "1-URGENT"
+# After the last membership change, and before the last bar.
+AFTER_CHANGES = "2001-08-15"
 
 
 class Inputs:
@@ -357,8 +359,8 @@ def adjust_prices(x):
 
 @query
 def adjust_prices_window(x):
-    """The same adjustment by the path for action tables too large to broadcast."""
-    return actions.adjust_prices(x.bars_mod(), x.cumulative(), limit=-1)
+    """The same adjustment by filling forward over bars and actions."""
+    return actions.adjust_prices(x.bars_mod(), x.cumulative(), method="window")
 
 
 @query
@@ -441,12 +443,10 @@ def membership_recon(x):
 
 @query
 def flags_recon(x):
+    """Flags stored under the new symbols against snapshots that still have the old ones."""
     snapshots = x.snapshots()
     flags = membership.membership_flags(x.unique(), snapshots, INDICES, 1995)
-    # Bars of early days are taken as flagged throughout, so both sides of the report occur.
-    early = F.col("dt") < "1996-01-01"
-    flags = flags.withColumns({i: F.when(early, 1).otherwise(F.col(i)) for i in INDICES})
-    return membership.flags_recon(flags, snapshots, INDICES)
+    return membership.flags_recon(symbols.rename_symbols(flags, x.renames), snapshots, INDICES)
 
 
 # ---- exports ---------------------------------------------------------------------
@@ -470,9 +470,9 @@ def export_flags(x):
 
 @query
 def export_flags_delta(x):
-    changes = x.index_changes.where(F.col("dt") < "1999-12-15")
-    snapshots = membership.index_snapshots(changes, x.index_current)
-    return exports.export_flags_delta(x.bars_mod(), snapshots, x.index_current, INDEX, DELTA, CODES)
+    """The days after the last change, from which current membership holds."""
+    changes = x.index_changes.select("index_name", "symbol", "dt")
+    return exports.export_flags_delta(x.bars_mod(), changes, x.index_current, INDEX, AFTER_CHANGES, CODES)
 
 
 # ---- history ---------------------------------------------------------------------

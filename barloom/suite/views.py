@@ -16,7 +16,8 @@ select concat('S', cast(l_suppkey as string)) as symbol, cast(l_shipdate as date
        l_extendedprice as open, l_extendedprice + l_quantity as high,
        l_extendedprice - l_quantity as low, l_extendedprice + l_tax as close,
        cast(l_quantity as bigint) as volume,
-       (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey as seq
+       concat(lpad(cast(l_orderkey as string), 15, '0'), lpad(cast(l_linenumber as string), 3, '0'),
+              lpad(cast(l_partkey as string), 13, '0')) as seq
 from {lineitem}""",
     # Few bars per symbol and year: one neighbour or none.
     "bars_sparse": """
@@ -34,19 +35,19 @@ from {supplier} where s_suppkey % 10 = 7""",
 select concat('S', cast(s_suppkey as string)) as old, concat('S', cast(s_suppkey - 1 as string)) as new,
        case when s_suppkey % 40 < 20 then 1000000000 - s_suppkey else 1000000000 + s_suppkey end as pos
 from {supplier}""",
-    # Powers of two, so running products are exact.
+    # One action per supplier and month of its orders; factors that alternate keep products exact.
     "multipliers_raw": """
-select concat('S', cast(o_custkey % 100 as string)) as symbol, cast(o_orderdate as date) as dt,
-       max(case when o_orderkey % 3 = 0 then 2.0e0 when o_orderkey % 3 = 1 then 0.5e0 else 4.0e0 end) as multiplier,
+select concat('S', cast(l_suppkey as string)) as symbol, cast(date_trunc('month', o_orderdate) as date) as dt,
+       max(case when month(o_orderdate) % 2 = 0 then 2.0e0 else 0.5e0 end) as multiplier,
        min(o_orderkey) as seq
-from {orders} where o_orderkey % 40 = 0 group by 1, 2""",
+from {lineitem} join {orders} on l_orderkey = o_orderkey group by 1, 2""",
     # Normalised changes at month starts, mostly not bar dates of the symbol.
     "index_changes": """
-select o_orderpriority as index_name, concat('S', cast(o_custkey % 100 as string)) as symbol,
+select o_orderpriority as index_name, concat('S', cast(l_suppkey as string)) as symbol,
        cast(date_trunc('month', o_orderdate) as date) as dt,
        case when o_orderstatus = 'F' then 'I' else 'E' end as change_type,
        min(o_orderkey) as seq
-from {orders} where o_orderkey % 50 = 0 and o_orderstatus in ('F', 'O') group by 1, 2, 3, 4""",
+from {lineitem} join {orders} on l_orderkey = o_orderkey group by 1, 2, 3, 4""",
     # Every third supplier per index name, as an equi-join on the remainder.
     "index_current": """
 select p as index_name, concat('S', cast(s_suppkey as string)) as symbol
@@ -55,21 +56,21 @@ from {supplier} join (select distinct o_orderpriority as p from {orders}) z
     # Raw feed: scrip names, text change types, dd-mm-yyyy text dates.
     "index_feed": """
 select o_orderpriority as index_name,
-       concat(lpad(cast(day(o_orderdate) as string), 2, '0'), '-',
-              lpad(cast(month(o_orderdate) as string), 2, '0'), '-', cast(year(o_orderdate) as string)) as date_text,
-       concat('Company ', cast(o_custkey % 100 as string)) as scrip,
+       concat('01-', lpad(cast(month(o_orderdate) as string), 2, '0'), '-', cast(year(o_orderdate) as string)) as date_text,
+       concat('Company ', cast(l_suppkey as string)) as scrip,
        case when o_orderstatus = 'F' then 'Inclusion into Index' else 'Exclusion from Index' end as change_text,
        min(o_orderkey) as seq
-from {orders} where o_orderkey % 50 = 0 and o_orderstatus in ('F', 'O') group by 1, 2, 3, 4""",
+from {lineitem} join {orders} on l_orderkey = o_orderkey group by 1, 2, 3, 4""",
     # Every seventh scrip is left unmapped.
     "scrip_map": """
 select concat('Company ', cast(s_suppkey as string)) as scrip, concat('S', cast(s_suppkey as string)) as symbol
 from {supplier} where s_suppkey % 7 <> 0""",
-    # Corrections for one unmapped scrip.
+    # Corrections for the even ones among the unmapped scrips.
     "manual_fix": """
-select distinct concat('Company ', cast(o_custkey % 100 as string)) as symbol, cast(o_orderdate as date) as dt,
-       'S1' as correct_symbol, 1 as pos
-from {orders} where o_orderkey % 50 = 0 and o_custkey % 100 = 0""",
+select distinct concat('Company ', cast(l_suppkey as string)) as symbol,
+       cast(date_trunc('month', o_orderdate) as date) as dt,
+       concat('S', cast(l_suppkey as string)) as correct_symbol, 1 as pos
+from {lineitem} join {orders} on l_orderkey = o_orderkey where l_suppkey % 14 = 0""",
     # Symbols asked for by name, as a list too long for a literal would be.
     "wanted_symbols": """
 select concat('S', cast(s_suppkey as string)) as symbol from {supplier} where s_acctbal > 0""",

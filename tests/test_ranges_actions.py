@@ -4,8 +4,6 @@ from pyspark.sql import functions as F
 
 from barloom.operators import actions, ranges
 
-# Rows made in a test have no size estimate; this limit admits them to the broadcast path.
-EVERYTHING = 2**100
 
 
 def range_rows(spark, data):
@@ -83,8 +81,8 @@ def test_append_multipliers_keeps_stored(spark):
     assert rows(got, "dt", "multiplier") == [("2001-01-01", 2.0), ("2001-01-02", 3.0)]
 
 
-@pytest.mark.parametrize("limit", [EVERYTHING, -1])
-def test_adjustment_on_action_dates_and_between_bars(spark, limit):
+@pytest.mark.parametrize("method", ["interval", "window"])
+def test_adjustment_on_action_dates_and_between_bars(spark, method):
     cumulative = actions.cum_multiplier(
         multiplier_rows(
             spark,
@@ -98,7 +96,7 @@ def test_adjustment_on_action_dates_and_between_bars(spark, limit):
     ]
     days = ["2001-01-02", "2001-01-03", "2001-01-04", "2001-01-07"]
     data = bars(spark, [bar("A", d, 10) for d in days] + [bar("B", "2001-01-04", 10), bar("C", "2001-01-04", 10)], seq=False)
-    adjusted = actions.adjust_prices(actions.without_adjustment(data), cumulative, limit=limit)
+    adjusted = actions.adjust_prices(actions.without_adjustment(data), cumulative, method=method)
     assert rows(adjusted.where("symbol = 'A'"), "dt", "adj_open") == [
         ("2001-01-02", None),
         ("2001-01-03", 20.0),
@@ -116,9 +114,21 @@ def test_delta_adjustment_leaves_older_rows_but_uses_older_actions(spark):
     assert rows(adjusted, "dt", "adj_open") == [("2001-01-02", 1.0), ("2001-01-03", 20.0)]
 
 
-def test_as_of_broadcasts_only_under_the_limit(spark):
-    cumulative = actions.cum_multiplier(multiplier_rows(spark, [("A", "2000-01-05", 2.0)]))
-    data = actions.without_adjustment(bars(spark, [bar("A", "2001-01-02", 10)], seq=False))
-    small, large = (plan(actions.adjust_prices(data, cumulative, limit=n)) for n in (EVERYTHING, -1))
-    assert "BroadcastHashJoin" in small
-    assert "Join" not in large and "Window" in large and "CartesianProduct" not in large
+def test_as_of_does_not_depend_on_method_or_join(spark):
+    events = spark.createDataFrame(
+        [("A", None, 9.0), ("A", day("2001-01-03"), 2.0), ("A", day("2001-01-03"), 3.0), (None, day("2001-01-01"), 5.0)],
+        "symbol string, dt date, cum_multiplier double",
+    )
+    data = bars(spark, [bar("A", d, 10) for d in ("2001-01-02", "2001-01-03", "2001-01-05", None)], seq=False)
+    found = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for method in ("interval", "window"):
+            joined = actions.as_of(data, events, "cum_multiplier", method=method)
+            assert "CartesianProduct" not in plan(joined) and "NestedLoop" not in plan(joined)
+            found.append(rows(joined, "dt", "cum_multiplier"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    expected = [("2001-01-02", None), ("2001-01-03", 3.0), ("2001-01-05", 3.0), (None, None)]
+    assert all(f == sorted(expected, key=repr) for f in found[:1] + found[2:3])
+    assert all(f[:3] == found[0][:3] for f in found)

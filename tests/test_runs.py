@@ -209,3 +209,96 @@ def test_serving_from_the_store(spark, folder):
     with pytest.raises(ValueError):
         serve.export_membership(store, f"{folder}/flags_delta", "Nifty 50", "20010109", current)
     assert serve.last_stored_day(store) == day("2001-01-29")
+
+
+TABLES = ("bars", "bars_skipped", "bars_late", "bars_undated")
+
+
+def places(store):
+    return sorted(((*x, t) for t in TABLES for x in rows(store.read(t), "dt", "open")), key=repr)
+
+
+def test_stream_takes_a_backlog_in_any_order_of_files(spark, folder):
+    import os
+    import time
+
+    landing = f"{folder}/landing"
+    names = ["2001-01-04", "2001-01-02", "2001-01-03"]
+    for n, name in enumerate(names):
+        write(landing, f"{name}.txt", f"A,{name.replace('-', '')},{n},1,1,1,1", f"A,bad,{n},1,1,1,1")
+        os.utime(f"{landing}/{name}.txt", (time.time() - 100 + n, time.time() - 100 + n))
+    store = PriceStore(spark, f"{folder}/store")
+    start_ingest(store, landing, max_files=1).awaitTermination()
+    assert rows(store.read("bars"), "dt", "open") == [("2001-01-02", 1.0), ("2001-01-03", 2.0), ("2001-01-04", 0.0)]
+    assert rows(store.read("bars_undated"), "open") == [(0.0,), (1.0,), (2.0,)]
+    assert store.read("bars_late").count() == 0
+    assert rows(store.read("bars_mod"), "dt") == rows(store.read("bars"), "dt")
+
+
+def test_reload_sees_new_files_and_leaves_earlier_years(spark, folder):
+    renames = spark.createDataFrame([], "old string, new string")
+    files, store = f"{folder}/files", PriceStore(spark, f"{folder}/store")
+    write(files, "2000-12-29.txt", "A,20001229,1,1,1,1,1", "A,20001229,2,2,2,2,2", "A,,3,3,3,3,3")
+    write(files, "2001-01-02.txt", "A,20010102,4,4,4,4,4", "A,20001230,5,5,5,5,5", "A,20010102,6,6,6,6,6")
+    runs.full_load(store, files, renames)
+    assert rows(store.read("bars"), "open") == [(1.0,), (4.0,), (5.0,)]
+    write(files, "2001-01-03.txt", "A,20010103,7,7,7,7,7")
+    runs.full_load(store, files, renames)
+    assert rows(store.read("bars"), "open") == [(1.0,), (4.0,), (5.0,), (7.0,)]
+    write(files, "2001-01-02.txt", "A,20010102,8,8,8,8,8", "A,20001230,9,9,9,9,9")
+    write(files, "2000-12-29.txt", "A,20001229,10,1,1,1,1")
+    runs.full_load(store, files, renames, start_year=2001)
+    assert rows(store.read("bars"), "open") == [(1.0,), (5.0,), (7.0,), (8.0,)]
+    assert rows(store.read("bars_mod"), "dt") == rows(store.read("bars"), "dt")
+    # Rejected rows of the year before stay, those of the loaded years are listed anew.
+    assert rows(store.read("bars_skipped"), "open") == [(2.0,)]
+    assert rows(store.read("bars_late"), "open") == [(9.0,)]
+    assert rows(store.read("bars_undated"), "open") == [(3.0,)]
+    assert rows(store.read("symbol_range"), "start_dt", "end_dt") == [("2000-12-29", "2001-01-03")] * 2
+    assert not store.exists(store.path("_staged/full")) and not store.exists(store.path("_staged/full-2001"))
+
+
+def test_delta_lists_what_it_does_not_add(spark, folder):
+    renames = spark.createDataFrame([], "old string, new string")
+    files, store = f"{folder}/files", PriceStore(spark, f"{folder}/store")
+    write(files, "2001-01-02.txt", "A,20010102,1,1,1,1,1")
+    runs.full_load(store, files, renames)
+    write(files, "2001-01-03.txt", "A,20010103,2,2,2,2,2", "A,20010101,3,3,3,3,3", "B,x,4,4,4,4,4", "A,20010103,5,5,5,5,5")
+    runs.delta_run(store, files, "20010103", renames)
+    write(files, "2001-01-04.txt", "A,20010104,6,6,6,6,6")
+    runs.delta_run(store, files, "20010104", renames)
+    assert places(store) == [
+        ("2001-01-01", 3.0, "bars_late"),
+        ("2001-01-02", 1.0, "bars"),
+        ("2001-01-03", 2.0, "bars"),
+        ("2001-01-03", 5.0, "bars_skipped"),
+        ("2001-01-04", 6.0, "bars"),
+        (None, 4.0, "bars_undated"),
+    ]
+
+
+def test_appended_actions_adjust_stored_rows(spark, folder):
+    from barloom.sources.files import read_multipliers
+
+    renames = spark.createDataFrame([], "old string, new string")
+    files, store = f"{folder}/files", PriceStore(spark, f"{folder}/store")
+    write(files, "2001-01-02.txt", "A,20010102,1,1,1,1,1")
+    write(files, "2001-01-03.txt", "A,20010103,1,1,1,1,1")
+    write(folder, "one.csv", "Symbol,Date,Multiplier", "A,20010102,2")
+    runs.full_load(store, files, renames, read_multipliers(spark, f"{folder}/one.csv"))
+    write(files, "2001-01-04.txt", "A,20010104,1,1,1,1,1")
+    write(folder, "two.csv", "Symbol,Date,Multiplier", "A,20010103,4", "A,20010102,16")
+    more = read_multipliers(spark, f"{folder}/two.csv")
+    runs.delta_run(store, files, "20010104", renames, more, action_mode="append")
+    assert rows(store.read("bars_mod"), "dt", "adj_open") == [("2001-01-02", 2.0), ("2001-01-03", 8.0), ("2001-01-04", 8.0)]
+
+
+def test_no_rows_replace_a_batch(spark, folder):
+    from barloom.sinks.tables import write_batch
+
+    store = PriceStore(spark, f"{folder}/store")
+    some = bars(spark, [bar("A", "2001-01-02", 1.0, seq=1)]).drop("seq")
+    for batch in (some, some.limit(0)):
+        write_batch(batch, store.path("modified_losers"), "x")
+    write_batch(some, store.path("modified_losers"), "y")
+    assert rows(store.read("modified_losers"), "batch") == [("y",)]

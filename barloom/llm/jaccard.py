@@ -290,7 +290,7 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     root = work_path(spark, "jaccard")
     docs = docs.select("doc_id", "text")
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = (
         docs.mapInArrow(_postings(buckets), _BLOCK_DDL)
         .groupBy("bucket")

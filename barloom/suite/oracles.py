@@ -227,6 +227,10 @@ ORACLES = {
         select {_BAR}, 'bars_late' from landed
         where file_day >= date '1999-11-01' and file_day <= (select max(dt) from kept where dt < date '2000-01-01')""",
     "full_load": "select * from run_result",
+    "full_load_again": "select * from run_result",
+    "full_load_from_year": f"select {_BAR} from kept",
+    "read_multipliers": "select symbol, dt, multiplier from multipliers_raw",
+    "read_renames": "select old, new from renames",
     "delta_run": """
         select symbol, dt, open, high, low, close, volume, adj_open, adj_high, adj_low, adj_close from run_result""",
     "rewrite_year": """

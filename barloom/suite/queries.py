@@ -13,6 +13,7 @@ from ..schemas import ADJUSTED, BAR, KEY
 from ..session import tune, work_path
 from ..sinks import exports
 from ..sinks import tables as sink
+from ..sources import files
 from ..sources.files import read_bar_files
 from ..sources.tables import fetch_bars
 from ..streaming.ingest import start_ingest
@@ -158,6 +159,48 @@ def full_load(x):
     return store.read("bars_mod").select(*BAR, *ADJUSTED)
 
 
+@query
+def full_load_again(x):
+    """Loaded before the last files have come, and once more with them."""
+    store = PriceStore(x.spark, work_path(x.spark, "again"))
+    landing = work_path(x.spark, "landing")
+    raw, new = x.bars_raw, F.col("dt") >= DELTA
+    exports.write_bar_files(raw.where(~new), f"{landing}/old", _month())
+    runs.full_load(store, landing, x.renames, _file_multipliers(x))
+    exports.write_bar_files(raw.where(new), f"{landing}/new", _month())
+    runs.full_load(store, landing, x.renames, _file_multipliers(x))
+    return store.read("bars_mod").select(*BAR, *ADJUSTED)
+
+
+@query
+def full_load_from_year(x):
+    """Loaded, then the years from 1999 on loaded again; earlier ones stay."""
+    store = PriceStore(x.spark, work_path(x.spark, "from-year"))
+    landing = _landed(x)
+    runs.full_load(store, landing, x.renames, _file_multipliers(x))
+    runs.full_load(store, landing, x.renames, _file_multipliers(x), start_year=1999)
+    return store.read("bars").select(*BAR)
+
+
+@query
+def read_multipliers(x):
+    """Actions written as a CSV file and read back through the reader."""
+    path = work_path(x.spark, "actions-csv")
+    rows = x.multipliers_raw.select(
+        F.col("symbol").alias("Symbol"), F.date_format("dt", "yyyyMMdd").alias("Date"), F.col("multiplier").alias("Multiplier")
+    )
+    rows.write.option("header", True).csv(path)
+    return files.read_multipliers(x.spark, path).drop("seq")
+
+
+@query
+def read_renames(x):
+    """The rename map written as CSV and read back."""
+    path = work_path(x.spark, "renames-csv")
+    x.renames.write.option("header", True).csv(path)
+    return files.read_renames(x.spark, path).drop("pos")
+
+
 @query
 def delta_run(x):
     """The years up to 1999 loaded in full, the rest added by a delta run."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -11,42 +12,100 @@ import numpy as np
 #: A run of blanks and line feeds with the run of other characters behind it.
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+#: Letters with the blank before them, up to the end or an ASCII mark or digit.
+STEM = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+(?=[!-@\[-`{-~]|\Z)")
 LONGEST = 40
 
 
+def byte_letters():
+    """The rule of byte-level vocabularies: bytes that print stand for themselves, others for letters from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: b for b in prints} | {b: 256 + k for k, b in enumerate(others)}
+
+
 class ChunkEncoder:
     """Encodes texts as the tokenizer encodes them whole, chunk by chunk through a bounded cache.
 
-    A chunk boundary lies between a character that is not white space and a blank or line feed.
-    The split patterns of the two public JSON tokenizers never match across such a place, and none
-    looks behind it, so the ids of a text are those of its chunks one after the other. Only the
-    rule for trailing white space looks ahead, which matters where white space of other kinds ends
-    a chunk: a text with any is encoded whole. Strings of special tokens are ordinary text.
+    A chunk ends before a blank or line feed. The split patterns of the two public JSON tokenizers
+    never match across such a place, and none looks behind it, so the ids of a text are those of
+    its chunks one after the other. Only the rule for trailing white space looks ahead, which
+    matters where white space of other kinds ends a chunk: a text with any is encoded whole. Where
+    the tokenizer drops white space, chunks are without it. The letters that begin a chunk are one
+    piece of either pattern and go to the merges directly; what is behind them is a chunk of its
+    own. Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        #: Without a normalizer white space and case count.
+        self.exact = self.tokenizer.normalizer is None
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.most = most
-        self.known = {}
+        self.known, self.older = {"": b""}, {}
 
     def _whole(self, texts):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype=self.dtype).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in found]
+
+    def _chunks(self, text):
+        if not text:
+            return []
+        if self.exact:
+            return CHUNK.findall(text)
+        return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+
+    def _learn(self, missing):
+        parts, rests, match = [], set(), STEM.match
+        for c in missing:
+            at = 1 if self.exact and c[0] == "\n" and c[1:2] != " " else 0
+            m = match(c, at)
+            if m:
+                end = m.end()
+                rest = c[end:]
+                parts.append((c, at, c[at:end], rest))
+                if rest:
+                    rests.add(rest)
+                if at:
+                    rests.add("\n")
+            else:
+                rests.add(c)
+        known = self.known
+        rests = list(rests.difference(known))
+        known.update(zip(rests, self._whole(rests)))
+        tokenize, code, letters, exact = self.model.tokenize, self.code, self.letters, self.exact
+        for c, at, stem, rest in parts:
+            if not exact:
+                stem = stem.lower()
+            if stem.isascii():
+                if stem[0] == " ":
+                    stem = "\u0120" + stem[1:]
+            else:
+                stem = stem.encode("utf-8").decode("latin-1").translate(letters)
+            ids = array(code, [t.id for t in tokenize(stem)]).tobytes()
+            if rest:
+                ids += known[rest]
+            known[c] = known["\n"] + ids if at else ids
 
     def encode(self, texts) -> list[bytes]:
         """Little-endian ids of each text, two or four bytes each as `dtype` says; null is empty."""
-        chunked = [CHUNK.findall(t) if t else [] for t in texts]
+        chunked = [self._chunks(t) for t in texts]
         distinct = set().union(*chunked)
-        missing = list(distinct.difference(self.known))
-        if len(self.known) + len(missing) > self.most:
-            self.known = {c: self.known[c] for c in distinct.intersection(self.known)}
-        odd = {c for c in missing if OTHER_SPACE.search(c)}
-        self.known.update(zip(missing, self._whole(missing)))
+        if len(self.known) + len(distinct) > self.most // 2:
+            # Two generations: what is met again moves up from the older one.
+            self.older, self.known = self.known, {"": b""}
+        missing = distinct.difference(self.known)
+        again = missing.intersection(self.older)
+        self.known.update((c, self.older[c]) for c in again)
+        missing = missing.difference(again)
+        odd = {c for c in missing if OTHER_SPACE.search(c)} if self.exact else ()
+        self._learn(missing)
         get = self.known.__getitem__
         out = []
         for text, chunks in zip(texts, chunked):

@@ -35,19 +35,18 @@ def sentence_ends(path: str) -> np.ndarray:
 
 def candidates(ids, document_ends, ends_sentence):
     """(positions, costs) of the cuts on offer, ascending; positions count the ids before the cut."""
-    cost = {}
+    cost = np.full(len(ids) + 1, -1, dtype=np.int8)
     marks = np.flatnonzero(ends_sentence[np.minimum(ids, len(ends_sentence) - 1)]) + 1
-    places = np.union1d(marks, document_ends)
+    cost[marks] = AT_SENTENCE
+    cost[document_ends] = AT_DOCUMENT
+    places = np.flatnonzero(cost >= 0)
     before = np.concatenate([[0], places])[: len(places)]
-    extra = [
-        np.arange(a + STRIDE, b, STRIDE) for a, b in zip(before, places) if b - a > STRIDE
-    ]
-    if extra:
-        places = np.union1d(places, np.concatenate(extra))
-    cost = np.full(len(places), ELSEWHERE, dtype=np.int64)
-    cost[np.isin(places, marks)] = AT_SENTENCE
-    cost[np.isin(places, document_ends)] = AT_DOCUMENT
-    return places, cost
+    wide = np.flatnonzero(places - before > STRIDE)
+    for a, b in zip(before[wide].tolist(), places[wide].tolist()):
+        cost[a + STRIDE : b : STRIDE] = ELSEWHERE
+    cost[0] = -1
+    places = np.flatnonzero(cost >= 0)
+    return places, cost[places].astype(np.int64)
 
 
 def best_cuts(places, costs, window):
@@ -59,22 +58,26 @@ def best_cuts(places, costs, window):
     at most `window` before place(j): a monotone queue gives it in amortised constant time. The
     few power-of-two lengths are looked up besides. Ties go to the earlier place.
     """
-    short = [1 << k for k in range(window.bit_length() - 1) if 16 << k >= window]
+    behind = {}
+    for length in [1 << k for k in range(window.bit_length() - 1) if 16 << k >= window]:
+        start = places - length
+        k = np.searchsorted(places, start)
+        hit = (start == 0) | ((k < len(places)) & (places[np.minimum(k, len(places) - 1)] == start))
+        for j, i in zip(np.flatnonzero(hit).tolist(), np.where(start == 0, -1, k)[hit].tolist()):
+            behind.setdefault(j, []).append(i)
     places, costs = places.tolist(), costs.tolist()
-    at = {p: j for j, p in enumerate(places)}
-    at[0] = -1
-    queue, f, back = deque([(0, 0, -1)]), [0] * len(places), [-1] * len(places)
+    queue, f, back = deque([(0, 0, -1)]), [0] * (len(places) + 1), [-1] * len(places)
     for j, (p, cut) in enumerate(zip(places, costs)):
-        while queue[0][1] < p - window:
+        least = p - window
+        while queue[0][1] < least:
             queue.popleft()
         value, _, i = queue[0]
-        best = value + window - p
-        for length in short:
-            k = at.get(p - length)
-            if k is not None:
-                other = f[k] if k >= 0 else 0
-                if other < best:
-                    best, i = other, k
+        best = value - least
+        if j in behind:
+            for k in behind[j]:
+                # f[-1] is that of the start, which is 0.
+                if f[k] < best:
+                    best, i = f[k], k
         total = best + cut + PER_SEQUENCE
         f[j], back[j] = total, i
         key = total + p

@@ -1,3 +1,5 @@
+"""Plain versions of what the operators compute, and the frame that their tests share."""
+
 import re
 
 import pytest

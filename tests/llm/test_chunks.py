@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 
+from plain import documents  # noqa: F401
+
 from barloom.llm.chunks import GEAR, chunk_texts, cut_places, drop_passages, gear_hashes, repeated_passages
 
 

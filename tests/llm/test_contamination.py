@@ -1,6 +1,7 @@
 import random
 
-from conftest import shingles
+
+from plain import documents, shingles  # noqa: F401
 
 from barloom.llm.contamination import contained_items, decontaminate, signature_size
 

@@ -2,7 +2,8 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import shingles
+
+from plain import documents, shingles  # noqa: F401
 
 from barloom.llm import jaccard
 from barloom.llm.graph import components

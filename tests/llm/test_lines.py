@@ -1,7 +1,8 @@
 from collections import Counter
 
 import pytest
-from conftest import WORD
+
+from plain import WORD, documents  # noqa: F401
 
 from barloom.llm.lines import clean_lines
 

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
-from conftest import shingles
 from pyspark.sql import functions as F
+from plain import shingles
 from test_jaccard import brute
 
 import corpus_pipeline

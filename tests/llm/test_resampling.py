@@ -5,6 +5,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from plain import documents  # noqa: F401
+
 from barloom.llm import resampling
 from barloom.llm.common import hashes_of, mix
 

@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from plain import documents  # noqa: F401
+
 from barloom.llm import packing, wavelet
 from barloom.llm.encode import ChunkEncoder
 

@@ -21,7 +21,7 @@ CUT = np.uint64(int(COUNTED * 2**64))
 #: A shingle of more sets than this within one flush of a task is known to be frequent there and
 #: then: only that is said of it, not whose it is.
 FREQUENT = 64
-FLUSH = 1_500_000
+FLUSH = 750_000
 #: Postings of a shingle and members of a group up to this number are paired at once; longer ones
 #: go by way of clusters.
 SHORT = 16

@@ -1,4 +1,4 @@
-"""Passages that repeat across documents, by content-defined chunks of a gear rolling hash."""
+"""Passages that repeat across documents, found at places picked by their content."""
 
 from __future__ import annotations
 
@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import bounded, column, save
+from .common import _ODD, bounded, column, mix, save, word_codes, word_hashes
 
 #: Bytes that the rolling hash looks back over.
 REACH = 32
+#: Words of a picked place.
+GROUP = 8
 GEAR = np.frombuffer(
     b"".join(xxhash.xxh32_digest(bytes([b]), seed=1) for b in range(256)), dtype="<u4"
 ).astype(np.uint32)
@@ -81,10 +83,8 @@ def chunk_texts(texts, average=32, least=16, most=128):
     mask = np.uint32((average - 1) << (32 - (average - 1).bit_length()))
     ok = np.flatnonzero((hashes & mask) == 0) + 1
     ok = ok[(ok >= len(data)) | lead[np.minimum(ok, len(data) - 1)]]
-    blank = (data == 32) | ((data >= 9) & (data <= 13)) | fresh
-    begins = ~blank
-    begins[1:] &= blank[:-1]
-    points, words = np.concatenate([[0], np.cumsum(lead)]), np.concatenate([[0], np.cumsum(begins)])
+    points = np.concatenate([[0], np.cumsum(lead)])
+    words = np.concatenate([[0], np.cumsum(word_begins(data, fresh))])
     for k, (s, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
         if not n:
             continue
@@ -99,109 +99,210 @@ def chunk_texts(texts, average=32, least=16, most=128):
     return rows
 
 
-def chunk_table(docs: DataFrame, average: int, least: int, most: int) -> DataFrame:
-    """A row per chunk: its document (id and hash of the text), place, words, those around, digest."""
-    names = ["doc_id", "row", "chunk", "start", "end", "words", "around", "high", "low"]
-    kinds = pa.schema([(c, pa.int64()) for c in names])
+def picked(texts, words):
+    """Picked places of each text, as arrays: (text number, first word, words before its end, hash).
+
+    Of every `words` words in a row the group of GROUP words (or as many as there are) with the
+    smallest hash is picked, the leftmost of equal ones. The pick depends on these words alone, so
+    copies of them pick the same group. All windows from the first word on to the end pick it.
+    """
+    hashes, starts = word_hashes(texts, lower=False)
+    size = min(GROUP, words)
+    groups = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
+    for k in range(size):
+        groups = mix(groups * _ODD[0] + hashes[k : k + len(groups)])
+    # Values of equal hash stand in the order of their places: the leftmost is the smallest.
+    place = np.arange(len(groups), dtype=np.uint64)
+    best = (groups & ~np.uint64(0xFFFFFFFF)) | place
+    have, wide = 1, words - size + 1
+    while have < wide and len(best):
+        step = min(have, wide - have)
+        best = np.minimum(best[:-step], best[step:])
+        have += step
+    lengths = np.diff(starts)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.flatnonzero(np.arange(len(owner)) + words <= starts[1:][owner])
+    if not len(at):
+        return (at,) * 4
+    chosen, owner = groups[(best[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)], owner[at]
+    # Text in circles picks equal words again and again: one row for all of them.
+    first = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])))
+    final = np.append(first[1:], len(at)) - 1
+    owner, base = owner[first], starts[:-1][owner[first]]
+    return owner, at[first] - base, at[final] + words - base, chosen[first].view(np.int64)
+
+
+def word_begins(data, fresh):
+    blank = (data == 32) | ((data >= 9) & (data <= 13)) | fresh
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    return begins
+
+
+def row_marks(texts):
+    return np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+
+
+def longs(names):
+    return pa.schema([(c, pa.int64()) for c in names]), ", ".join(f"`{c}` long" for c in names)
+
+
+def pick_table(docs: DataFrame, words: int) -> DataFrame:
+    """A row per pick: hash of the text, number in it, words around it, hash of its words."""
+    kinds, schema = longs(["row", "pick", "first", "last", "digest"])
+
+    def run(batches):
+        for batch in bounded(batches, most=1_000_000):
+            texts = pc.fill_null(column(batch, "text"), "")
+            k, first, last, digest = picked(texts, words)
+            if len(k):
+                number = np.arange(len(k)) - np.searchsorted(k, k)
+                rows = row_marks(texts.to_pylist())[k]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rows, number, first, last, digest)], schema=kinds)
+
+    return docs.select("text").mapInArrow(run, schema)
+
+
+def word_places(text):
+    """The text in UTF-8, first bytes and ends of its words, and the code points before each byte."""
+    body = text.encode("utf-8")
+    data = np.frombuffer(body, dtype=np.uint8)
+    begins = np.flatnonzero(word_begins(data, np.zeros(len(data), bool)))
+    ends = len(data) - np.flatnonzero(word_begins(data[::-1], np.zeros(len(data), bool)))[::-1]
+    return body, begins, ends, np.append(0, np.cumsum((data & 0xC0) != 0x80))
+
+
+def outline(docs: DataFrame) -> DataFrame:
+    """doc_id, hash of the text, start and end of all its words in code points, and their number."""
+    kinds, schema = longs(["doc_id", "row", "start", "end", "words"])
 
     def run(batches):
         for batch in bounded(batches, most=1_000_000):
             texts = pc.fill_null(column(batch, "text"), "").to_pylist()
-            rows = chunk_texts(texts, average, least, most)
-            if not rows:
-                continue
-            k, i, start, end, words, data = zip(*rows)
-            k, words = np.array(k), np.array(words)
-            around = np.zeros(len(k), np.int64)
-            same = k[1:] == k[:-1]
-            around[1:] += np.where(same, words[:-1], 0)
-            around[:-1] += np.where(same, words[1:], 0)
-            digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(d) for d in data), dtype=">i8").reshape(-1, 2)
-            rows_of = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+            blanks = "".join(chr(c) for c in (32, *range(9, 14)))
+            start = [len(t) - len(t.lstrip(blanks)) for t in texts]
+            end = [len(t.rstrip(blanks)) for t in texts]
+            words = np.diff(word_codes(pa.array(texts, pa.string()), lower=False)[1])
             yield pa.RecordBatch.from_arrays(
-                [
-                    column(batch, "doc_id").take(pa.array(k)),
-                    pa.array(rows_of[k]),
-                    pa.array(i, pa.int64()),
-                    pa.array(start, pa.int64()),
-                    pa.array(end, pa.int64()),
-                    pa.array(words.astype(np.int64)),
-                    pa.array(around),
-                    pa.array(digests[:, 0].astype(np.int64)),
-                    pa.array(digests[:, 1].astype(np.int64)),
-                ],
+                [column(batch, "doc_id"), *[pa.array(x, pa.int64()) for x in (row_marks(texts), start, end, words)]],
                 schema=kinds,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"`{c}` long" for c in names))
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def run_table(docs: DataFrame, words: int) -> DataFrame:
+    """A row per run of `words` words in the `spans` of documents: its first word, place and digest."""
+    kinds, schema = longs(["doc_id", "row", "at", "start", "end", "digest"])
+
+    def run(batches):
+        for batch in bounded(batches, most=250_000):
+            ids, marks = column(batch, "doc_id"), column(batch, "row")
+            for i, (text, spans) in enumerate(zip(column(batch, "text"), column(batch, "spans").to_pylist())):
+                body, begins, ends, points = word_places(text.as_py())
+                at = np.unique(np.concatenate([np.arange(s["first"], s["last"] - words + 1) for s in spans]))
+                start, end = begins[at], ends[at + words - 1]
+                pieces = [xxhash.xxh3_64_intdigest(body[a:b]) for a, b in zip(start.tolist(), end.tolist())]
+                of = pa.array(np.full(len(at), i))
+                found = [at, points[start], points[end], np.array(pieces, np.uint64).view(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(of), marks.take(of), *[pa.array(x) for x in found]], schema=kinds
+                )
+
+    return docs.select("doc_id", "row", "text", "spans").mapInArrow(run, schema)
 
 
-def repeated_passages(
-    docs: DataFrame,
-    *,
-    min_words: int = 45,
-    average: int = 32,
-    least: int = 16,
-    most: int = 128,
-) -> DataFrame:
+def repeated_passages(docs: DataFrame, *, min_words: int = 45) -> DataFrame:
     """Passages of a document that are found in another one too.
 
-    Columns: doc_id, row (hash of the text), start, end (code points, of whole chunks), n_chunks,
-    n_words, first_doc_id, is_first. A passage is a run of chunks next to each other that all
-    repeat in other documents. It is listed when its words and those of the chunks around it,
-    which the repetition may cover in part, come to `min_words`. `is_first` holds where no chunk
-    of it is in a document before (by doc_id, then by the text's hash): there it is kept when
-    repeats are dropped, elsewhere first_doc_id names the earliest document with one of its chunks.
+    Columns: doc_id, row (hash of the text), start, end (code points, of whole words), n_chunks,
+    n_words, first_doc_id, is_first. A chunk is a run of `min_words` words, blanks between them
+    included, that another document has byte by byte; a passage is all chunks of a document that
+    overlap or touch. `is_first` holds where no chunk of it is in a document before (by doc_id,
+    then by the text's hash): there it is kept when repeats are dropped, elsewhere first_doc_id
+    names the earliest document with one of its chunks.
 
-    Chunk ends depend on the bytes before them only, so insertions shift no chunk but those they
-    touch. Null and empty texts have no chunks; rows that repeat doc_id and text are one document;
-    equal texts under different ids repeat each other; repeats within one document alone are not
-    listed; extra columns are ignored; an empty table gives no rows.
+    Null and empty texts have no chunks; rows that repeat doc_id and text are one document; equal
+    texts under different ids repeat each other; repeats within one document alone are not listed;
+    extra columns are ignored; an empty table gives no rows.
 
-    Chunks meet in a count per digest that is combined before the shuffle; the few digests found
-    in several documents are written, and all chunks join them by digest with skewed keys split.
+    No chunk is missed: of every `min_words` words in a row one place is picked by these words
+    alone (see `picked`), so all picks inside a chunk are in the other document too. Only runs of
+    words whose picks are all shared by several texts are hashed and compared, once for each text;
+    equal texts repeat each other whole. Hashes are counted with a combine before the shuffle; the
+    few found in several texts are written, and the rows join them with skewed keys split.
     """
-    chunks = chunk_table(docs, average, least, most)
-    place = F.struct("doc_id", "row")
+    spark = docs.sparkSession
+    of_text = Window.partitionBy("row")
+    outlines = save(outline(docs).where(F.col("words") >= min_words), work_path(spark, "outlines"))
+    texts = outlines.groupBy("row").agg(
+        F.min(F.struct("doc_id")).alias("least"),
+        F.max(F.struct("doc_id")).alias("largest"),
+        F.first("start").alias("start"),
+        F.first("end").alias("end"),
+        F.first("words").alias("words"),
+    )
+    texts = texts.select(
+        "row", "start", "end", "words", F.col("least.doc_id").alias("doc_id"),
+        (~F.col("least").eqNullSafe(F.col("largest"))).alias("many"),
+    )
+
+    picks = pick_table(docs, min_words)
+    shared = picks.groupBy("digest").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b")
+    hits = picks.join(save(shared.select("digest"), work_path(spark, "picks")), "digest").drop("digest")
+    spans = (
+        hits.withColumn("run", F.col("pick") - F.dense_rank().over(of_text.orderBy("pick")))
+        .groupBy("row", "run")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+        .join(texts.select("row", F.col("doc_id").alias("__doc_id")), "row")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__hash") == F.col("row"))
+    runs = run_table(row_hashes(docs.select("doc_id", "text")).join(spans, same), min_words)
+    runs = save(runs, work_path(spark, "runs"))
+
     shared = (
-        chunks.groupBy("high", "low")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(~F.col("first").eqNullSafe(F.col("last")))
-        .select(
-            "high",
-            "low",
-            F.col("first.doc_id").alias("first_doc_id"),
-            F.col("first.row").alias("first_row"),
-        )
+        runs.groupBy("digest")
+        .agg(F.min(F.struct("doc_id", "row")).alias("first"), F.min("row").alias("a"), F.max("row").alias("b"))
+        .where("a <> b")
     )
-    shared = save(shared, work_path(docs.sparkSession, "chunks"))
-    hits = chunks.join(shared, ["high", "low"]).drop("high", "low").distinct()
-    of_doc = Window.partitionBy("doc_id", "row").orderBy("chunk")
-    runs = hits.withColumn("run", F.col("chunk") - F.row_number().over(of_doc))
-    first = F.struct("first_doc_id", "first_row")
-    passages = runs.groupBy("doc_id", "row", "run").agg(
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
-        F.count("*").alias("n_chunks"),
-        F.sum("words").alias("n_words"),
-        F.sum("around").alias("around"),
-        F.min_by("words", "chunk").alias("first_words"),
-        F.max_by("words", "chunk").alias("last_words"),
-        F.min(first).alias("first"),
+    shared = save(shared.select("digest", "first"), work_path(spark, "chunks"))
+    step = F.col("at") - F.lag("at").over(of_text.orderBy("at"))
+    parts = (
+        runs.drop("doc_id")
+        .join(shared, "digest")
+        .withColumn("step", step)
+        .withColumn("part", F.count(F.when(F.col("step") > min_words, 1)).over(of_text.orderBy("at")))
+        .groupBy("row", "part")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.count(F.when(F.col("step").isNull() | (F.col("step") > 0), 1)).alias("n_chunks"),
+            (F.max("at") - F.min("at") + min_words).alias("n_words"),
+            F.min("first").alias("first"),
+        )
     )
-    # Words of the chunks on both sides of the run: each inner border is counted from both sides in `around`.
-    edges = F.col("around") - (2 * F.col("n_words") - F.col("first_words") - F.col("last_words"))
-    return passages.where(F.col("n_words") + edges >= min_words).select(
+    parts = save(parts, work_path(spark, "passages"))
+
+    passages = parts.join(texts.where(~F.col("many")).select("row"), "row").drop("part")
+    earlier = parts.groupBy("row").agg(F.min("first").alias("earlier"))
+    # least() leaves out nulls, and a null id inside the struct comes before all others.
+    first = F.least("earlier", F.struct("doc_id", "row"))
+    whole = texts.where("many").join(earlier, "row", "left").select(
+        "row", "start", "end", (F.col("words") - min_words + 1).alias("n_chunks"), F.col("words").alias("n_words"),
+        first.alias("first"),
+    )
+    found = passages.unionByName(whole).join(outlines.select("doc_id", "row").distinct(), "row")
+    return found.select(
         "doc_id",
         "row",
         "start",
         "end",
         "n_chunks",
         "n_words",
-        F.col("first.first_doc_id").alias("first_doc_id"),
-        F.col("first").eqNullSafe(F.struct(F.col("doc_id").alias("first_doc_id"), F.col("row").alias("first_row"))).alias(
-            "is_first"
-        ),
+        F.col("first.doc_id").alias("first_doc_id"),
+        F.col("first").eqNullSafe(F.struct("doc_id", "row")).alias("is_first"),
     )
 
 
@@ -234,13 +335,12 @@ def drop_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
 
 def row_hashes(docs: DataFrame) -> DataFrame:
-    """`docs` with the hash of the text that chunk_table uses, as __hash."""
+    """`docs` with the hash of the text that pick_table uses, as __hash."""
 
     def run(batches):
         for batch in bounded(batches):
             texts = pc.fill_null(column(batch, "text"), "").to_pylist()
-            marks = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names=[*batch.schema.names, "__hash"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(row_marks(texts))], names=[*batch.schema.names, "__hash"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, f"{fields}, __hash long")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 
@@ -75,3 +76,45 @@ def test_dropping_keeps_the_first(documents):
 
 def test_empty_table(documents):
     assert repeated_passages(documents([(1, "x")]).limit(0)).count() == 0
+
+
+def brute_passages(docs, words):
+    """(doc_id, start, end) of the passages by the definition, run by run."""
+    runs, at = {}, {}
+    for d, text in docs:
+        at[d] = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        for i in range(len(at[d]) - words + 1):
+            runs.setdefault(text[at[d][i][0] : at[d][i + words - 1][1]], set()).add(d)
+    out = []
+    for d, text in docs:
+        parts = []
+        for i in range(len(at[d]) - words + 1):
+            if len(runs[text[at[d][i][0] : at[d][i + words - 1][1]]]) > 1:
+                if parts and i <= parts[-1][1]:
+                    parts[-1][1] = i + words
+                else:
+                    parts.append([i, i + words])
+        out += [(d, at[d][a][0], at[d][b - 1][1]) for a, b in parts]
+    return sorted(out)
+
+
+def test_every_passage_of_51_words_in_two_documents(documents):
+    rng = random.Random(5)
+    docs = [(i, prose(rng, rng.randint(30, 150))) for i in range(600)]
+    for k in range(0, 600, 2):
+        passage = prose(rng, 51) if k % 4 else " ".join(rng.choices("abcé", k=51))
+        for d in (k, k + 1):
+            docs[d] = (d, docs[d][1] + "\n" + passage + "\n" + prose(rng, rng.randint(1, 90)))
+    docs += [(900, "a b " * 100), (901, "b a " * 60 + "日 " * 50), (902, "日 " * 44), (903, "日 " * 45), (904, "=" * 500)]
+    rows = repeated_passages(documents(docs)).collect()
+    assert sorted((r.doc_id, r.start, r.end) for r in rows) == brute_passages(docs, 45)
+    assert {r.doc_id for r in rows} >= set(range(600))
+    assert all(r.n_words == len(dict(docs)[r.doc_id][r.start : r.end].split()) for r in rows)
+
+
+def test_short_runs_by_brute_force(documents):
+    rng = random.Random(6)
+    docs = [(i, " ".join(rng.choices(["a", "bb", "ccc", "é", "dddddd"], k=rng.randint(0, 40)))) for i in range(60)]
+    for words in (2, 5, 9, 20):
+        rows = repeated_passages(documents(docs), min_words=words).collect()
+        assert sorted((r.doc_id, r.start, r.end) for r in rows) == brute_passages(docs, words)

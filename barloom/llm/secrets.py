@@ -27,6 +27,11 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 over single line breaks, with blanks around them.
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: What any layer but plain text shows somewhere; the same tests as above, for a whole Arrow column.
 ENCODED = r"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#[0-9xX]|[A-Za-z0-9+/_-]{16}"
 PLAIN = r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i)password|passwd|secret|token|api_?key"
@@ -103,23 +108,52 @@ def _inflate(raw: bytes, most: int):
     return None
 
 
+def _runs(text):
+    """Base64 runs of a text, line by line and joined over line breaks, and where each character is."""
+    for m in BASE64.finditer(text):
+        yield m[0], lambda i, start=m.start(): start + i
+    for m in WRAPPED.finditer(text):
+        lines = [(x[0], m.start() + x.start()) for x in LINE.finditer(m[0])]
+        for group in _blocks(lines):
+            places = np.concatenate([np.arange(at, at + len(x)) for x, at in group])
+            yield "".join(x for x, _ in group), places.__getitem__
+
+
+def _blocks(lines):
+    """Lines to join: all, and those of equal length in a row, also with the shorter line behind them.
+
+    A word before the first or behind the last line of a block looks like one of its lines.
+    """
+    at, found = 0, [lines]
+    while at < len(lines):
+        size, stop = len(lines[at][0]), at + 1
+        while stop < len(lines) and len(lines[stop][0]) == size:
+            stop += 1
+        if stop - at > 1:
+            found.append(lines[at:stop])
+        if stop < len(lines) and len(lines[stop][0]) < size:
+            found.append(lines[at : stop + 1])
+        at = stop
+    return [x for i, x in enumerate(found) if x not in found[:i]]
+
+
 def _base64(text, most):
     """Layers inside base64 runs: (decoded text, begin, end, whether the limit cut it)."""
-    for m in BASE64.finditer(text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    for chars, spot in _runs(text):
+        body = chars.rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
             continue
         try:
             raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        packed = None
+        packed, first, last = None, spot(0), spot(len(chars) - 1) + 1
         if raw[:2] == b"\x1f\x8b" or (raw[0] & 15 == 8 and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0):
             packed = _inflate(raw, most)
         try:
             if packed is not None:
                 inner = packed.decode("utf-8", "ignore" if len(packed) == most else "strict")
-                yield inner, np.full(len(inner), m.start()), np.full(len(inner), m.end()), len(packed) == most
+                yield inner, np.full(len(inner), first), np.full(len(inner), last), len(packed) == most
                 continue
             inner = raw.decode("utf-8")
         except UnicodeDecodeError:
@@ -128,8 +162,8 @@ def _base64(text, most):
             continue
         # Character i of the inner text starts at byte at[i]; three bytes come from four characters.
         at = np.cumsum([0, *(len(c.encode("utf-8")) for c in inner)])
-        begin = m.start() + at[:-1] // 3 * 4
-        end = np.minimum(m.start() + (at[1:] - 1) // 3 * 4 + 4, m.end())
+        begin = spot(at[:-1] // 3 * 4)
+        end = spot(np.minimum((at[1:] - 1) // 3 * 4 + 3, len(chars) - 1)) + 1
         yield inner, begin, end, False
 
 
@@ -137,8 +171,8 @@ def unwrap(text: str, most: int = 8_000_000):
     """Spans of all secrets of a text, of every layer, in code points of the text itself.
 
     Layers wait in a worklist: each is scanned once, then yields its URL-decoded form, its form
-    without Unicode escapes, and the content of its base64 runs, decompressed where it is gzip
-    or zlib data. A layer whose text was seen before is not taken again, so cycles end, and every
+    without Unicode escapes, and the content of its base64 runs, also of those wrapped over lines,
+    decompressed where it is gzip or zlib data. A layer whose text was seen before is not taken again, so cycles end, and every
     decoding shortens its input except for decompression, which `most` bytes per stream bound.
     Returns (spans, layers, layers cut at the limit).
     """

@@ -105,3 +105,29 @@ def test_masked(documents):
 
 def test_scan_is_leftmost():
     assert scan("AKIA" + "A" * 16) == [("access", 0, 20)]
+
+
+def wrapped(raw, width, gap="\n"):
+    text = base64.b64encode(raw).decode()
+    return gap.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+def test_base64_over_several_lines():
+    filler = "".join(f"{i * i:x}," for i in range(300))
+    inner = f"{filler} the access key is {KEY} and token=abcdefgh, {filler}"
+    for raw in (inner.encode(), gzip.compress(inner.encode()), zlib.compress(inner.encode())):
+        for width, gap in ((64, "\n"), (76, "\r\n"), (76, " \n  ")):
+            for before, after in (("", ""), ("data ", "\nend"), ("-----BEGIN CERTIFICATE-----\n", "\n-----END CERTIFICATE-----")):
+                text = before + wrapped(raw, width, gap) + after
+                spans = unwrap(text)[0]
+                assert {"access", "assign"} <= {k for k, _, _ in spans}
+                assert all(len(before) <= a < b <= len(text) - len(after) for _, a, b in spans)
+                assert not {"access", "assign"} & {k for k, _, _ in scan(text)}
+
+
+def test_lines_of_full_length_only():
+    inner = ("x" * 40 + f" {KEY} " + "y" * 100).encode()[:144]
+    text = wrapped(inner, 64)
+    assert len(text.split("\n")[-1]) == 64
+    (span,) = [s for k, s in found(f"a\n{text}\nend of it") if k == "access"]
+    assert span in text and len(span) <= 34

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -32,6 +34,8 @@ WRAPPED = re.compile(
     r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}"
 )
 LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: What no secret and no encoded run has in it, so that a long layer can be divided there.
+BORDER = re.compile(r"[^A-Za-z0-9+/_.=:\"'%\\{}&#;\x20\t\r\n-]")
 #: What any layer but plain text shows somewhere; the same tests as above, for a whole Arrow column.
 ENCODED = r"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#[0-9xX]|[A-Za-z0-9+/_-]{16}"
 PLAIN = r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i)password|passwd|secret|token|api_?key"
@@ -96,16 +100,69 @@ def _printable(text):
 
 
 def _inflate(raw: bytes, most: int):
-    """Bytes of a gzip, zlib or raw deflate stream up to `most`, or None where it is none."""
+    """Bytes of a gzip, zlib or raw deflate stream in pieces of `most` at most; none where it is none.
+
+    Gzip members that follow each other are all read. A stream that breaks off counts only as far
+    as it gave whole pieces.
+    """
     for wbits in (47, -15):
-        machine = zlib.decompressobj(wbits)
+        rest, given = raw, False
         try:
-            out = machine.decompress(raw, most)
+            while rest:
+                machine, held = zlib.decompressobj(wbits), []
+                out = machine.decompress(rest, most)
+                while out:
+                    held.append(out)
+                    if len(out) == most:
+                        yield from held
+                        held, given = [], True
+                    out = b"" if machine.eof else machine.decompress(machine.unconsumed_tail, most)
+                if not machine.eof:
+                    break
+                given |= bool(held)
+                yield from held
+                # Zeros may pad a member; anything but another one ends the data.
+                rest = machine.unused_data.lstrip(b"\0")
+                if rest[:2] != b"\x1f\x8b":
+                    break
         except zlib.error:
-            continue
-        if out and (machine.eof or len(out) == most):
-            return out
-    return None
+            pass
+        if given:
+            return
+
+
+def _pieces(raw: bytes, most: int):
+    """The text of compressed data in pieces that no secret and no encoded run spans.
+
+    They end behind a character that is in none of these, `most` bytes apart or more. A text of
+    up to `most` bytes is one piece and has to be UTF-8; in longer ones what is not is left out.
+    """
+    parts = _inflate(raw, most)
+    first, more = next(parts, None), next(parts, None)
+    if first is None:
+        return
+    if more is None:
+        try:
+            yield first.decode("utf-8")
+        except UnicodeDecodeError:
+            # A full piece may end inside a character.
+            if len(first) == most:
+                yield first.decode("utf-8", "ignore")
+        return
+    decoder = codecs.getincrementaldecoder("utf-8")("ignore")
+    held, size = [], 0
+    for part in itertools.chain((first, more), parts):
+        new = decoder.decode(part)
+        size += len(part)
+        stop = max((m.end() for m in BORDER.finditer(new, max(0, len(new) - 10_000))), default=0) or max(
+            (m.end() for m in BORDER.finditer(new)), default=0
+        )
+        if size >= most and stop:
+            yield "".join([*held, new[:stop]])
+            held, size = [], 0
+            new = new[stop:]
+        held.append(new)
+    yield "".join([*held, decoder.decode(b"", True)])
 
 
 def _runs(text):
@@ -138,7 +195,7 @@ def _blocks(lines):
 
 
 def _base64(text, most):
-    """Layers inside base64 runs: (decoded text, begin, end, whether the limit cut it)."""
+    """Layers inside base64 runs: (decoded text, begin, end, whether it opens one of over `most` bytes)."""
     for chars, spot in _runs(text):
         body = chars.rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
@@ -149,12 +206,14 @@ def _base64(text, most):
             continue
         packed, first, last = None, spot(0), spot(len(chars) - 1) + 1
         if raw[:2] == b"\x1f\x8b" or (raw[0] & 15 == 8 and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            packed = _inflate(raw, most)
+            packed = list(_pieces(raw, most))
+        if packed:
+            large = len(packed) > 1 or len(packed[0]) >= most
+            for k, inner in enumerate(packed):
+                size = len(inner)
+                yield inner, np.broadcast_to(first, size), np.broadcast_to(last, size), large and not k
+            continue
         try:
-            if packed is not None:
-                inner = packed.decode("utf-8", "ignore" if len(packed) == most else "strict")
-                yield inner, np.full(len(inner), first), np.full(len(inner), last), len(packed) == most
-                continue
             inner = raw.decode("utf-8")
         except UnicodeDecodeError:
             continue
@@ -173,8 +232,9 @@ def unwrap(text: str, most: int = 8_000_000):
     Layers wait in a worklist: each is scanned once, then yields its URL-decoded form, its form
     without Unicode escapes, and the content of its base64 runs, also of those wrapped over lines,
     decompressed where it is gzip or zlib data. A layer whose text was seen before is not taken again, so cycles end, and every
-    decoding shortens its input except for decompression, which `most` bytes per stream bound.
-    Returns (spans, layers, layers cut at the limit).
+    decoding shortens its input except for decompression. Compressed data is read to its end; of
+    more than `most` bytes it is taken in pieces, each a layer, that nothing to be found spans.
+    Returns (spans, layers, layers of more than `most` bytes).
     """
     found, seen, cut = set(scan(text)), {hashlib.sha1(text.encode("utf-8", "surrogatepass")).digest()}, 0
     work = [(text, None, None)]
@@ -187,7 +247,10 @@ def unwrap(text: str, most: int = 8_000_000):
             mark = hashlib.sha1(new.encode("utf-8", "surrogatepass")).digest()
             # The same content at two places gives two spans, so the place belongs to the mark.
             if begin is not None:
-                b, e = begin[b], end[np.maximum(e - 1, 0)]
+                if b.strides == (0,) and len(b):
+                    b, e = np.broadcast_to(begin[b[0]], len(b)), np.broadcast_to(end[max(e[0] - 1, 0)], len(e))
+                else:
+                    b, e = begin[b], end[np.maximum(e - 1, 0)]
             mark += repr((int(b[0]), int(e[-1]))).encode() if len(b) else b""
             if not new or mark in seen:
                 continue
@@ -249,8 +312,8 @@ def mask_secrets(docs: DataFrame, most: int = 8_000_000) -> DataFrame:
 def find_secrets(docs: DataFrame, mask: bool = False, most: int = 8_000_000) -> DataFrame:
     """Secrets of every document: counts and list of the plain ones, list of those of all layers.
 
-    Columns: doc_id, n_assign, n_access, n_hex, base_spans, spans, n_layers, n_cut (layers cut at
-    `most` bytes), and with `mask` the text with all spans replaced. Null text counts as empty and
+    Columns: doc_id, n_assign, n_access, n_hex, base_spans, spans, n_layers, n_cut (compressed
+    layers of more than `most` bytes, which are cut into pieces but read to the end), and with `mask` the text with all spans replaced. Null text counts as empty and
     stays null when masked; empty texts have no spans; repeated rows are scanned each; extra
     columns are ignored; an empty table gives no rows. One pass, no shuffle; a worker holds one
     slice of texts and the layers of one document.

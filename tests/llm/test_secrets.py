@@ -131,3 +131,27 @@ def test_lines_of_full_length_only():
     assert len(text.split("\n")[-1]) == 64
     (span,) = [s for k, s in found(f"a\n{text}\nend of it") if k == "access"]
     assert span in text and len(span) <= 34
+
+
+def test_compressed_data_is_read_to_its_end():
+    filler = "".join(f"{i}, " for i in range(40_000)).encode()
+    tail = f"the key is {KEY}, {'%' + '%'.join(f'{ord(c):02x}' for c in 'token=abcdefgh')}, end".encode()
+    members = gzip.compress(filler) + gzip.compress(tail)
+    for raw in (gzip.compress(filler + tail), zlib.compress(filler + tail), members, members + b"\0\0"):
+        for most in (1000, 50_000, 8_000_000):
+            spans, _, large = unwrap("x " + base64.b64encode(raw).decode(), most)
+            assert {"access", "assign"} <= {k for k, _, _ in spans} and large == (most < 8_000_000)
+
+
+def test_secrets_at_the_borders_of_pieces():
+    for shift in range(40):
+        raw = zlib.compress(("a, " * 300 + "x" * shift + f" {KEY}, " + "b, " * 300).encode())
+        text = "x " + base64.b64encode(raw).decode()
+        for most in (64, 900, 930):
+            assert any(k == "access" for k, _ in {(k, a) for k, a, _ in unwrap(text, most)[0]})
+
+
+def test_gzip_that_is_no_text_or_broken_off():
+    assert unwrap(base64.b64encode(gzip.compress(b"\xff\xfe" * 50 + KEY.encode())).decode())[1] == 1
+    whole = gzip.compress("".join(f"{i * i}, " for i in range(300)).encode())
+    assert unwrap(base64.b64encode(whole[:-200]).decode())[1] == 1

@@ -33,15 +33,21 @@ class ChunkEncoder:
     matters where white space of other kinds ends a chunk: a text with any is encoded whole. Where
     the tokenizer drops white space, chunks are without it. The letters that begin a chunk are one
     piece of either pattern and go to the merges directly; what is behind them is a chunk of its
-    own. Strings of special tokens are ordinary text.
+    own. A text with the string of a special token is encoded whole, where the library gives it the
+    token's id; with `plain` such strings are ordinary text.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 300_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError(f"{path}: added tokens are looked for as they are spelled")
+        # Chunks hold no string of a special token but by lower-casing, which does not make it one.
         self.tokenizer.encode_special_tokens = True
+        self.marks = [] if plain else [t.content for t in added.values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         #: Without a normalizer white space and case count.
         self.exact = self.tokenizer.normalizer is None
@@ -50,7 +56,8 @@ class ChunkEncoder:
         self.most = most
         self.known, self.older = {"": b""}, {}
 
-    def _whole(self, texts):
+    def _whole(self, texts, marked=False):
+        self.tokenizer.encode_special_tokens = not marked
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, x.ids).tobytes() for x in found]
 
@@ -79,23 +86,38 @@ class ChunkEncoder:
         known = self.known
         rests = list(rests.difference(known))
         known.update(zip(rests, self._whole(rests)))
-        tokenize, code, letters, exact = self.model.tokenize, self.code, self.letters, self.exact
+        # A stem is a chunk as well, so it is merged once whatever marks stand behind it.
+        stems = {p[2] for p in parts}.difference(known)
+        again = stems.intersection(self.older)
+        known.update((s, self.older[s]) for s in again)
+        stems -= again
+        self._merge(stems)
         for c, at, stem, rest in parts:
-            if not exact:
-                stem = stem.lower()
-            if stem.isascii():
-                if stem[0] == " ":
-                    stem = "\u0120" + stem[1:]
-            else:
-                stem = stem.encode("utf-8").decode("latin-1").translate(letters)
-            ids = array(code, [t.id for t in tokenize(stem)]).tobytes()
+            ids = known[stem]
             if rest:
                 ids += known[rest]
             known[c] = known["\n"] + ids if at else ids
+        for stem in stems:
+            # What is learned as a chunk stays until the batch is done.
+            if len(stem) > LONGEST and stem not in missing:
+                del known[stem]
+
+    def _merge(self, stems):
+        """Learn the ids of runs of letters, with or without a blank before them."""
+        known, tokenize, code, letters = self.known, self.model.tokenize, self.code, self.letters
+        for stem in stems:
+            text = stem if self.exact else stem.lower()
+            if text.isascii():
+                if text[0] == " ":
+                    text = "\u0120" + text[1:]
+            else:
+                text = text.encode("utf-8").decode("latin-1").translate(letters)
+            known[stem] = array(code, [t.id for t in tokenize(text)]).tobytes()
 
     def encode(self, texts) -> list[bytes]:
         """Little-endian ids of each text, two or four bytes each as `dtype` says; null is empty."""
-        chunked = [self._chunks(t) for t in texts]
+        marked = {i for i, t in enumerate(texts) if t and any(m in t for m in self.marks)}
+        chunked = [[] if i in marked else self._chunks(t) for i, t in enumerate(texts)]
         distinct = set().union(*chunked)
         if len(self.known) + len(distinct) > self.most // 2:
             # Two generations: what is met again moves up from the older one.
@@ -108,9 +130,9 @@ class ChunkEncoder:
         self._learn(missing)
         get = self.known.__getitem__
         out = []
-        for text, chunks in zip(texts, chunked):
-            if odd and not odd.isdisjoint(chunks):
-                out += self._whole([text])
+        for i, (text, chunks) in enumerate(zip(texts, chunked)):
+            if i in marked or odd and not odd.isdisjoint(chunks):
+                out += self._whole([text], i in marked)
             else:
                 out.append(b"".join(map(get, chunks)))
         for c in missing:

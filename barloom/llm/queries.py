@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import oracles
+from .align import aligned_documents
+from .bpe import decode_documents, encode_documents
 from .chunks import repeated_passages
 from .common import table
 from .contamination import contained_items
@@ -114,6 +116,21 @@ def op10_resampling(spark, sf_dir):
     )
 
 
+def op11_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return aligned_documents(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_bpe_prefix(spark, sf_dir):
+    path = tokenizer("byte_bpe_50k.json")
+    return decode_documents(encode_documents(table(spark, sf_dir, "documents"), path), path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_wavelet_shards": op1_wavelet_shards,
     "op2_line_cleaning": op2_line_cleaning,
@@ -125,5 +142,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_resampling": op10_resampling,
+    "op11_token_alignment": op11_token_alignment,
+    "op13_bpe_prefix": op13_bpe_prefix,
 }
 ORACLES = oracles.ORACLES

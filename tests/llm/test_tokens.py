@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from plain import documents  # noqa: F401
 
@@ -16,9 +17,11 @@ ENCODERS = {f: ChunkEncoder(public_tokenizers.path(f), most=50) for f in FILES}
 TEXT = st.text(st.sampled_from(list(" \n\t\r\x85\xa0\x1c aAbé'stΣ1.,!?-<|>́日")) | st.characters(codec="utf-8"), max_size=60)
 
 
+LIBRARY = {f: Tokenizer.from_file(public_tokenizers.path(f)) for f in FILES}
+
+
 def whole(name, text):
-    own = ENCODERS[name]
-    return own.tokenizer.encode(text or "", add_special_tokens=False).ids
+    return LIBRARY[name].encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", FILES)
@@ -29,6 +32,18 @@ def test_chunks_encode_as_the_whole(name, texts):
     assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == [whole(name, t) for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_strings_of_special_tokens(name):
+    texts = ["x <|endoftext|> y", "<|startoftext|>", "a <|endoftext|><|endoftext|>\n b", "<|ENDOFTEXT|> z", None]
+    own = ChunkEncoder(public_tokenizers.path(name))
+    assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == [whole(name, t) for t in texts]
+    plain = ChunkEncoder(public_tokenizers.path(name), plain=True)
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    library.encode_special_tokens = True
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, own.dtype).tolist() for b in plain.encode(texts)] == expected
+
+
 @settings(max_examples=60, deadline=None)
 @given(ids=st.lists(st.integers(0, 49999) | st.integers(0, 5), max_size=300))
 def test_shard_access_count_find(ids):
@@ -53,7 +68,7 @@ def test_shard_of_several_blocks():
     assert [shard.find(7, k) for k in (0, 20_000, 33_333)] == np.flatnonzero(ids == 7)[[0, 20_000, 33_333]].tolist()
 
 
-DOCS = [(5, "Hello world. It's é."), (2, None), (2, ""), (None, "x"), (9, "One two. " * 3000), (7, "a\tb  c\n\nd"), (7, "a\tb  c\n\nd"), (11, "z" * 5000)]
+DOCS = [(5, "Hello <|endoftext|> world. It's é."), (2, None), (2, ""), (None, "x"), (9, "One two. " * 3000), (7, "a\tb  c\n\nd"), (7, "a\tb  c\n\nd"), (11, "z" * 5000)]
 
 
 @pytest.mark.parametrize("size", [50, 1 << 21])

@@ -103,8 +103,38 @@ select dx.id as doc_id, ix.id as item_id, any_value(n) as n_item, count(*)::bigi
 from dx join ix using (t) group by dx.id, ix.id having 4 * count(*) >= 3 * any_value(n)
 """
 
+_TERM = _text(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_TERMS = f"""
+  select row, id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_TERM})) as term
+  from (select row_number() over () as row, %s as id, text from %s)
+"""
+
+RANKED = f"""
+with dt as ({_TERMS % ("doc_id", "documents")}),
+it as ({_TERMS % ("item_id", "benchmark")}),
+f as (select row, id, term, count(*) as tf from dt group by row, id, term),
+d as (select row, sum(tf)::bigint as n from f group by row),
+total as (select count(*) as docs, sum(n)::bigint as terms from d),
+w as (select term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w
+      from (select term, count(*) as df from f group by term), total),
+m as (select row, 100 - 25 + ((25 * n * docs) // terms) as m from d, total),
+q as (select row as item_row, id as item_id, term, count(*) as repeats from it group by row, id, term),
+s as (
+  select item_row, item_id, f.row, f.id as doc_id,
+         sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from q join f using (term) join w using (term) join m on f.row = m.row
+  group by item_row, item_id, f.row, f.id
+), r as (
+  select *, row_number() over (partition by item_row order by score desc, doc_id nulls first) as rank
+  from s where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 20
+"""
+
 ORACLES = {
     "op2_line_cleaning": LINES,
     "op5_jaccard_join": JACCARD,
     "op6_decontamination": CONTAINED,
+    "op12_ranked_search": RANKED,
 }

@@ -13,6 +13,7 @@ from .contamination import contained_items
 from .jaccard import jaccard_components
 from .lines import clean_lines
 from .packing import pack
+from .ranking import best_documents, build_index
 from .resampling import resample
 from .secrets import find_secrets
 from .toxicity import fit_toxicity, score_toxicity
@@ -121,6 +122,10 @@ def op11_token_alignment(spark, sf_dir):
     return aligned_documents(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
 
 
+def op12_ranked_search(spark, sf_dir):
+    return best_documents(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_bpe_prefix(spark, sf_dir):
     path = tokenizer("byte_bpe_50k.json")
     return decode_documents(encode_documents(table(spark, sf_dir, "documents"), path), path).select(
@@ -143,6 +148,7 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_resampling": op10_resampling,
     "op11_token_alignment": op11_token_alignment,
+    "op12_ranked_search": op12_ranked_search,
     "op13_bpe_prefix": op13_bpe_prefix,
 }
 ORACLES = oracles.ORACLES

@@ -19,6 +19,8 @@ from .common import bounded, column, save
 BLOCK_BYTES = 3_000_000
 #: Groups of more links than this are counted by distinct ids instead of occurrences.
 WIDE = 1 << 16
+#: Searches from one that begins by a guess to the next.
+STRIDE = 16
 
 
 class PieceEncoder:
@@ -106,8 +108,12 @@ def common_ends(ends_a, ends_b, starts_a, starts_b):
             continue
         rank = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
         mine = own[text] + rank
-        # Both lists cut the same bytes, so a search begins at the same share of the other list.
-        start = other[text] + rank * np.diff(other)[text] // np.diff(own)[text]
+        # Both lists cut the same bytes: every 16th search begins at the same share of the other
+        # list, those in between as many tokens behind the last of these.
+        anchors = np.flatnonzero(rank % STRIDE == 0)
+        start = other[text[anchors]] + rank[anchors] * np.diff(other)[text[anchors]] // np.diff(own)[text[anchors]]
+        found = gallop(ends[mine[anchors]], into, start)
+        start = found[np.cumsum(rank % STRIDE == 0) - 1] + rank % STRIDE
         place = gallop(ends[mine], into, start)
         same = into[np.minimum(place, len(into) - 1)] == ends[mine]
         pair = (mine[same], place[same])
@@ -141,8 +147,8 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = prefix_encoder(path_a, True), PieceEncoder(path_b)
         spelled = spellings(path_a)
-        self.size_a, self.size_b = max(spelled) + 1, self.b.size
-        self.length_a = np.array([len(spelled.get(i, b"")) for i in range(self.size_a)])
+        self.size_a, self.size_b = len(spelled), self.b.size
+        self.length_a = np.array([len(t) for t in spelled])
         self.length_b = np.array([len(t) for t in self.b.bytes_of])
         self.digits = _Digits(max(self.size_a, self.size_b))
 

@@ -9,11 +9,16 @@ from functools import lru_cache
 
 import numpy as np
 
-#: A run of blanks and line feeds with the run of other characters behind it.
-CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Letters up to the end, white space or an ASCII mark or digit: one piece to either split pattern.
+_STEM = f"[{_LETTER}]+(?=[!-@\\[-`{{-~ \\n]|\\Z)"
+#: Letters with a blank before them, a line feed before letters, or a run of blanks and line feeds
+#: with the run of other characters behind it.
+CHUNK = re.compile(rf" ?{_STEM}|\n(?=[{_LETTER}])|[ \n]*[^ \n]+|[ \n]+")
+#: The same for a tokenizer that drops white space.
+WORD_CHUNK = re.compile(rf"{_STEM}|[^ \n]+")
+STEM = re.compile(f" ?[{_LETTER}]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
-#: Letters with the blank before them, up to the end or an ASCII mark or digit.
-STEM = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+(?=[!-@\[-`{-~]|\Z)")
 LONGEST = 40
 
 
@@ -27,13 +32,13 @@ def byte_letters():
 class ChunkEncoder:
     """Encodes texts as the tokenizer encodes them whole, chunk by chunk through a bounded cache.
 
-    A chunk ends before a blank or line feed. The split patterns of the two public JSON tokenizers
-    never match across such a place, and none looks behind it, so the ids of a text are those of
-    its chunks one after the other. Only the rule for trailing white space looks ahead, which
-    matters where white space of other kinds ends a chunk: a text with any is encoded whole. Where
-    the tokenizer drops white space, chunks are without it. The letters that begin a chunk are one
-    piece of either pattern and go to the merges directly; what is behind them is a chunk of its
-    own. A text with the string of a special token is encoded whole, where the library gives it the
+    A chunk ends before a blank or line feed, or between letters and an ASCII mark or digit. The
+    split patterns of the two public JSON tokenizers never match across such a place, and none
+    looks behind it, so the ids of a text are those of its chunks one after the other. Only the
+    rule for trailing white space looks ahead, which matters where white space of other kinds ends
+    a chunk: a text with any is encoded whole. Where the tokenizer drops white space, chunks are
+    without it. Chunks of letters are one piece of either pattern and go to the merges directly. A
+    text with the string of a special token is encoded whole, where the library gives it the
     token's id; with `plain` such strings are ordinary text.
     """
 
@@ -54,7 +59,7 @@ class ChunkEncoder:
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.most = most
-        self.known, self.older = {"": b""}, {}
+        self.known, self.older = {}, {}
 
     def _whole(self, texts, marked=False):
         self.tokenizer.encode_special_tokens = not marked
@@ -64,43 +69,7 @@ class ChunkEncoder:
     def _chunks(self, text):
         if not text:
             return []
-        if self.exact:
-            return CHUNK.findall(text)
-        return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
-
-    def _learn(self, missing):
-        parts, rests, match = [], set(), STEM.match
-        for c in missing:
-            at = 1 if self.exact and c[0] == "\n" and c[1:2] != " " else 0
-            m = match(c, at)
-            if m:
-                end = m.end()
-                rest = c[end:]
-                parts.append((c, at, c[at:end], rest))
-                if rest:
-                    rests.add(rest)
-                if at:
-                    rests.add("\n")
-            else:
-                rests.add(c)
-        known = self.known
-        rests = list(rests.difference(known))
-        known.update(zip(rests, self._whole(rests)))
-        # A stem is a chunk as well, so it is merged once whatever marks stand behind it.
-        stems = {p[2] for p in parts}.difference(known)
-        again = stems.intersection(self.older)
-        known.update((s, self.older[s]) for s in again)
-        stems -= again
-        self._merge(stems)
-        for c, at, stem, rest in parts:
-            ids = known[stem]
-            if rest:
-                ids += known[rest]
-            known[c] = known["\n"] + ids if at else ids
-        for stem in stems:
-            # What is learned as a chunk stays until the batch is done.
-            if len(stem) > LONGEST and stem not in missing:
-                del known[stem]
+        return CHUNK.findall(text) if self.exact else WORD_CHUNK.findall(text.lower() if text.isascii() else text)
 
     def _merge(self, stems):
         """Learn the ids of runs of letters, with or without a blank before them."""
@@ -121,13 +90,17 @@ class ChunkEncoder:
         distinct = set().union(*chunked)
         if len(self.known) + len(distinct) > self.most // 2:
             # Two generations: what is met again moves up from the older one.
-            self.older, self.known = self.known, {"": b""}
+            self.older, self.known = self.known, {}
         missing = distinct.difference(self.known)
         again = missing.intersection(self.older)
         self.known.update((c, self.older[c]) for c in again)
-        missing = missing.difference(again)
-        odd = {c for c in missing if OTHER_SPACE.search(c)} if self.exact else ()
-        self._learn(missing)
+        missing -= again
+        is_stem = STEM.fullmatch
+        stems = [c for c in missing if is_stem(c)]
+        rests = list(missing.difference(stems))
+        odd = {c for c in rests if OTHER_SPACE.search(c)} if self.exact else ()
+        self._merge(stems)
+        self.known.update(zip(rests, self._whole(rests)))
         get = self.known.__getitem__
         out = []
         for i, (text, chunks) in enumerate(zip(texts, chunked)):

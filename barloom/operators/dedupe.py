@@ -5,12 +5,15 @@ gathers the rows of a key in one task:
 
 * `first_rows` is a `row_number() = 1` filter, which Spark limits to one row per key
   in every map task before the shuffle;
-* `mark_copies` aggregates each key to its first order value and its row count
-  (combined map-side), then joins back on key *and* order value, so the rows of a
-  hot key hash to different partitions.
+* the keys that occur more than once are aggregated to their first order value and row
+  count (combined map-side) and joined back. Spark knows that they are few only once they
+  are written: a caller that stages `repeated_keys` and hands them in has them broadcast,
+  and no row is shuffled. Otherwise, and where they are many, adaptive execution splits
+  the rows of a hot key.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,39 +52,52 @@ def first_rows(df: DataFrame, keys=KEY, order=("seq",)) -> DataFrame:
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def mark_copies(df: DataFrame, keys=KEY, order=("seq",)) -> DataFrame:
-    """Add `key_rows`: the row count of the key on its first row, null on later rows.
+def repeated_keys(df: DataFrame, keys=KEY, order=("seq",)) -> DataFrame:
+    """`_first` order value and `key_rows` of every key of more than one row.
 
     `order` must be unique within a key.
     """
-    firsts = df.groupBy(*keys).agg(
-        F.min(_order_value(order)).alias("_first"), F.count(F.lit(1)).alias("key_rows")
+    counted = df.groupBy(*keys).agg(F.min(_order_value(order)).alias("_first"), F.count(F.lit(1)).alias("key_rows"))
+    return counted.where("key_rows > 1")
+
+
+def _beside(df: DataFrame, repeated: DataFrame, keys, how) -> DataFrame:
+    """Rows beside their key's entry; null keys form a group of their own."""
+    side = repeated.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first", "key_rows")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.join(side, same, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def _known(df, keys, order, repeated):
+    return repeated_keys(df, keys, order) if repeated is None else repeated
+
+
+def mark_copies(df: DataFrame, keys=KEY, order=("seq",), repeated: DataFrame | None = None) -> DataFrame:
+    """Add `key_rows`: the row count of the key on its first row, null on later rows."""
+    marked = _beside(df, _known(df, keys, order, repeated), keys, "left")
+    key_rows = F.when(F.col("_first").isNull(), F.lit(1).cast("bigint")).when(
+        _order_value(order) == F.col("_first"), F.col("key_rows")
     )
-    firsts = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first", "key_rows")
-    condition = _order_value(order) == F.col("_first")
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return df.join(firsts, condition, "left").drop("_first", *[f"_k_{k}" for k in keys])
+    return marked.withColumn("key_rows", key_rows).drop("_first")
 
 
-def later_rows(df: DataFrame, keys=KEY, order=("seq",)) -> DataFrame:
-    return mark_copies(df, keys, order).where(F.col("key_rows").isNull()).drop("key_rows")
+def later_rows(df: DataFrame, keys=KEY, order=("seq",), repeated: DataFrame | None = None) -> DataFrame:
+    copies = _beside(df, _known(df, keys, order, repeated), keys, "inner")
+    return copies.where(_order_value(order) != F.col("_first")).drop("_first", "key_rows")
 
 
-def duplicate_rows(df: DataFrame, keys=KEY, order=("seq",)) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys=KEY, order=("seq",), repeated: DataFrame | None = None) -> DataFrame:
     """Every row of a key that occurs more than once, the first included."""
-    marked = mark_copies(df, keys, order)
-    return marked.where(F.col("key_rows").isNull() | (F.col("key_rows") > 1)).drop("key_rows")
+    return _beside(df, _known(df, keys, order, repeated), keys, "inner").drop("_first", "key_rows")
 
 
-def split_duplicates(df: DataFrame, keys=KEY, order=("seq",)) -> Split:
-    """All three from one marking: a plan that uses several of them shuffles the rows once."""
-    marked = mark_copies(df, keys, order)
-    first, later = F.col("key_rows").isNotNull(), F.col("key_rows").isNull()
+def split_duplicates(df: DataFrame, keys=KEY, order=("seq",), repeated: DataFrame | None = None) -> Split:
+    """All three; the repeated keys are found once in a plan that uses several of them."""
+    marked = mark_copies(df, keys, order, repeated)
     return Split(
-        marked.where(first).drop("key_rows"),
-        marked.where(later | (F.col("key_rows") > 1)).drop("key_rows"),
-        marked.where(later).drop("key_rows"),
+        marked.where(F.col("key_rows").isNotNull()).drop("key_rows"),
+        duplicate_rows(df, keys, order, repeated),
+        later_rows(df, keys, order, repeated),
     )
 
 

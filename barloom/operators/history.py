@@ -119,13 +119,15 @@ def index_history(
     multipliers=None,
     flag_mode="asof",
 ) -> DataFrame:
-    """History of every symbol that was in the index on a fetched day, buffer days included."""
+    """History of every symbol that was in the index on a fetched day, buffer days included.
+
+    The symbols are found from keys and flags alone, combined map-side; the served rows meet
+    them in a semi-join.
+    """
     ever = change_history(snapshots, index_name).select("symbol")
-    history = symbol_history(
-        bars_mod, start, end, ever, buffer_start, index_name, snapshots, multipliers, flag_mode
-    )
-    in_period = F.max("idxflag").over(Window.partitionBy("symbol"))
-    return history.withColumn("_in", in_period).where("_in > 0").drop("_in")
+    flagged = symbol_history(bars_mod, start, end, ever, buffer_start, index_name, snapshots, None, flag_mode)
+    inside = flagged.where("idxflag = 1").select("symbol")
+    return symbol_history(bars_mod, start, end, inside, buffer_start, index_name, snapshots, multipliers, flag_mode)
 
 
 def slice_history(history: DataFrame, symbols=None, start=None, end=None, strict=False) -> DataFrame:

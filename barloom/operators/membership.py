@@ -99,35 +99,44 @@ def index_snapshots(changes: DataFrame, current: DataFrame) -> DataFrame:
     else by its nearest later change: a later exclusion means it was in, a later
     inclusion that it was not; with none, it was in if it is a current component.
 
-    One row per (index, symbol) holds the symbol's own change dates, one row per index
-    the index's dates; both lists are bounded by the calendar. Only the dates on which
-    the symbol is a member become rows.
+    The dates of an index are numbered. One row per (index, symbol) holds the numbers of the
+    symbol's own changes in order; one walk over them gives the stretches of dates in between
+    that hold the symbol, so the work grows with changes plus members, not with changes times
+    dates. Both lists are bounded by the calendar.
     """
-    stacked = changes.select(*MEMBER, "dt", "change_type").unionByName(
-        current.select(*MEMBER, F.lit(None).cast("date").alias("dt"), F.lit("C").alias("change_type"))
+    out = F.when(F.col("change_type") == "E", 1).when(F.col("change_type") == "I", 0)
+    events = changes.where("dt is not null").select(*MEMBER, "dt", out.alias("out"))
+    days = _ranked_dates(events.join(current.select("index_name").distinct(), "index_name", "left_semi"))
+    of_index = days.groupBy("index_name").agg(F.array_sort(F.collect_list("dt")).alias("dates"))
+    coded = events.where(F.col("out").isNotNull()).join(days.select("index_name", "dt", "rank"), ["index_name", "dt"])
+    # An inclusion on date r is 2r, an exclusion 2r + 1: ordered, one date's codes stand together.
+    own = coded.select(*MEMBER, (2 * F.col("rank") + F.col("out")).alias("code"), F.lit(0).alias("listed")).unionByName(
+        current.select(*MEMBER, F.lit(None).cast("int").alias("code"), F.lit(1).alias("listed"))
     )
-    days_of = lambda kind: F.collect_set(F.when(F.col("change_type") == kind, F.col("dt")))
-    listings = F.count_if(F.col("change_type") == "C").cast("int")
-    own = stacked.groupBy(*MEMBER).agg(
-        days_of("I").alias("ins"), days_of("E").alias("outs"), listings.alias("listings")
+    own = own.groupBy(*MEMBER).agg(
+        F.array_sort(F.collect_set("code")).alias("codes"), F.sum("listed").cast("int").alias("listings")
     )
-    of_index = stacked.groupBy("index_name").agg(
-        F.array_sort(F.collect_set("dt")).alias("dates"), F.max(F.col("change_type") == "C").alias("known")
-    )
-    of_index = of_index.where(F.col("known") & (F.size("dates") > 0)).drop("known")
-
-    def held(date):
-        following = F.array_min(F.filter(F.array_union("ins", "outs"), lambda e: e > date))
-        return (
-            F.when(F.array_contains("outs", date), False)
-            .when(F.array_contains("ins", date), True)
-            .when(following.isNotNull(), ~F.array_contains("ins", following))
-            .otherwise(F.col("listings") > 0)
+    date_of = lambda code: F.shiftright(code, 1)
+    before = lambda i: F.coalesce(date_of(F.get("codes", i - 1)), F.lit(0))
+
+    def between(first, last):
+        return F.slice("dates", first, F.greatest(last - first + 1, F.lit(0)))
+
+    def held(code, i):
+        excluded, date = code % 2 == 1, date_of(code)
+        # In up to an exclusion; on an inclusion's own date unless the symbol is excluded then too.
+        until = F.when(excluded & (before(i) < date), between(before(i) + 1, date - 1))
+        at = F.when(
+            ~excluded & (date < F.size("dates")) & ~F.coalesce(F.get("codes", i + 1) == code + 1, F.lit(False)),
+            between(date, date),
         )
+        return F.coalesce(until, at, F.slice("dates", 1, 0))
 
-    older = F.filter(F.slice("dates", F.lit(1), F.size("dates") - 1), held)
+    last = F.coalesce(date_of(F.get("codes", F.size("codes") - 1)), F.lit(0))
+    since = F.when(F.col("listings") > 0, between(last + 1, F.size("dates") - 1)).otherwise(F.slice("dates", 1, 0))
     newest = F.array_repeat(F.element_at("dates", -1), F.col("listings"))
-    return own.join(of_index, "index_name").select(*MEMBER, F.explode(F.concat(older, newest)).alias("dt"))
+    dates = F.concat(F.flatten(F.transform("codes", held)), since, newest)
+    return own.join(of_index, "index_name").select(*MEMBER, F.explode(dates).alias("dt"))
 
 
 def change_history(snapshots: DataFrame, index_name) -> DataFrame:
@@ -262,34 +271,60 @@ def membership_recon(changes: DataFrame, current: DataFrame) -> DataFrame:
     return both.select(*MEMBER, side.alias("side"))
 
 
-def flags_recon(flags: DataFrame, snapshots: DataFrame, indices=None) -> DataFrame:
+def flags_recon(flags: DataFrame, snapshots: DataFrame, indices=None, end_year=None) -> DataFrame:
     """Per snapshot interval and calendar year: members without a flagged bar, and the reverse.
 
     The last interval runs to the last year of the flags. Flagged bars before the first
-    snapshot are compared with an empty membership dated 1900-01-01.
+    snapshot are compared with an empty membership dated 1900-01-01. With `end_year` neither
+    snapshots nor flags after that year count.
+
+    The change dates of all indices cut time into stretches. Bars are folded to one row per
+    symbol, year and stretch before they meet the indices, so neither bars nor days are
+    multiplied; stretches and intervals are bounded by the calendar.
     """
-    indices = DEFAULT_INDICES if indices is None else indices
-    snapshots = snapshots.where(F.col("index_name").isin(list(indices)))
+    indices = list(DEFAULT_INDICES if indices is None else indices)
+    snapshots = snapshots.where(F.col("index_name").isin(indices))
+    if end_year is not None:
+        snapshots = snapshots.where(F.year("dt") <= int(end_year))
+        flags = flags.where(F.year("dt") <= int(end_year))
     dates = _ranked_dates(snapshots).select("index_name", "dt", "next_dt")
-    last_day = flags.agg(F.max("dt").alias("dt")).scalar()
-    until = F.coalesce(F.date_sub("next_dt", 1), F.greatest("dt", last_day))
-
-    years = dates.select("index_name", "dt", F.explode(F.sequence(F.year("dt"), F.year(until))).alias("year"))
-    expected = snapshots.select(*MEMBER, "dt").distinct().join(years, ["index_name", "dt"])
-    expected = expected.select(*MEMBER, F.col("dt").alias("snap_dt"), "year", F.lit(True).alias("_expected"))
-
-    # Index and day to snapshot, one row per calendar day: bars find their interval by equality.
-    days = dates.select(
-        "index_name", F.col("dt").alias("snap_dt"), F.explode(F.sequence("dt", until)).alias("dt")
+    cuts = dates.select(F.col("dt").alias("cut")).distinct()
+
+    # Stretches from one cut to the next, per year that they touch; the last one is open.
+    by_day = Window.orderBy("cut")
+    stretches = cuts.select("cut", F.lead("cut").over(by_day).alias("next_cut"))
+    last_cut = cuts.agg(F.max(F.year("cut"))).scalar()
+    touched = F.sequence(F.year("cut"), F.coalesce(F.year("next_cut"), F.year("cut")))
+    stretches = stretches.select("cut", "next_cut", F.explode(touched).alias("_year"))
+    held = [F.max(F.col(i)).alias(f"_held{n}") for n, i in enumerate(indices)]
+    days = flags.select(*KEY, *indices).withColumn("_year", F.least(F.year("dt"), last_cut))
+    in_stretch = (F.col("dt") >= F.col("cut")) & (F.col("next_cut").isNull() | (F.col("dt") < F.col("next_cut")))
+    days = days.join(stretches.withColumnRenamed("_year", "_y"), (F.col("_year") == F.col("_y")) & in_stretch, "left")
+    folded = days.groupBy("symbol", F.year("dt").alias("year"), "cut").agg(*held)
+
+    # Which snapshot of each index holds during a stretch: the last one on or before its cut.
+    index_cuts = cuts.select("cut", F.explode(F.array(*[F.lit(i) for i in indices])).alias("index_name"))
+    index_cuts = index_cuts.join(
+        dates.select("index_name", F.col("dt").alias("cut"), F.col("dt").alias("own")), ["index_name", "cut"], "left"
     )
-    flagged = F.explode(F.array_compact(F.array(*[F.when(F.col(i) == 1, F.lit(i)) for i in indices])))
-    found = flags.select(*KEY, flagged.alias("index_name")).join(days, ["index_name", "dt"], "left")
-    found = found.select(
+    so_far = Window.partitionBy("index_name").orderBy("cut").rowsBetween(Window.unboundedPreceding, 0)
+    index_cuts = index_cuts.select("index_name", "cut", F.last("own", ignorenulls=True).over(so_far).alias("snap_dt"))
+
+    flagged = F.array_compact(F.array(*[F.when(F.col(f"_held{n}") == 1, F.lit(i)) for n, i in enumerate(indices)]))
+    found = folded.select("symbol", "year", "cut", F.explode(flagged).alias("index_name"))
+    found = found.join(index_cuts, ["index_name", "cut"], "left").select(
         *MEMBER,
         F.coalesce("snap_dt", F.lit("1900-01-01").cast("date")).alias("snap_dt"),
-        F.year("dt").alias("year"),
+        "year",
         F.lit(True).alias("_found"),
-    ).distinct()
+    )
+    found = found.distinct()
+
+    last_year = flags.agg(F.max(F.year("dt"))).scalar()
+    until = F.coalesce(F.year(F.date_sub("next_dt", 1)), F.greatest(F.year("dt"), last_year))
+    years = dates.select("index_name", "dt", F.explode(F.sequence(F.year("dt"), until)).alias("year"))
+    expected = snapshots.select(*MEMBER, "dt").distinct().join(years, ["index_name", "dt"])
+    expected = expected.select(*MEMBER, F.col("dt").alias("snap_dt"), "year", F.lit(True).alias("_expected"))
 
     both = expected.join(found, [*MEMBER, "snap_dt", "year"], "full_outer")
     both = both.where("_expected is null or _found is null")

@@ -6,24 +6,23 @@ failure picks up what it had finished, and its appends leave out keys already th
 A run that ends well drops them, so the next one sees new and corrected inputs.
 
 Every raw row is found in exactly one of `bars`, `bars_skipped` (a later row of a key),
-`bars_late` (dated before what a run adds) and `bars_undated` (no valid date).
+`bars_late` (dated before what a run adds), `bars_undated` (no date) and `bars_malformed` (a
+line that does not parse).
 """
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..arguments import as_day, day
-from ..operators import actions, dedupe, membership, ranges, repair, symbols
+from ..operators import actions, dedupe, membership, ranges, repair, review, symbols
 from ..schemas import ADJUSTED, BAR, KEY
-from ..session import work_path
 from ..sinks import tables as sink
-from ..sources.files import read_bar_files
+from ..sources.files import read_bar_lines
 from ..sources.tables import from_date
 from .store import PriceStore
 
 _STORED = [*BAR, "seq"]
+_RAW = [*_STORED, "malformed"]
 
 
 def _in_years(table: DataFrame, years) -> DataFrame:
@@ -31,37 +30,51 @@ def _in_years(table: DataFrame, years) -> DataFrame:
 
 
 #: What a load lists besides the bars; a reload replaces these for the years that it loads.
-REJECTS = ("bars_skipped", "bars_duplicates", "bars_late", "bars_undated", "bars_unverified", "modified_losers")
-
-
-def full_load(store: PriceStore, files, renames, multipliers=None, start_year=None) -> None:
+REJECTS = (
+    "bars_skipped",
+    "bars_duplicates",
+    "bars_late",
+    "bars_undated",
+    "bars_malformed",
+    "bars_unverified",
+    "modified_losers",
+    "replacements_refused",
+)
+
+
+def full_load(
+    store: PriceStore, files, renames, multipliers=None, start_year=None, reviewed: review.Reviewed | None = None
+) -> None:
     """Build every bar table from the files. `renames` is a resolved map.
 
     With `start_year` the stored years from it on are emptied and loaded, earlier ones stay.
+    `reviewed` pairs replace bars instead of those that the scores would pick.
     """
     batch = "full" if start_year is None else f"full-{int(start_year)}"
     # Parsed once; everything after reads columns of the staged copy.
-    raw = read_bar_files(store.spark, files, start_year=start_year).select(*_STORED)
+    raw = read_bar_lines(store.spark, files, start_year=start_year).select(*_RAW)
     raw = store.stage_once(raw, "raw", batch)
     in_scope = F.col("dt").isNotNull()
     if start_year is not None:
         in_scope = in_scope & (F.year("dt") >= int(start_year))
     _clear_rejects(store, batch, start_year)
+    raw = _well_formed(store, raw, batch)
     sink.write_batch(raw.where("dt is null"), store.path("bars_undated"), batch)
     sink.write_batch(raw.where(F.col("dt").isNotNull() & ~in_scope), store.path("bars_late"), batch)
     # One folder per kind, so the few repeated rows are found without reading the rest.
     kind = F.when(F.col("key_rows").isNull(), "later").when(F.col("key_rows") > 1, "first").otherwise("lone")
-    marked = dedupe.mark_copies(raw.where(in_scope)).select(*_STORED, kind.alias("kind"))
+    repeated = store.stage_once(dedupe.repeated_keys(raw.where(in_scope)), "repeated", batch)
+    marked = dedupe.mark_copies(raw.where(in_scope), repeated=repeated).select(*_STORED, kind.alias("kind"))
     marked = store.stage_once(marked, "marked", batch, ["kind"])
     unique = marked.where("kind in ('lone', 'first')").drop("kind")
     skipped = marked.where("kind = 'later'").drop("kind")
     duplicates = marked.where("kind in ('first', 'later')").drop("kind")
-    _write_loaded(store, "bars", unique, start_year)
+    _write_loaded(store, "bars", unique, start_year, batch)
     sink.write_batch(skipped, store.path("bars_skipped"), batch)
     sink.write_batch(duplicates, store.path("bars_duplicates"), batch)
 
     bars = store.read("bars").drop("year")
-    replace = _repair(store, bars, batch)
+    replace = _repair(store, bars, batch, reviewed=reviewed)
     loaded = bars if start_year is None else bars.where(F.year("dt") >= int(start_year))
     modified = symbols.build_modified(loaded, replace, renames)
     rows = store.stage_once(modified.rows, "modified", batch)
@@ -70,19 +83,31 @@ def full_load(store: PriceStore, files, renames, multipliers=None, start_year=No
     if start_year is not None:
         before = store.read("bars_mod").where(F.col("year") < int(start_year))
         all_rows = before.select(*KEY).unionByName(rows.select(*KEY))
-    sink.replace_table(ranges.symbol_range(bars, all_rows), store.path("symbol_range"))
+    store.replace(ranges.symbol_range(bars, all_rows), "symbol_range", batch)
     if multipliers is not None:
-        load_multipliers(store, multipliers, renames)
-    _write_loaded(store, "bars_mod", actions.adjust_prices(rows, store.read("multipliers")), start_year)
+        load_multipliers(store, multipliers, renames, batch=batch)
+    _write_loaded(store, "bars_mod", actions.adjust_prices(rows, store.read("multipliers")), start_year, batch)
     store.drop_staged(batch)
 
 
-def _write_loaded(store, table, rows, start_year) -> None:
-    if start_year is None or not store.exists(store.path(table)):
+def _well_formed(store, raw, batch) -> DataFrame:
+    """The rows without malformed lines, which are listed."""
+    sink.write_batch(raw.where("malformed is not null").select("malformed", "seq"), store.path("bars_malformed"), batch)
+    return raw.where("malformed is null").drop("malformed")
+
+
+def _write_loaded(store, table, rows, start_year, batch) -> None:
+    if start_year is None:
         sink.write_bars_table(rows, store.path(table))
     else:
-        years = [r.year for r in store.read(table).select("year").distinct().collect() if r.year is not None]
-        sink.replace_from_year(rows, store.path(table), years, start_year)
+        years = _years_once(store, store.read(table), f"stored-{table}", batch)
+        sink.replace_from_year(rows, store.path(table), years, start_year, store.stage_for(table, batch))
+
+
+def _years_once(store, table, label, batch) -> list[int]:
+    """The years of stored rows as a run found them first: a broken replacement may have emptied one."""
+    years = store.stage_once(table.select("year").distinct(), f"{label}-years", batch)
+    return sorted(r.year for r in years.collect() if r.year is not None)
 
 
 def _clear_rejects(store, batch, start_year) -> None:
@@ -91,14 +116,16 @@ def _clear_rejects(store, batch, start_year) -> None:
         if not store.exists(store.path(table)):
             continue
         old = store.read(table)
-        kept = old.limit(0) if start_year is None else old.where(F.col("dt").isNull() | (F.year("dt") < int(start_year)))
+        # Undated and malformed rows go by the day of their file, and stay where that has none.
+        year = F.year("dt") if table not in ("bars_undated", "bars_malformed") else F.year("seq.day")
+        kept = old.limit(0) if start_year is None else old.where(year.isNull() | (year < int(start_year)))
         kept = store.stage_once(kept, f"kept-{table}", batch)
         # Written as a whole: no folder of an earlier batch is left.
         kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(store.path(table))
 
 
-def _repair(store, bars, batch, from_day=None) -> DataFrame:
-    """Replacements for the bars of this run, from the rows it rejected.
+def _repair(store, bars, batch, from_day=None, reviewed=None) -> DataFrame:
+    """Replacements for the bars of this run, from the rows it rejected or from reviewed pairs.
 
     Rows rejected by earlier runs have dates before the delta date, so only this run's
     folder is read.
@@ -106,32 +133,52 @@ def _repair(store, bars, batch, from_day=None) -> DataFrame:
     skipped = store.read("bars_skipped").where(F.col("batch") == batch).drop("batch")
     scores = store.stage_once(repair.score_skipped(bars, skipped, from_day), "scores", batch)
     sink.write_batch(repair.unverified(scores).select(*_STORED), store.path("bars_unverified"), batch)
-    picked = repair.pick_replacements(repair.replaceable(scores))
-    sink.replace_table(picked, store.path("bars_replace"))
+    if reviewed is None:
+        picked = repair.pick_replacements(repair.replaceable(scores))
+    else:
+        picked = from_date(reviewed.accepted, from_day)
+        sink.write_batch(
+            reviewed.refused.select(*BAR, "pair", "seq", "reason"), store.path("replacements_refused"), batch
+        )
+    store.replace(picked, "bars_replace", batch)
     return store.read("bars_replace")
 
 
-def load_multipliers(store: PriceStore, multipliers, renames, append=False, current_ranges=None) -> None:
-    """Clean the actions, keep one per symbol and date and store their running product."""
+def load_multipliers(
+    store: PriceStore, multipliers, renames, append=False, current_ranges=None, batch="multipliers"
+) -> None:
+    """Clean the actions, keep one per symbol and date and store their running product.
+
+    Within a run `batch` is its name; what is staged goes when the run ends well.
+    """
     if append:
-        both = actions.append_multipliers(store.read("multipliers"), multipliers)
         # Written down first, as the table it reads is replaced below.
-        path = work_path(store.spark, "actions")
-        both.write.parquet(path)
-        multipliers = store.spark.read.schema(both.schema).parquet(path)
+        both = actions.append_multipliers(store.read("multipliers"), multipliers)
+        multipliers = store.stage_once(both, "actions", batch)
     known = store.read("symbol_range") if current_ranges is None else current_ranges
     cleaned = actions.clean_multipliers(multipliers, renames, known)
     kept = dedupe.first_rows(cleaned.kept)
     running = actions.cum_multiplier(kept).join(kept.select(*KEY, "seq"), KEY)
-    sink.replace_table(running.select(*KEY, "multiplier", "seq", "cum_multiplier"), store.path("multipliers"))
-    sink.replace_table(cleaned.skipped.select(*KEY, "multiplier"), store.path("multipliers_skipped"))
-
-
-def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None, action_mode="refresh") -> None:
+    store.replace(running.select(*KEY, "multiplier", "seq", "cum_multiplier"), "multipliers", batch)
+    store.replace(cleaned.skipped.select(*KEY, "multiplier"), "multipliers_skipped", batch)
+    if batch == "multipliers":
+        store.drop_staged(batch)
+
+
+def delta_run(
+    store: PriceStore,
+    files,
+    delta_date,
+    renames,
+    multipliers=None,
+    action_mode="refresh",
+    reviewed: review.Reviewed | None = None,
+) -> None:
     """Add the files from `delta_date` on, which must come after everything stored.
 
     `action_mode` "refresh" replaces the stored actions by `multipliers`; "append" adds them to
     the stored ones, first come first kept, and adjusts stored rows after new actions again.
+    `reviewed` pairs replace bars of the new days instead of those that the scores would pick.
     """
     batch = f"{as_day(delta_date):%Y%m%d}"
     known = store.read("symbol_range")
@@ -139,13 +186,14 @@ def delta_run(store: PriceStore, files, delta_date, renames, multipliers=None, a
         # A run that broke off while replacing the ranges left their copy behind.
         known = store.stage_once(known, "ranges_before", batch)
     ranges.require_delta_after(known, delta_date)
-    raw = read_bar_files(store.spark, files, start_date=delta_date).select(*_STORED)
-    take_in(store, store.stage_once(raw, "raw", batch), batch, delta_date, renames, multipliers, action_mode)
+    raw = read_bar_lines(store.spark, files, start_date=delta_date).select(*_RAW)
+    raw = _well_formed(store, store.stage_once(raw, "raw", batch), batch)
+    take_in(store, raw, batch, delta_date, renames, multipliers, action_mode, reviewed)
     store.drop_staged(batch)
 
 
 def take_in(
-    store: PriceStore, raw: DataFrame, batch, from_day, renames, multipliers=None, action_mode="refresh"
+    store: PriceStore, raw: DataFrame, batch, from_day, renames, multipliers=None, action_mode="refresh", reviewed=None
 ) -> None:
     """Carry new raw rows through every table; only new rows are written to the bar tables.
 
@@ -173,7 +221,7 @@ def take_in(
     sink.write_batch(duplicates, store.path("bars_duplicates"), batch)
 
     bars = _in_years(store.read("bars"), years)
-    replace = _repair(store, bars, batch, from_day)
+    replace = _repair(store, bars, batch, from_day, reviewed)
     stored_mod = _in_years(store.read("bars_mod"), years)
     new_bars = from_date(bars, from_day)
     modified = symbols.append_modified(stored_mod, new_bars, replace, renames)
@@ -190,19 +238,19 @@ def take_in(
     since = None
     if multipliers is not None:
         before = store.stage_once(store.read("multipliers"), "actions_before", batch)
-        load_multipliers(store, multipliers, renames, append=action_mode == "append", current_ranges=updated)
+        load_multipliers(store, multipliers, renames, action_mode == "append", updated, batch)
         if action_mode == "append":
             added = store.read("multipliers").join(before.select(*KEY), KEY, "left_anti")
             since = added.agg(F.min("dt").alias("dt")).first().dt
     adjusted = actions.adjust_prices(fresh_mod, store.read("multipliers"), from_day)
     sink.append_new_keys(adjusted, stored_mod, store.path("bars_mod"))
     if since is not None and since < as_day(from_day):
-        update_adjusted(store, since)
+        update_adjusted(store, since, batch)
     # Last: from here on the gate refuses this date.
-    sink.replace_table(updated, store.path("symbol_range"))
+    sink.move_table(updated, store.path("symbol_range"))
 
 
-def update_adjusted(store: PriceStore, start_date="1900-01-01") -> None:
+def update_adjusted(store: PriceStore, start_date="1900-01-01", batch="update-adjusted") -> None:
     """Re-adjust stored rows of symbols with actions from a date on; touched years are rewritten."""
     multipliers = store.read("multipliers")
     first = multipliers.agg(F.min("dt").alias("dt")).first().dt
@@ -211,35 +259,51 @@ def update_adjusted(store: PriceStore, start_date="1900-01-01") -> None:
     since = max(first, as_day(start_date))
     rows = store.read("bars_mod").where((F.col("year") >= since.year))
     affected = rows.where(F.col("dt") >= day(since)).join(multipliers.select("symbol"), "symbol", "left_semi")
-    years = sink.years_of(affected.drop("year"))
+    years = _years_once(store, affected, "adjusted", batch)
     adjusted = actions.adjust_prices(_in_years(rows, years), multipliers, start_date)
-    sink.overwrite_years(adjusted, store.path("bars_mod"), years)
+    if years:
+        sink.overwrite_years(adjusted, store.path("bars_mod"), years, store.stage_for("adjusted", batch))
+    if batch == "update-adjusted":
+        store.drop_staged(batch)
 
 
 def refresh_membership(store: PriceStore, feed, scrip_map, renames, manual, current) -> None:
-    """Normalise the change feed and rebuild the snapshots."""
-    changes = membership.normalise_changes(feed, scrip_map, renames, manual)
-    changes = changes.select("index_name", "symbol", "dt", "change_type", "seq")
-    sink.replace_table(changes, store.path("index_changes"))
-    snapshots = membership.index_snapshots(store.read("index_changes"), current)
-    sink.replace_table(snapshots, store.path("snapshots"))
+    """Normalise the change feed and rebuild the snapshots.
+
+    The maps are as the files have them, with `pos`: they are resolved here, so a scrip or fix
+    listed twice does not multiply feed rows. `renames` may be resolved already.
+    """
+    batch = "membership"
+    if "pos" in renames.columns:
+        renames = symbols.resolve_map(renames)
+    scrips = symbols.resolve_map(scrip_map.select(F.col("scrip").alias("old"), F.col("symbol").alias("new"), "pos"))
+    fixes = symbols.resolve_map(membership.manual_map(manual), by=("dt",))
+    scrips = scrips.select(F.col("old").alias("scrip"), F.col("new").alias("symbol"))
+    changes = membership.normalise_changes(feed, scrips, renames, fixes)
+    store.replace(changes.select("index_name", "symbol", "dt", "change_type", "seq"), "index_changes", batch)
+    store.replace(membership.index_snapshots(store.read("index_changes"), current), "snapshots", batch)
+    store.drop_staged(batch)
 
 
 def rename_stored_symbols(store: PriceStore, renames: DataFrame) -> DataFrame:
     """Apply new renames to the stored modified rows and merge the ranges; returns the collisions."""
+    # Named by the map and the last raw bar, neither of which the run changes: it can be started again.
+    named = renames.agg(F.sum(F.xxhash64("old", "new").cast("decimal(38,0)")).alias("of")).first().of or 0
+    last = store.read("bars").agg(F.max("dt").alias("dt")).first().dt
+    batch = f"rename-{last}-{int(named) % (1 << 63):x}"
     rows = store.read("bars_mod")
     moving = rows.join(renames.select(F.col("old").alias("symbol")), "symbol", "left_semi")
-    years = sink.years_of(moving.drop("year"))
+    years = _years_once(store, moving, "moving", batch)
     renamed = symbols.rename_stored(_in_years(rows, years), renames)
-    batch = f"rename-{uuid.uuid4().hex}"
     collisions = renamed.losers.select(*BAR, *ADJUSTED, "old_symbol")
+    collisions = store.stage_once(collisions, "collisions", batch)
     sink.write_batch(collisions, store.path("rename_collisions"), batch)
     if years:
-        sink.overwrite_years(renamed.rows, store.path("bars_mod"), years)
+        sink.overwrite_years(renamed.rows, store.path("bars_mod"), years, store.stage_for("bars_mod", batch))
     current = ranges.symbol_range(store.read("bars"), store.read("bars_mod"))
-    merged = ranges.merge_ranges(store.read("symbol_range"), current)
-    sink.replace_table(merged, store.path("symbol_range"))
+    store.replace(ranges.merge_ranges(store.read("symbol_range"), current), "symbol_range", batch)
     collided = store.spark.read.schema(f"{_ddl(collisions)}, batch string").parquet(store.path("rename_collisions"))
+    store.drop_staged(batch)
     return collided.where(F.col("batch") == batch).drop("batch")
 
 

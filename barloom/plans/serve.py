@@ -1,6 +1,6 @@
 """Reads over a price store: history, reports, checks and exports."""
 
-from ..operators import history, membership, ranges, reports
+from ..operators import history, membership, ranges, repair, reports, review
 from ..sinks import exports
 from .store import PriceStore
 
@@ -60,8 +60,44 @@ def membership_flags(store: PriceStore, indices=None, from_year=1995):
     return membership.membership_flags(store.read("bars_mod"), store.read("snapshots"), indices, from_year)
 
 
-def flags_recon(store: PriceStore, flags, indices=None):
-    return membership.flags_recon(flags, store.read("snapshots"), indices)
+def flags_recon(store: PriceStore, flags, indices=None, end_year=None):
+    return membership.flags_recon(flags, store.read("snapshots"), indices, end_year)
+
+
+def replaceable_pairs(store: PriceStore):
+    """The two files for review: kept bars, and the rejected rows that could replace them."""
+    scores = repair.score_skipped(store.read("bars").drop("year"), store.read("bars_skipped"))
+    return review.pair_rows(repair.replaceable(scores))
+
+
+def write_reports(store: PriceStore, path, indices=None, from_year=1995) -> dict[str, int]:
+    """All reports and the yearly flag files as CSV; returns the rows of each, counted while writing.
+
+    One folder per report, `flags/year=...` for the flags.
+    """
+    selected, skipped = replaceable_pairs(store)
+    raw, modified, differences = table_report(store)
+    frames = {
+        "unverified": store.read("bars_unverified").drop("seq", "batch"),
+        "replaceable_selected": selected,
+        "replaceable_skipped": skipped,
+        "replacements_refused": store.read("replacements_refused").drop("seq", "batch"),
+        "symbol_range": store.read("symbol_range"),
+        "range_anomalies": store.read("range_anomalies").drop("batch"),
+        "modified_losers": store.read("modified_losers").drop("batch"),
+        "multipliers_skipped": store.read("multipliers_skipped"),
+        "year_totals": raw,
+        "year_totals_modified": modified,
+        "year_totals_diff": differences,
+        "index_changes": store.read("index_changes").drop("seq"),
+        "change_dates_check": check_change_dates(store),
+        "symbol_counts": reports.symbol_counts(store.read("bars")),
+    }
+    rows = {name: exports.write_report(frame, f"{path}/{name}") for name, frame in frames.items()}
+    flags = membership_flags(store, indices, from_year)
+    years = sorted(r.year for r in store.read("bars_mod").where(f"year >= {int(from_year)}").select("year").distinct().collect())
+    written = exports.write_yearly_flags(flags, f"{path}/flags", years)
+    return rows | {f"flags_{year}": n for year, n in written.items()}
 
 
 def export_prices(store: PriceStore, path, start=None, delta=False) -> None:

@@ -1,4 +1,7 @@
-"""Where the tables of one price history live."""
+"""Where the tables of one price history live.
+
+Folders are looked up and dropped through the JVM's file system, which Spark Connect does not offer.
+"""
 
 from dataclasses import dataclass
 
@@ -7,6 +10,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..session import no_rows
+from ..sinks import tables as sink
 
 
 def _plus(schema, **fields):
@@ -23,7 +27,9 @@ SCHEMAS = {
     "bars_duplicates": _REJECTED,
     "bars_late": _REJECTED,
     "bars_undated": _REJECTED,
+    "bars_malformed": T.StructType([S.MALFORMED, T.StructField("seq", S.SEQ), T.StructField("batch", _TEXT)]),
     "bars_replace": _plus(S.BARS, seq=S.SEQ),
+    "replacements_refused": _plus(S.BARS, pair=_TEXT, seq=S.SEQ, reason=_TEXT, batch=_TEXT),
     "bars_unverified": _plus(S.BARS, seq=S.SEQ, batch=_TEXT),
     "modified_losers": _plus(S.BARS, batch=_TEXT),
     "multipliers": _plus(S.MULTIPLIERS, seq=S.SEQ, cum_multiplier=T.DoubleType()),
@@ -67,6 +73,13 @@ class PriceStore:
             df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def stage_for(self, table, batch):
+        """`stage` of the sinks that replace rows of a table in a run."""
+        return lambda df, label: self.stage_once(df, f"{label}-{table}", batch)
+
+    def replace(self, df: DataFrame, table, batch) -> None:
+        sink.replace_table(df, self.path(table), self.stage_for(table, batch))
+
     def drop_staged(self, batch) -> None:
         location, system = self._location(self.path(f"_staged/{batch}"))
         system.delete(location, True)

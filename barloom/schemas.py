@@ -15,6 +15,9 @@ BAR_FILE = T.StructType(
         T.StructField("volume", T.DoubleType()),
     ]
 )
+# With the text of a line that does not fit, as the reader gives it.
+MALFORMED = T.StructField("malformed", T.StringType())
+BAR_LINE = T.StructType([*BAR_FILE.fields, MALFORMED])
 BARS = T.StructType([*BAR_FILE.fields[:-1], T.StructField("volume", T.LongType())])
 # Ingest position of a bar: its file's day and name, block and row.
 SEQ = T.StructType(
@@ -27,6 +30,9 @@ SEQ = T.StructType(
 )
 BARS_MOD = T.StructType([*BARS.fields, *[T.StructField(c, T.DoubleType()) for c in ADJUSTED]])
 
+# A line of either file of reviewed replacements; lines of one pair carry the same `pair`.
+PAIR_FILE = T.StructType([T.StructField("pair", T.StringType()), *BARS.fields, MALFORMED])
+
 RENAMES = T.StructType([T.StructField("old", T.StringType()), T.StructField("new", T.StringType())])
 MULTIPLIERS = T.StructType(
     [

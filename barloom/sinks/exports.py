@@ -1,6 +1,6 @@
 """Price and membership exports as partitioned CSV."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..arguments import as_day
@@ -68,8 +68,21 @@ def write_csv_delta(df: DataFrame, path, start) -> None:
     write_csv_by_year(df, f"{path}/{as_day(start):%Y%m%d}")
 
 
-def write_report(df: DataFrame, path) -> None:
+def write_report(df: DataFrame, path) -> int:
+    """Header CSV; returns the number of rows, counted while they are written."""
+    counts = Observation()
+    df = df.observe(counts, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").option("header", "true").option("dateFormat", "yyyyMMdd").csv(path)
+    return counts.get["rows"]
+
+
+def write_yearly_flags(flags: DataFrame, path, years) -> dict[int, int]:
+    """The wide flags as header CSV, one folder per year; returns the rows of each of `years`, counted in the same pass."""
+    counts = Observation()
+    per_year = [F.count_if(F.year("dt") == y).alias(str(y)) for y in years]
+    flags = flags.observe(counts, F.count(F.lit(1)).alias("rows"), *per_year)
+    write_csv_by_year(flags, path)
+    return {y: counts.get[str(y)] for y in years}
 
 
 def write_bar_files(bars: DataFrame, path, of_day, order="seq") -> None:

@@ -1,4 +1,8 @@
-"""Writes to the stored tables. Parquet has no update, so changed years are rewritten."""
+"""Writes to the stored tables. Parquet has no update, so changed years are rewritten.
+
+What replaces stored rows is first staged under the name of the run, and moved from there. A run
+that breaks off in between leaves the staged copy, which the next run of the name moves again.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +18,12 @@ def with_year(bars: DataFrame) -> DataFrame:
 
 
 def by_year(bars: DataFrame) -> DataFrame:
-    """Gathered by year for writing, sorted by key inside.
+    """Ranges of (year, symbol, date), sorted inside.
 
-    `rebalance` splits a year too large for one task and joins small ones, so a year that
-    holds most of the rows is still written by many tasks.
+    A large year is written by many tasks, each with its own range of symbols, so the statistics
+    of a file tell which symbols it may hold, and a year of one hot symbol is cut by date.
     """
-    return with_year(bars).hint("rebalance", "year").sortWithinPartitions("year", *KEY)
+    return with_year(bars).repartitionByRange("year", *KEY).sortWithinPartitions("year", *KEY)
 
 
 def append_bars_table(bars: DataFrame, path) -> None:
@@ -40,37 +44,46 @@ def write_bars_table(bars: DataFrame, path) -> None:
     by_year(bars).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(path)
 
 
-def overwrite_years(bars: DataFrame, path, years) -> None:
+def overwrite_years(bars: DataFrame, path, years, stage=None) -> None:
     """Replace exactly these years of a stored table by the rows of `bars`.
 
-    The rows may come from the same table: they are staged in the shared folder first.
+    The rows may come from the same table: `stage` (`stage_once` of a run) writes them down first.
     A listed year without rows ends up empty.
     """
-    spark = bars.sparkSession
-    staged_path = work_path(spark, "years")
-    write_bars_table(bars.where(F.year("dt").isin(list(years))), staged_path)
-    written = spark.read.schema(with_year(bars).schema).parquet(staged_path)
-    kept = {r.year for r in written.select("year").distinct().collect()}
-    out = written.drop("year")
-    by_year(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    stage = stage or stage_anew
+    staged = stage(bars.where(F.year("dt").isin(list(years))), "years")
+    kept = set(years_of(staged))
+    move_years(staged, path)
     for empty in sorted(set(years) - kept):
-        out.limit(0).write.mode("overwrite").parquet(f"{path}/year={empty}")
+        staged.limit(0).write.mode("overwrite").parquet(f"{path}/year={empty}")
+
+
+def move_years(staged: DataFrame, path) -> None:
+    by_year(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
-def replace_table(df: DataFrame, path) -> None:
+def replace_table(df: DataFrame, path, stage=None) -> None:
     """Overwrite a table that `df` may itself read, by way of a staged copy."""
-    spark = df.sparkSession
-    staged_path = work_path(spark, "table")
-    df.write.mode("overwrite").parquet(staged_path)
-    spark.read.schema(df.schema).parquet(staged_path).write.mode("overwrite").parquet(path)
+    move_table((stage or stage_anew)(df, "table"), path)
+
+
+def move_table(staged: DataFrame, path) -> None:
+    staged.write.mode("overwrite").parquet(path)
 
 
-def replace_from_year(bars: DataFrame, path, stored_years, start_year) -> None:
+def stage_anew(df: DataFrame, label) -> DataFrame:
+    """A copy under a name of its own, for replacements outside a run."""
+    path = work_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def replace_from_year(bars: DataFrame, path, stored_years, start_year, stage=None) -> None:
     """Replace the stored years from `start_year` on by the rows of `bars`; earlier years stay."""
     bars = bars.where(F.year("dt") >= int(start_year))
     years = set(years_of(bars)) | {y for y in stored_years if y >= int(start_year)}
     if years:
-        overwrite_years(bars, path, sorted(years))
+        overwrite_years(bars, path, sorted(years), stage)
 
 
 def years_of(bars: DataFrame) -> list[int]:
@@ -106,7 +119,29 @@ def load_history(spark, path) -> DataFrame:
 
 
 def save_by_symbol(history: DataFrame, path) -> None:
-    """One folder per symbol, in place of a dictionary of frames."""
-    history.hint("rebalance", "symbol").sortWithinPartitions("symbol", "date").write.mode("overwrite").partitionBy(
-        "symbol"
-    ).parquet(path)
+    """History for reading symbol by symbol: files by ranges of symbols, and which range each file holds.
+
+    The number of files follows from the size of the data, not from the number of symbols; a
+    symbol too large for one file is cut by date.
+    """
+    spark = history.sparkSession
+    rows = history.repartitionByRange("symbol", "date").sortWithinPartitions("symbol", "date")
+    rows.write.mode("overwrite").parquet(f"{path}/rows")
+    written = spark.read.schema(history.schema).parquet(f"{path}/rows")
+    ranges = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min("symbol").alias("first_symbol"), F.max("symbol").alias("last_symbol")
+    )
+    ranges.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges")
+
+
+def load_by_symbol(spark, path, symbols) -> DataFrame:
+    """The rows of a symbol or a list of symbols; only files whose range may hold one are read."""
+    names = [symbols] if isinstance(symbols, str) else list(symbols)
+    ranges = spark.read.parquet(f"{path}/ranges")
+    wanted = F.exists(F.array(*[F.lit(n) for n in names]), lambda n: n.between(F.col("first_symbol"), F.col("last_symbol")))
+    files = [r.file for r in ranges.where(wanted).select("file").collect()] if names else []
+    whole = spark.read.parquet(f"{path}/rows")
+    if not files:
+        return whole.limit(0)
+    rows = spark.read.schema(whole.schema).parquet(*[f"{path}/rows/{f}" for f in files])
+    return rows.where(F.col("symbol").isin(names))

@@ -177,6 +177,28 @@ STEPS["run_result"] = """
         from (select * from modified where n = 1) b
         asof left join run_actions m on b.symbol = m.symbol and b.dt >= m.dt"""
 
+# The same run with the pairs that a review accepts in place of the picked rows.
+_STRUCK = "volume in (5, 11, 17, 23, 31, 41)"
+STEPS["reviewed"] = f"""
+        select symbol, dt, open, high, low, close, volume, seq from (
+            select *, row_number() over (partition by symbol, dt order by seq) as n
+            from scores where ({_BETTER}) and not {_STRUCK}) where n = 1"""
+STEPS["modified_reviewed"] = STEPS["modified"].replace("from picked", "from reviewed")
+STEPS["run_reviewed"] = STEPS["run_result"].replace("from modified", "from modified_reviewed")
+
+# Snapshots of the changes as the feed gives them, in the closed form of those of `index_changes`.
+STEPS["feed_changes"] = """
+        select case when index_name = 'LOW' then '5-LOW' else index_name end as index_name, symbol, dt, change_type, seq
+        from normalised"""
+for _step in ("change_days", "universe", "universe_next", "snapshots"):
+    _text = re.sub(r"\b(change_days|universe_next|universe|snapshots)\b", r"feed_\1", STEPS[_step])
+    STEPS[f"feed_{_step}"] = _text.replace("index_changes", "feed_changes")
+
+# Bars of lines that parse.
+STEPS["sound_ranked"] = """
+        select symbol, dt, row_number() over (partition by symbol, dt order by seq) as n
+        from bars_raw where volume not in (7, 13, 21)"""
+
 _NULL_ADJUSTED = ", ".join(
     f"cast(null as double) as adj_{p}" for p in ("open", "high", "low", "close")
 )
@@ -198,6 +220,32 @@ def _totals(table, where):
                       cast(sum(volume) as bigint) as volume_sum from {table} where {where} group by 1"""
 
 
+def _recon(limit):
+    """Every bar and every day by themselves; `limit` holds for snapshots and flags."""
+    where = f"where {limit}" if limit else ""
+    return f"""
+        with flagged as (
+            select distinct coalesce(r.new, b.symbol) as symbol, b.dt, b.index_name, b.snap_dt
+            from (select * from bar_snaps {where}) b join bar_flags f
+              on f.symbol = b.symbol and f.dt = b.dt and f.index_name = b.index_name
+            left join renames r on r.old = b.symbol
+            where f.flag = 1 and b.dt >= date '1995-01-01'),
+        until as (
+            select index_name, dt, coalesce(lead(dt) over (partition by index_name order by dt) - 1,
+                   greatest(dt, (select max(dt) from kept {where}))) as last_dt
+            from snap_days {where}),
+        expected as (
+            select distinct s.index_name, s.dt as snap_dt, cast(y.year as integer) as year, s.symbol
+            from snapshots s join until u on u.index_name = s.index_name and u.dt = s.dt
+            join (select unnest(range(1990, 2010)) as year) y on y.year between year(u.dt) and year(u.last_dt)),
+        found as (
+            select distinct index_name, coalesce(snap_dt, date '1900-01-01') as snap_dt,
+                   cast(year(dt) as integer) as year, symbol from flagged)
+        select *, 'snapshot only' as side from (select * from expected except select * from found)
+        union all
+        select *, 'flags only' from (select * from found except select * from expected)"""
+
+
 _HISTORY = """
         select a.symbol, a.dt as date, a.open, a.high, a.low, a.close, a.volume,
                coalesce(a.adj_open, a.open) as adjopen, coalesce(a.adj_high, a.high) as adjhigh,
@@ -231,6 +279,47 @@ ORACLES = {
     "full_load_from_year": f"select {_BAR} from kept",
     "read_multipliers": "select symbol, dt, multiplier from multipliers_raw",
     "read_renames": "select old, new from renames",
+    "read_index_feed": "select index_name, date_text, scrip, change_text from index_feed",
+    "read_scrip_map": "select * from scrip_map",
+    "read_manual_fixes": """
+        select concat(symbol, ' \u2013 Caf\u00e9 \u201cx') as symbol, dt, correct_symbol from manual_fix""",
+    "read_index_current": "select * from index_current",
+    "read_replacements": f"""
+        with judged as (
+            select symbol, dt, case when volume <> 41 then open end as open, volume, seq,
+                   case volume when 41 then 'malformed line' when 11 then 'no selected row'
+                               when 17 then 'another symbol' when 23 then 'another date' end as reason
+            from scores where ({_BETTER}) and volume not in (5, 31))
+        select symbol, dt, open, volume, case when n > 1 then 'bar replaced already' end as reason from (
+            select *, row_number() over (partition by symbol, dt order by seq) as n from judged where reason is null)
+        union all
+        select symbol, dt, open, volume, reason from judged where reason is not null
+        union all
+        select symbol, dt, kept_open, kept_volume, 'no skipped row' from scores where ({_BETTER}) and volume = 31""",
+    "malformed_lines": """
+        select symbol, dt, cast(null as integer) as fields, case when n = 1 then 'bars' else 'bars_skipped' end as went_to
+        from sound_ranked
+        union all
+        select symbol, dt, cast(case volume when 7 then 7 when 13 then 6 else 8 end as integer), 'bars_malformed'
+        from bars_raw where volume in (7, 13, 21)""",
+    "full_load_reviewed": "select * from run_reviewed",
+    "ingest_stream_files": """
+        select symbol, dt, case when copy_no = 1 then 'bars' else 'bars_skipped' end as went_to from ranked""",
+    "refresh_membership": """
+        select index_name, symbol, dt, change_type from feed_changes
+        union all select index_name, symbol, dt, 'snapshot' from feed_snapshots""",
+    "update_adjusted": f"""
+        select {_BAR}, case when dt >= date '1999-01-01' then adj_open end as adj_open,
+               case when dt >= date '1999-01-01' then adj_high end as adj_high,
+               case when dt >= date '1999-01-01' then adj_low end as adj_low,
+               case when dt >= date '1999-01-01' then adj_close end as adj_close from run_result""",
+    "delta_run_append": "select * from run_result",
+    "rename_stored_run": """
+        select symbol, dt, case when n > 1 then came_as end as old_symbol from (
+            select symbol, dt, came_as, row_number() over (
+                partition by symbol, dt order by case when symbol = came_as then 0 else 1 end, came_as) as n
+            from (select coalesce(r.new, b.symbol) as symbol, b.dt, b.symbol as came_as
+                  from kept b left join renames r on r.old = b.symbol))""",
     "delta_run": """
         select symbol, dt, open, high, low, close, volume, adj_open, adj_high, adj_low, adj_close from run_result""",
     "rewrite_year": """
@@ -376,26 +465,8 @@ ORACLES = {
         select *, 'current not last include' from (
             select * from index_current where index_name in (select index_name from index_changes)
             except select * from last_in)""",
-    "flags_recon": """
-        with flagged as (
-            select distinct coalesce(r.new, b.symbol) as symbol, b.dt, b.index_name, b.snap_dt
-            from bar_snaps b join bar_flags f
-              on f.symbol = b.symbol and f.dt = b.dt and f.index_name = b.index_name
-            left join renames r on r.old = b.symbol
-            where f.flag = 1 and b.dt >= date '1995-01-01'),
-        until as (
-            select index_name, dt, coalesce(next_dt - 1, greatest(dt, (select max(dt) from kept))) as last_dt
-            from snap_days),
-        expected as (
-            select distinct s.index_name, s.dt as snap_dt, cast(y.year as integer) as year, s.symbol
-            from snapshots s join until u on u.index_name = s.index_name and u.dt = s.dt
-            join (select unnest(range(1990, 2010)) as year) y on y.year between year(u.dt) and year(u.last_dt)),
-        found as (
-            select distinct index_name, coalesce(snap_dt, date '1900-01-01') as snap_dt,
-                   cast(year(dt) as integer) as year, symbol from flagged)
-        select *, 'snapshot only' as side from (select * from expected except select * from found)
-        union all
-        select *, 'flags only' from (select * from found except select * from expected)""",
+    "flags_recon": _recon(""),
+    "flags_recon_until": _recon("year(dt) <= 1998"),
     # exports
     "export_raw": f"select {_BAR} from kept where dt >= date '1996-06-01'",
     "export_adjusted": """
@@ -434,6 +505,8 @@ ORACLES = {
     "symbol_history": "select * from served",
     "index_history": """
         select * from served where symbol in (select symbol from served where idxflag = 1)""",
+    "history_by_symbol": f"""{_HISTORY} from adjusted a
+        where a.dt between date '1996-07-01' and date '2001-06-30' and symbol in ('S1', 'S7', 'S50')""",
     "slice_history": f"{_HISTORY} from adjusted a where a.dt between date '1998-02-01' and date '2000-11-30'",
     # reports
     "symbol_counts": """
@@ -480,6 +553,38 @@ ORACLES = {
         from bars_raw""",
 }
 
+_CHECKED = """
+        select count(*) from index_changes c
+        left join (select symbol, min(dt) as start_dt, max(dt) as end_dt from modified group by symbol) g using (symbol)
+        where not exists (select 1 from modified m where m.symbol = c.symbol and m.dt = c.dt)
+          and (g.symbol is null or not (g.start_dt < c.dt and c.dt < g.end_dt))"""
+_REPORTS = {
+    "unverified": "select count(*) from scores where neighbours = 0",
+    "replaceable_selected": f"select count(*) from scores where {_BETTER}",
+    "replaceable_skipped": f"select count(*) from scores where {_BETTER}",
+    "replacements_refused": "select 0",
+    "symbol_range": "select (select count(distinct symbol) from kept) + (select count(distinct symbol) from modified)",
+    "range_anomalies": "select 0",
+    "modified_losers": "select count(*) from modified where n > 1",
+    "multipliers_skipped": """
+        select count(*) from (
+            select coalesce(r.new, m.symbol) as symbol, m.dt from multipliers_raw m left join renames r on r.old = m.symbol) c
+        where coalesce(c.dt < coalesce((select min(dt) from modified g where g.symbol = c.symbol),
+                                       (select min(dt) from kept k where k.symbol = c.symbol)), true)""",
+    "year_totals": "select count(distinct year(dt)) from kept",
+    "year_totals_modified": "select count(distinct year(dt)) from modified",
+    "year_totals_diff": f"select count(*) from ({ORACLES['year_totals_diff']})",
+    "index_changes": "select count(*) from index_changes",
+    "change_dates_check": _CHECKED,
+    "symbol_counts": "select count(distinct symbol) from kept",
+}
+ORACLES["reports_written"] = (
+    "select report, rows as written, rows as read_back from ("
+    + " union all ".join(f"select '{name}' as report, cast(({sql}) as bigint) as rows" for name, sql in _REPORTS.items())
+    + """ union all select concat('flags_', cast(year(dt) as string)), count(*) from modified
+          where n = 1 and year(dt) >= 1996 group by 1)"""
+)
+
 
 def _mentions(text, name):
     return re.search(rf"\b{name}\b", text) is not None

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import actions, days, dedupe, history, membership, ranges, repair, reports, symbols
-from ..plans import runs
+from ..operators import actions, days, dedupe, history, membership, ranges, repair, reports, review, symbols
+from ..plans import runs, serve
 from ..plans.store import PriceStore
 from ..schemas import ADJUSTED, BAR, KEY
 from ..session import tune, work_path
@@ -52,11 +52,16 @@ class Inputs:
     def cumulative(self) -> DataFrame:
         return actions.cum_multiplier(self.multipliers_raw)
 
+    def repeated(self, view="bars_raw") -> DataFrame:
+        return self.table("repeated", dedupe.repeated_keys(spark_view(self.spark, self.sf_dir, view)))
+
     def skipped(self, view="bars_raw") -> DataFrame:
-        return dedupe.later_rows(spark_view(self.spark, self.sf_dir, view))
+        return dedupe.later_rows(spark_view(self.spark, self.sf_dir, view), repeated=self.repeated(view))
 
-    def scores(self, view="bars_raw", from_date=None) -> DataFrame:
-        split = dedupe.split_duplicates(spark_view(self.spark, self.sf_dir, view))
+    def scores(self, view="bars_raw", from_date=None, split=None) -> DataFrame:
+        split = split or dedupe.split_duplicates(
+            spark_view(self.spark, self.sf_dir, view), repeated=self.repeated(view)
+        )
         return repair.score_skipped(split.unique, split.skipped, from_date)
 
     def table(self, name, df) -> DataFrame:
@@ -65,8 +70,20 @@ class Inputs:
         df.write.parquet(store.path(name))
         return self.spark.read.schema(df.schema).parquet(store.path(name))
 
-    def replacements(self) -> DataFrame:
-        return self.table("bars_replace", repair.pick_replacements(repair.replaceable(self.scores())))
+    def replacements(self, split=None) -> DataFrame:
+        return self.table("bars_replace", repair.pick_replacements(repair.replaceable(self.scores(split=split))))
+
+    def modified(self) -> symbols.Modified:
+        """One marking of the copies serves the scores and the bars."""
+        marked = dedupe.mark_copies(self.bars_raw, repeated=self.repeated())
+        marked = self.table("marked", marked.select(*BAR, "seq", "key_rows"))
+        first = F.col("key_rows").isNotNull()
+        split = dedupe.Split(
+            marked.where(first).drop("key_rows"),
+            marked.where(~first | (F.col("key_rows") > 1)).drop("key_rows"),
+            marked.where(~first).drop("key_rows"),
+        )
+        return symbols.build_modified(split.unique, self.replacements(split), self.renames)
 
     def snapshots(self) -> DataFrame:
         return self.table("snapshots", membership.index_snapshots(self.index_changes, self.index_current))
@@ -89,7 +106,10 @@ class Inputs:
 
 def query(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(Inputs(tune(spark), sf_dir))
+        out = function(Inputs(tune(spark), sf_dir))
+        if dict(out.dtypes).get("seq", "").startswith("decimal"):
+            out = out.withColumn("seq", F.lpad(F.col("seq").cast("string"), 31, "0"))
+        return out
 
     run.__doc__ = function.__doc__
     QUERIES[function.__name__] = run
@@ -144,11 +164,18 @@ def ingest_stream(x):
 
 def _file_multipliers(x):
     """Actions as read from a file: the position is file, block and row."""
-    place = F.struct(
-        F.lit(None).cast("date").alias("day"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
-        F.col("seq").alias("row"),
-    )
-    return x.multipliers_raw.withColumn("seq", place)
+    return _placed(x.multipliers_raw)
+
+
+@query
+def ingest_stream_files(x):
+    """A stream that takes three files a batch; which of equal keys comes first is up to the order of files."""
+    store = PriceStore(x.spark, work_path(x.spark, "stream-files"))
+    landing = work_path(x.spark, "landing")
+    exports.write_bar_files(x.bars_raw, landing, F.trunc("dt", "year"))
+    start_ingest(store, landing, max_files=3).awaitTermination()
+    tables = [store.read(t).select(*KEY, F.lit(t).alias("went_to")) for t in ("bars", "bars_skipped")]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query
@@ -193,6 +220,198 @@ def read_multipliers(x):
     return files.read_multipliers(x.spark, path).drop("seq")
 
 
+def _placed(df):
+    """The position as files give it."""
+    place = F.struct(
+        F.lit(None).cast("date").alias("day"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
+        F.col("seq").cast("bigint").alias("row"),
+    )
+    return df.withColumn("seq", place)
+
+
+def _spoilt(x) -> str:
+    """Bar files in which the lines of some volumes do not parse: a price, a field too few, one too many."""
+    path = work_path(x.spark, "spoilt")
+    volume = F.col("volume")
+    fields = [
+        F.col("symbol"), F.date_format("dt", "yyyyMMdd"), F.when(volume == 7, "n/a").otherwise(F.col("open").cast("string")),
+        *[F.col(c).cast("string") for c in ("high", "low", "close")],
+        F.when(volume != 13, volume.cast("string")), F.when(volume == 21, "more"),
+    ]
+    lines = x.bars_raw.select(F.concat_ws(",", *fields).alias("line"), _month().alias("file_day"), "seq")
+    lines = lines.repartitionByRange("file_day", "seq").sortWithinPartitions("file_day", "seq")
+    lines.select("line", "file_day").write.partitionBy("file_day").text(path)
+    return path
+
+
+@query
+def malformed_lines(x):
+    """Every raw line in one table: kept, rejected or malformed."""
+    store = PriceStore(x.spark, work_path(x.spark, "malformed"))
+    runs.full_load(store, _spoilt(x), x.renames)
+    nothing = F.lit(None).cast("int")
+    parts = F.split("malformed", ",")
+    bad = store.read("bars_malformed").select(
+        parts[0].alias("symbol"), F.to_date(parts[1], "yyyyMMdd").alias("dt"), F.size(parts).alias("fields"),
+        F.lit("bars_malformed").alias("went_to"),
+    )
+    good = [
+        store.read(t).select(*KEY, nothing.alias("fields"), F.lit(t).alias("went_to")) for t in ("bars", "bars_skipped")
+    ]
+    return reduce(DataFrame.unionByName, [bad, *good])
+
+
+def _reviewed(x) -> review.Reviewed:
+    """Pairs written to two files as a reviewer leaves them, and read back.
+
+    By the rejected row's volume: some pairs are struck out, some lose their selected or their
+    skipped line, some get another date or symbol, some a price that is no number.
+    """
+    path = work_path(x.spark, "pairs")
+    scores = repair.replaceable(x.scores()).withColumn("pair", F.sha2(F.to_json(F.struct(*BAR)), 256))
+    volume = F.col("volume")
+    scores = scores.where(volume != 5).repartitionByRange("seq").sortWithinPartitions("seq")
+    date = lambda of: F.date_format(of, "yyyyMMdd").alias("dt")
+    selected = scores.where(volume != 11).select(
+        "pair", F.when(volume == 17, "OTHER").otherwise(F.col("symbol")).alias("symbol"),
+        date(F.when(volume == 23, F.date_add("dt", 1)).otherwise(F.col("dt"))),
+        *[F.col(f"kept_{c}").alias(c) for c in BAR if c not in KEY],
+    )
+    skipped = scores.where(volume != 31).select(
+        "pair", "symbol", date(F.col("dt")), F.when(volume == 41, "n/a").otherwise(F.col("open").cast("string")).alias("open"),
+        *[c for c in BAR if c not in (*KEY, "open")],
+    )
+    sides = []
+    for name, lines in (("selected", selected), ("skipped", skipped)):
+        lines.write.option("header", "true").csv(f"{path}/{name}")
+        sides.append(files.read_pairs(x.spark, f"{path}/{name}"))
+    return review.match_pairs(*sides)
+
+
+@query
+def read_replacements(x):
+    found = _reviewed(x)
+    accepted = found.accepted.select(*KEY, "open", "volume", F.lit(None).cast("string").alias("reason"))
+    return accepted.unionByName(found.refused.select(*KEY, "open", "volume", "reason"))
+
+
+@query
+def full_load_reviewed(x):
+    """A load that replaces bars by reviewed pairs."""
+    store = PriceStore(x.spark, work_path(x.spark, "reviewed"))
+    runs.full_load(store, _landed(x), x.renames, _file_multipliers(x), reviewed=_reviewed(x))
+    return store.read("bars_mod").select(*BAR, *ADJUSTED)
+
+
+@query
+def read_index_feed(x):
+    """The change feed in two landings, read as one."""
+    path = work_path(x.spark, "feed-csv")
+    feed = x.index_feed.select(
+        F.col("index_name").alias("Index"), F.col("date_text").alias("Date"), F.col("scrip").alias("Symbol"),
+        F.col("change_text").alias("ChangeType"),
+    )
+    old = F.substring("Date", 7, 4) < "1999"
+    for name, part in (("old", feed.where(old)), ("new", feed.where(~old))):
+        part.write.option("header", "true").csv(f"{path}/{name}")
+    return files.read_index_feed(x.spark, [f"{path}/old", f"{path}/new"]).drop("seq")
+
+
+@query
+def read_scrip_map(x):
+    path = work_path(x.spark, "scrips-csv")
+    x.scrip_map.write.option("header", "true").csv(path)
+    return files.read_scrip_map(x.spark, path).drop("pos")
+
+
+@query
+def read_manual_fixes(x):
+    """A file in the Windows code page, with letters and marks beyond ASCII."""
+    path = work_path(x.spark, "manual-csv")
+    # Bytes 0x96 and 0x93: a dash and a quotation mark there.
+    named = F.concat("symbol", F.lit(" \x96 Caf\u00e9 \x93x"))
+    fixes = x.manual_fix.select(named.alias("Symbol"), F.date_format("dt", "yyyyMMdd").alias("Date"), F.col("correct_symbol").alias("CorrectSymbol"))
+    fixes.write.option("header", "true").option("encoding", "iso-8859-1").csv(path)
+    return files.read_manual_fixes(x.spark, path).drop("pos")
+
+
+@query
+def read_index_current(x):
+    path = work_path(x.spark, "current-csv")
+    x.index_current.write.option("header", "true").csv(path)
+    return files.read_index_current(x.spark, path)
+
+
+@query
+def refresh_membership(x):
+    """Feed and maps through the store, with every scrip and fix listed twice, to snapshots."""
+    store = PriceStore(x.spark, work_path(x.spark, "membership"))
+    pos = F.monotonically_increasing_id()
+    scrips = x.scrip_map.withColumn("pos", pos)
+    fixes = x.manual_fix.drop("pos").withColumn("pos", pos)
+    twice = lambda df: df.unionByName(df.withColumn("pos", F.col("pos") + (1 << 60)))
+    current = x.index_current
+    runs.refresh_membership(store, _placed(x.index_feed), twice(scrips), x.renames, twice(fixes), current)
+    changed = store.read("index_changes").select("index_name", "symbol", "dt", "change_type")
+    return changed.unionByName(store.read("snapshots").withColumn("change_type", F.lit("snapshot")))
+
+
+def _loaded(x, label) -> PriceStore:
+    store = PriceStore(x.spark, work_path(x.spark, label))
+    runs.full_load(store, _landed(x), x.renames, _file_multipliers(x))
+    return store
+
+
+@query
+def update_adjusted(x):
+    """Loaded without actions, which come later: the stored rows from 1999 on are adjusted in place."""
+    store = PriceStore(x.spark, work_path(x.spark, "unadjusted"))
+    runs.full_load(store, _landed(x), x.renames)
+    runs.load_multipliers(store, _file_multipliers(x), x.renames)
+    runs.update_adjusted(store, "1999-01-01")
+    return store.read("bars_mod").select(*BAR, *ADJUSTED)
+
+
+@query
+def delta_run_append(x):
+    """The actions up to 1999 with the load, the others appended by the delta run."""
+    store = PriceStore(x.spark, work_path(x.spark, "append"))
+    landing = work_path(x.spark, "landing")
+    raw, new = x.bars_raw, F.col("dt") >= DELTA
+    exports.write_bar_files(raw.where(~new), f"{landing}/old", _month())
+    exports.write_bar_files(raw.where(new), f"{landing}/new", _month())
+    known = _file_multipliers(x)
+    runs.full_load(store, f"{landing}/old", x.renames, known.where(~new))
+    runs.delta_run(store, landing, DELTA, x.renames, known.where(F.col("dt") >= DELIVERED_FROM), action_mode="append")
+    return store.read("bars_mod").select(*BAR, *ADJUSTED)
+
+
+@query
+def rename_stored_run(x):
+    """Loaded under the old names, then renamed in the store; collisions are listed."""
+    store = PriceStore(x.spark, work_path(x.spark, "renamed"))
+    runs.full_load(store, _landed(x), x.renames.limit(0))
+    collisions = runs.rename_stored_symbols(store, x.renames)
+    kept = store.read("bars_mod").select(*KEY, F.lit(None).cast("string").alias("old_symbol"))
+    return kept.unionByName(collisions.select(*KEY, "old_symbol"))
+
+
+@query
+def reports_written(x):
+    """All reports and yearly flag files from a store: rows counted while writing and rows read back."""
+    store = _loaded(x, "reports")
+    _placed(x.index_changes).write.parquet(store.path("index_changes"))
+    x.snapshots().write.parquet(store.path("snapshots"))
+    path = work_path(x.spark, "reports-csv")
+    written = serve.write_reports(store, path, INDICES, 1996)
+    read = []
+    for name, rows in written.items():
+        folder = f"{path}/{name}" if not name.startswith("flags_") else f"{path}/flags/year={name[6:]}"
+        back = x.spark.read.option("header", "true").csv(folder) if rows else x.spark.range(0)
+        read.append(back.agg(F.lit(name).alias("report"), F.lit(rows).cast("bigint").alias("written"), F.count(F.lit(1)).alias("read_back")))
+    return reduce(DataFrame.unionByName, read)
+
+
 @query
 def read_renames(x):
     """The rename map written as CSV and read back."""
@@ -235,7 +454,7 @@ def dedupe_first(x):
 
 @query
 def duplicates_all(x):
-    return dedupe.duplicate_rows(x.bars_raw)
+    return dedupe.duplicate_rows(x.bars_raw, repeated=x.repeated())
 
 
 @query
@@ -271,7 +490,7 @@ def dups_not_skipped(x):
 
 @query
 def dup_key_counts(x):
-    return dedupe.key_counts(dedupe.duplicate_rows(x.bars_raw))
+    return dedupe.key_counts(dedupe.duplicate_rows(x.bars_raw, repeated=x.repeated()))
 
 
 # ---- repair ----------------------------------------------------------------------
@@ -317,12 +536,12 @@ def resolve_map(x):
 
 @query
 def build_modified(x):
-    return symbols.build_modified(x.unique(), x.replacements(), x.renames).rows
+    return x.modified().rows
 
 
 @query
 def modified_losers(x):
-    return symbols.build_modified(x.unique(), x.replacements(), x.renames).losers
+    return x.modified().losers
 
 
 @query
@@ -484,6 +703,14 @@ def membership_recon(x):
     return membership.membership_recon(x.index_changes, x.index_current)
 
 
+@query
+def flags_recon_until(x):
+    """The same up to a year, which ends the last interval of that year."""
+    snapshots = x.snapshots()
+    flags = membership.membership_flags(x.unique(), snapshots, INDICES, 1995)
+    return membership.flags_recon(symbols.rename_symbols(flags, x.renames), snapshots, INDICES, end_year=1998)
+
+
 @query
 def flags_recon(x):
     """Flags stored under the new symbols against snapshots that still have the old ones."""
@@ -559,7 +786,16 @@ def symbol_history(x):
 
 @query
 def index_history(x):
-    return history.index_history(x.adjusted(), x.snapshots(), INDEX, START, END, BUFFER, x.multipliers_raw)
+    bars = x.table("bars_mod", x.adjusted())
+    return history.index_history(bars, x.snapshots(), INDEX, START, END, BUFFER, x.multipliers_raw)
+
+
+@query
+def history_by_symbol(x):
+    """The history of all symbols saved by ranges of symbols, and some of them read back."""
+    path = work_path(x.spark, "by-symbol")
+    sink.save_by_symbol(history.symbol_history(x.adjusted(), START, END, None, BUFFER), path)
+    return sink.load_by_symbol(x.spark, path, ["S1", "S7", "S50"])
 
 
 @query
@@ -583,8 +819,7 @@ def year_totals(x):
 
 @query
 def year_totals_diff(x):
-    bars = x.unique()
-    return reports.year_totals_diff(bars, symbols.build_modified(bars, x.replacements(), x.renames).rows)
+    return reports.year_totals_diff(x.unique(), x.modified().rows)
 
 
 @query

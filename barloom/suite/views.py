@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 INDICES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 CODES = {"1-URGENT": "URG", "2-HIGH": "HIGH", "3-MEDIUM": "MED", "4-NOT SPECIFIED": "NSP", "5-LOW": "LOW"}
 
+# The ingest position as digits: order, line and part number in fixed places.
+POSITION = """concat(lpad(cast(l_orderkey as string), 15, '0'), lpad(cast(l_linenumber as string), 3, '0'),
+              lpad(cast(l_partkey as string), 13, '0'))"""
+# The same as a number, which compares and hashes faster; `query` spells it out again.
+POSITION_NUMBER = """cast(cast(l_orderkey as decimal(15,0)) * 10000000000000000bd
+              + cast(l_linenumber as decimal(3,0)) * 10000000000000bd + cast(l_partkey as decimal(13,0)) as decimal(31,0))"""
+
 VIEWS = {
     # Supplier as symbol, ship date as bar date; has natural duplicate keys.
-    "bars_raw": """
+    "bars_raw": f"""
 select concat('S', cast(l_suppkey as string)) as symbol, cast(l_shipdate as date) as dt,
        l_extendedprice as open, l_extendedprice + l_quantity as high,
        l_extendedprice - l_quantity as low, l_extendedprice + l_tax as close,
        cast(l_quantity as bigint) as volume,
-       concat(lpad(cast(l_orderkey as string), 15, '0'), lpad(cast(l_linenumber as string), 3, '0'),
-              lpad(cast(l_partkey as string), 13, '0')) as seq
-from {lineitem}""",
+       {POSITION} as seq
+from {{lineitem}}""",
     # Few bars per symbol and year: one neighbour or none.
     "bars_sparse": """
 select concat('C', cast(o_custkey as string)) as symbol,
@@ -79,7 +85,7 @@ select concat('S', cast(s_suppkey as string)) as symbol from {supplier} where s_
 TABLES = ["lineitem", "orders", "supplier"]
 
 def spark_view(spark: SparkSession, sf_dir, name) -> DataFrame:
-    text = VIEWS[name]
+    text = VIEWS[name].replace(POSITION, POSITION_NUMBER)
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **tables)
 

@@ -86,24 +86,17 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
-def test_rows_of_a_hot_key_spread_over_partitions(spark):
-    """A third of all rows share one key; their shuffle keys also hold the order value."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        n = 3000
-        data = spark.range(n).select(
-            F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), "id")).alias("symbol"),
-            F.lit("2001-01-02").cast("date").alias("dt"),
-            F.col("id").alias("seq"),
-        )
-        skipped = dedupe.later_rows(data)
-        assert skipped.count() == n // 3 - 1
-        sizes = [r["count"] for r in skipped.groupBy(F.spark_partition_id()).count().collect()]
-        assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_few_repeated_keys_shuffle_no_rows(spark, folder):
+    """Staged keys are broadcast by their size, and the rows meet them where they are."""
+    sample(spark).write.parquet(f"{folder}/rows")
+    data = spark.read.parquet(f"{folder}/rows")
+    dedupe.repeated_keys(data).write.parquet(f"{folder}/repeated")
+    repeated = spark.read.parquet(f"{folder}/repeated")
+    for copies in (dedupe.later_rows, dedupe.duplicate_rows, dedupe.mark_copies):
+        found = copies(data, repeated=repeated)
+        assert rows(found) == rows(copies(data))
+        text = plan(found)
+        assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
 
 
 def test_key_counts_are_ordered(spark):

@@ -9,7 +9,7 @@ from barloom.plans.store import PriceStore
 from barloom.schemas import BAR
 from barloom.sinks import exports
 from barloom.streaming.ingest import ingest_batch, start_ingest
-from barloom.sources.files import read_bar_files
+from barloom.sources.files import read_bar_lines
 from test_files import write
 
 BARS_MOD = [*BAR, "adj_open", "adj_high", "adj_low", "adj_close"]
@@ -113,22 +113,23 @@ def test_new_actions_and_renames_on_stored_rows(spark, folder):
 
 def test_refresh_membership(spark, folder):
     write(folder, "feed.csv", "Index,Date,Symbol,ChangeType", "X,01-02-2001,Firm,Inclusion into Index", "X,01-03-2001,Other,Exclusion from Index")
-    from barloom.operators.membership import manual_map
     from barloom.sources import files
 
     store = PriceStore(spark, f"{folder}/store")
     none = spark.createDataFrame([], "old string, new string")
-    write(folder, "scrips.csv", "Scrip,Symbol", "Firm,F", "Other,O")
-    write(folder, "manual.csv", "Symbol,Date,CorrectSymbol")
+    # Scrips and fixes listed twice do not multiply the changes; the last scrip and the first fix count.
+    write(folder, "scrips.csv", "Scrip,Symbol", "Firm,X", "Other,P", "Firm,F", "Other,Q")
+    write(folder, "manual.csv", "Symbol,Date,CorrectSymbol", "Q,20010301,O", "Q,20010301,Z")
     write(folder, "current.csv", "Index,Symbol", "X,F")
     runs.refresh_membership(
         store,
         files.read_index_feed(spark, f"{folder}/feed.csv"),
         files.read_scrip_map(spark, f"{folder}/scrips.csv"),
         none,
-        manual_map(files.read_manual_fixes(spark, f"{folder}/manual.csv")),
+        files.read_manual_fixes(spark, f"{folder}/manual.csv"),
         files.read_index_current(spark, f"{folder}/current.csv"),
     )
+    assert store.read("index_changes").count() == 2
     assert rows(store.read("snapshots")) == [("X", "F", "2001-02-01"), ("X", "F", "2001-03-01"), ("X", "O", "2001-02-01")]
 
 
@@ -158,7 +159,7 @@ def test_stream_takes_each_file_once_and_sets_late_files_aside(spark, folder):
 def test_repeated_batch_changes_nothing(spark, folder):
     write(f"{folder}/f", "2001-01-02.txt", "A,20010102,1,1,1,1,1", "A,20010102,2,2,2,2,2")
     store = PriceStore(spark, f"{folder}/store")
-    batch = read_bar_files(spark, f"{folder}/f")
+    batch = read_bar_lines(spark, f"{folder}/f")
     for _ in range(2):
         ingest_batch(store, batch, "stream-0")
     assert rows(store.read("bars"), "open") == [(1.0,)]
@@ -225,12 +226,13 @@ def test_stream_takes_a_backlog_in_any_order_of_files(spark, folder):
     landing = f"{folder}/landing"
     names = ["2001-01-04", "2001-01-02", "2001-01-03"]
     for n, name in enumerate(names):
-        write(landing, f"{name}.txt", f"A,{name.replace('-', '')},{n},1,1,1,1", f"A,bad,{n},1,1,1,1")
+        write(landing, f"{name}.txt", f"A,{name.replace('-', '')},{n},1,1,1,1", f"A,,{n},1,1,1,1", f"A,bad,{n},1,1,1,1")
         os.utime(f"{landing}/{name}.txt", (time.time() - 100 + n, time.time() - 100 + n))
     store = PriceStore(spark, f"{folder}/store")
     start_ingest(store, landing, max_files=1).awaitTermination()
     assert rows(store.read("bars"), "dt", "open") == [("2001-01-02", 1.0), ("2001-01-03", 2.0), ("2001-01-04", 0.0)]
     assert rows(store.read("bars_undated"), "open") == [(0.0,), (1.0,), (2.0,)]
+    assert rows(store.read("bars_malformed"), "malformed") == [(f"A,bad,{n},1,1,1,1",) for n in range(3)]
     assert store.read("bars_late").count() == 0
     assert rows(store.read("bars_mod"), "dt") == rows(store.read("bars"), "dt")
 
@@ -263,7 +265,7 @@ def test_delta_lists_what_it_does_not_add(spark, folder):
     files, store = f"{folder}/files", PriceStore(spark, f"{folder}/store")
     write(files, "2001-01-02.txt", "A,20010102,1,1,1,1,1")
     runs.full_load(store, files, renames)
-    write(files, "2001-01-03.txt", "A,20010103,2,2,2,2,2", "A,20010101,3,3,3,3,3", "B,x,4,4,4,4,4", "A,20010103,5,5,5,5,5")
+    write(files, "2001-01-03.txt", "A,20010103,2,2,2,2,2", "A,20010101,3,3,3,3,3", "B,,4,4,4,4,4", "A,20010103,5,5,5,5,5")
     runs.delta_run(store, files, "20010103", renames)
     write(files, "2001-01-04.txt", "A,20010104,6,6,6,6,6")
     runs.delta_run(store, files, "20010104", renames)

@@ -52,6 +52,13 @@ def test_scores_of_a_hot_key_are_split(small_partitions):
     assert sum(r.symbol == "HOT" for r in scores) == 9999
 
 
+def test_rows_of_a_hot_key_are_split(small_partitions):
+    for copies, expected in ((dedupe.later_rows, 9999), (dedupe.duplicate_rows, 10000)):
+        found, shown = final_plan(copies(hot_bars(small_partitions)))
+        assert "skew=true" in shown
+        assert sum(r.symbol == "HOT" for r in found) == expected
+
+
 def test_rename_of_a_hot_symbol_is_split(small_partitions):
     spark = small_partitions
     renames = spark.range(500).select(

@@ -1,4 +1,4 @@
-"""Passages that repeat across documents, found at places picked by their content."""
+"""Passages that repeat across documents, by content-defined chunks of a gear rolling hash."""
 
 from __future__ import annotations
 
@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import _ODD, bounded, column, mix, save, word_codes, word_hashes
+from .common import bounded, column, fresh, save
 
 #: Bytes that the rolling hash looks back over.
 REACH = 32
-#: Words of a picked place.
-GROUP = 8
+#: One byte in so many ends a chunk, unless another one did less than `LEAST` bytes before.
+AVERAGE = 32
+LEAST = 8
 GEAR = np.frombuffer(
     b"".join(xxhash.xxh32_digest(bytes([b]), seed=1) for b in range(256)), dtype="<u4"
 ).astype(np.uint32)
@@ -36,107 +37,47 @@ def gear_hashes(data: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return h
 
 
-def cut_places(hits, lead, end, least, most):
-    """Ends of the chunks of one text: hits at `least` bytes or more, else forced at `most`.
+def cut_texts(texts, average=AVERAGE, least=LEAST):
+    """Chunks of all texts (bytes each), as arrays: text number, start, end, first and last word.
 
-    `hits` are the ascending places behind which the hash allows a cut; `lead` tells whether a
-    byte begins a character, as only there a forced cut may lie.
+    A chunk ends behind a byte at which the hash is small, where no other byte of the last `least`
+    has a small one: whether a place is a border depends on the REACH + least bytes before it alone. Two
+    copies of a passage thus have the same borders from there on, whatever stands before them.
+
+    `first` and `last` bound the words (from first, before last) of any passage that holds the
+    chunk and neither of its neighbours whole: it begins at most REACH + least bytes before the chunk in
+    front of it, and ends in the one behind it.
     """
-    cuts, last = [], 0
-    for p in hits:
-        while p - last > most:
-            q = last + most
-            while q > last + 1 and not lead[q]:
-                q -= 1
-            cuts.append(q)
-            last = q
-        if p - last >= least:
-            cuts.append(p)
-            last = p
-    while end - last > most:
-        q = last + most
-        while q > last + 1 and not lead[q]:
-            q -= 1
-        cuts.append(q)
-        last = q
-    if end > last:
-        cuts.append(end)
-    return cuts
-
-
-def chunk_texts(texts, average=32, least=16, most=128):
-    """Chunks of each text: (text number, number in it, start and end in code points, words, bytes)."""
-    rows = []
-    raw = [t.encode("utf-8") for t in texts]
-    pad = bytes(REACH)
-    data = np.frombuffer(pad.join([b"", *raw]), dtype=np.uint8)
-    if not len(data):
-        return rows
-    sizes = np.array([len(b) for b in raw])
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    data = np.frombuffer(bytes(REACH).join([b"", *texts, b""]), dtype=np.uint8)
     starts = np.cumsum(sizes + REACH) - sizes
-    fresh = np.ones(len(data), dtype=bool)
-    for s, n in zip(starts.tolist(), sizes.tolist()):
-        fresh[s : s + n] = False
-    lead = (data & 0xC0) != 0x80
-    hashes = gear_hashes(data, fresh)
-    # The highest bits depend on the most bytes.
-    mask = np.uint32((average - 1) << (32 - (average - 1).bit_length()))
-    ok = np.flatnonzero((hashes & mask) == 0) + 1
-    ok = ok[(ok >= len(data)) | lead[np.minimum(ok, len(data) - 1)]]
-    points = np.concatenate([[0], np.cumsum(lead)])
-    words = np.concatenate([[0], np.cumsum(word_begins(data, fresh))])
-    for k, (s, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
-        if not n:
-            continue
-        hits = ok[np.searchsorted(ok, s, "right") : np.searchsorted(ok, s + n, "right")] - s
-        cuts = cut_places(hits.tolist(), lead[s : s + n + 1], n, least, most)
-        at = s + np.array([0, *cuts])
-        p, w = (points[at] - points[s]).tolist(), np.diff(words[at]).tolist()
-        body, a = raw[k], 0
-        for i, b in enumerate(cuts):
-            rows.append((k, i, p[i], p[i + 1], w[i], body[a:b]))
-            a = b
-    return rows
-
-
-def picked(texts, words):
-    """Picked places of each text, as arrays: (text number, first word, words before its end, hash).
-
-    Of every `words` words in a row the group of GROUP words (or as many as there are) with the
-    smallest hash is picked, the leftmost of equal ones. The pick depends on these words alone, so
-    copies of them pick the same group. All windows from the first word on to the end pick it.
-    """
-    hashes, starts = word_hashes(texts, lower=False)
-    size = min(GROUP, words)
-    groups = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
-    for k in range(size):
-        groups = mix(groups * _ODD[0] + hashes[k : k + len(groups)])
-    # Values of equal hash stand in the order of their places: the leftmost is the smallest.
-    place = np.arange(len(groups), dtype=np.uint64)
-    best = (groups & ~np.uint64(0xFFFFFFFF)) | place
-    have, wide = 1, words - size + 1
-    while have < wide and len(best):
-        step = min(have, wide - have)
-        best = np.minimum(best[:-step], best[step:])
-        have += step
-    lengths = np.diff(starts)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    at = np.flatnonzero(np.arange(len(owner)) + words <= starts[1:][owner])
-    if not len(at):
-        return (at,) * 4
-    chosen, owner = groups[(best[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)], owner[at]
-    # Text in circles picks equal words again and again: one row for all of them.
-    first = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])))
-    final = np.append(first[1:], len(at)) - 1
-    owner, base = owner[first], starts[:-1][owner[first]]
-    return owner, at[first] - base, at[final] + words - base, chosen[first].view(np.int64)
-
-
-def word_begins(data, fresh):
-    blank = (data == 32) | ((data >= 9) & (data <= 13)) | fresh
-    begins = ~blank
-    begins[1:] &= blank[:-1]
-    return begins
+    ends = starts + sizes
+    inside = np.zeros(len(data) + 1, dtype=np.int8)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, ends, -1)
+    padding = np.cumsum(inside[:-1]) == 0
+    hits = np.flatnonzero((gear_hashes(data, padding) < np.uint32(2**32 // average)) & ~padding) + 1
+    cuts = hits[np.diff(hits, prepend=-least) >= least]
+    full = sizes > 0
+    border = np.unique(np.concatenate([starts[full], cuts, ends[full]]))
+    text = np.searchsorted(starts, border, side="right") - 1
+    chunk = np.flatnonzero(border < ends[text])
+    text, start, end = text[chunk], border[chunk], border[chunk + 1]
+    begun, ended = word_counts(data, padding)
+    new = np.diff(text, prepend=-1) > 0
+    before = np.where(new, start, np.roll(start, 1))
+    behind = np.where(np.roll(new, -1), end, np.roll(end, -1))
+    first = begun[np.maximum(before - REACH - least, starts[text])] - begun[starts[text]]
+    last = ended[behind] - ended[starts[text]]
+    return data, text, start, end, first, last
+
+
+def word_counts(data, padding):
+    """For each place the number of words that begin before it, and of those that have ended there."""
+    word = ~((data == 32) | ((data >= 9) & (data <= 13)) | padding)
+    changes = np.diff(word.astype(np.int8), prepend=0, append=0)
+    begun = np.append(0, np.cumsum(changes == 1))
+    return begun[:-1], np.cumsum(changes == -1)
 
 
 def row_marks(texts):
@@ -147,50 +88,60 @@ def longs(names):
     return pa.schema([(c, pa.int64()) for c in names]), ", ".join(f"`{c}` long" for c in names)
 
 
-def pick_table(docs: DataFrame, words: int) -> DataFrame:
-    """A row per pick: hash of the text, number in it, words around it, hash of its words."""
-    kinds, schema = longs(["row", "pick", "first", "last", "digest"])
+def cut_table(docs: DataFrame, words: int) -> DataFrame:
+    """A row per document of `words` words or more: its text's hash, extent and chunks.
+
+    Columns: doc_id, row (hash of the text), start and end of all its words in code points, words,
+    and for each chunk its digest and the first and last word that `cut_texts` gives.
+    """
+    kinds = pa.schema(
+        [(c, pa.int64()) for c in ("doc_id", "row", "start", "end", "words")]
+        + [("digest", pa.list_(pa.int64())), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32()))]
+    )
 
     def run(batches):
         for batch in bounded(batches, most=1_000_000):
-            texts = pc.fill_null(column(batch, "text"), "")
-            k, first, last, digest = picked(texts, words)
-            if len(k):
-                number = np.arange(len(k)) - np.searchsorted(k, k)
-                rows = row_marks(texts.to_pylist())[k]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rows, number, first, last, digest)], schema=kinds)
+            texts = [t.encode("utf-8") for t in pc.fill_null(column(batch, "text"), "").to_pylist()]
+            data, text, start, end, first, last = cut_texts(texts)
+            view = memoryview(data)
+            digest = [xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(start.tolist(), end.tolist())]
+            at = np.searchsorted(text, np.arange(len(texts) + 1))
+            outline = np.array([extent(t) for t in texts], dtype=np.int64).reshape(-1, 3).T
+            lists = [
+                pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, k))
+                for x, k in (
+                    (np.array(digest, np.uint64).view(np.int64), pa.int64()), (first, pa.int32()), (last, pa.int32()),
+                )
+            ]
+            whole = [column(batch, "doc_id"), pa.array(row_marks(texts)), *[pa.array(x) for x in outline], *lists]
+            rows = pa.RecordBatch.from_arrays(whole, schema=kinds)
+            yield rows.filter(pa.array(outline[2] >= words))
 
-    return docs.select("text").mapInArrow(run, schema)
+    schema = "doc_id long, row long, start long, end long, words long, digest array<long>, first array<int>, last array<int>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
+
+def extent(text: bytes):
+    """Start and end in code points of all words of a text, and their number."""
+    words = text.split()
+    if not words:
+        return 0, 0, 0
+    # bytes.split parts at the same characters as words do.
+    begin = len(text) - len(text.lstrip())
+    end = len(text.rstrip())
+    return len(text[:begin]), len(text[:end].decode("utf-8")), len(words)
 
 
 def word_places(text):
     """The text in UTF-8, first bytes and ends of its words, and the code points before each byte."""
     body = text.encode("utf-8")
     data = np.frombuffer(body, dtype=np.uint8)
-    begins = np.flatnonzero(word_begins(data, np.zeros(len(data), bool)))
-    ends = len(data) - np.flatnonzero(word_begins(data[::-1], np.zeros(len(data), bool)))[::-1]
+    word = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    changes = np.diff(word.astype(np.int8), prepend=0, append=0)
+    begins, ends = np.flatnonzero(changes == 1), np.flatnonzero(changes == -1)
     return body, begins, ends, np.append(0, np.cumsum((data & 0xC0) != 0x80))
 
 
-def outline(docs: DataFrame) -> DataFrame:
-    """doc_id, hash of the text, start and end of all its words in code points, and their number."""
-    kinds, schema = longs(["doc_id", "row", "start", "end", "words"])
-
-    def run(batches):
-        for batch in bounded(batches, most=1_000_000):
-            texts = pc.fill_null(column(batch, "text"), "").to_pylist()
-            blanks = "".join(chr(c) for c in (32, *range(9, 14)))
-            start = [len(t) - len(t.lstrip(blanks)) for t in texts]
-            end = [len(t.rstrip(blanks)) for t in texts]
-            words = np.diff(word_codes(pa.array(texts, pa.string()), lower=False)[1])
-            yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), *[pa.array(x, pa.int64()) for x in (row_marks(texts), start, end, words)]],
-                schema=kinds,
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
 def run_table(docs: DataFrame, words: int) -> DataFrame:
     """A row per run of `words` words in the `spans` of documents: its first word, place and digest."""
     kinds, schema = longs(["doc_id", "row", "at", "start", "end", "digest"])
@@ -216,25 +167,30 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 45) -> DataFrame:
     """Passages of a document that are found in another one too.
 
     Columns: doc_id, row (hash of the text), start, end (code points, of whole words), n_chunks,
-    n_words, first_doc_id, is_first. A chunk is a run of `min_words` words, blanks between them
-    included, that another document has byte by byte; a passage is all chunks of a document that
-    overlap or touch. `is_first` holds where no chunk of it is in a document before (by doc_id,
+    n_words, first_doc_id, is_first. A passage is all runs of `min_words` words, blanks between
+    them included, that another document has byte by byte, where they overlap or touch; n_chunks
+    counts these runs. `is_first` holds where no run of it is in a document before (by doc_id,
     then by the text's hash): there it is kept when repeats are dropped, elsewhere first_doc_id
-    names the earliest document with one of its chunks.
+    names the earliest document with one of its runs.
 
     Null and empty texts have no chunks; rows that repeat doc_id and text are one document; equal
     texts under different ids repeat each other; repeats within one document alone are not listed;
     extra columns are ignored; an empty table gives no rows.
 
-    No chunk is missed: of every `min_words` words in a row one place is picked by these words
-    alone (see `picked`), so all picks inside a chunk are in the other document too. Only runs of
-    words whose picks are all shared by several texts are hashed and compared, once for each text;
-    equal texts repeat each other whole. Hashes are counted with a combine before the shuffle; the
-    few found in several texts are written, and the rows join them with skewed keys split.
+    Texts are cut by their content (see `cut_texts`), and chunks deduplicated by digest. Every
+    chunk that two different texts hold is a candidate; neighbouring ones are joined, extended
+    over the chunk on either side, and kept where that has `min_words` words. What is in them is
+    then compared exactly, run by run. A passage is missed only if no whole chunk lies in it
+    behind its first REACH + LEAST bytes (the README has the measured share), as in text that
+    repeats itself every few bytes. Equal texts repeat each other whole.
+
+    Texts are cut once and written. Digests are counted with a combine before the shuffle; copies
+    of a text are combined before its chunks are put in order; the joins split skewed digests.
     """
     spark = docs.sparkSession
     of_text = Window.partitionBy("row")
-    outlines = save(outline(docs).where(F.col("words") >= min_words), work_path(spark, "outlines"))
+    cut = save(cut_table(docs, min_words), work_path(spark, "cuts"))
+    outlines = cut.select("doc_id", "row", "start", "end", "words")
     texts = outlines.groupBy("row").agg(
         F.min(F.struct("doc_id")).alias("least"),
         F.max(F.struct("doc_id")).alias("largest"),
@@ -247,19 +203,25 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 45) -> DataFrame:
         (~F.col("least").eqNullSafe(F.col("largest"))).alias("many"),
     )
 
-    picks = pick_table(docs, min_words)
-    shared = picks.groupBy("digest").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b")
-    hits = picks.join(save(shared.select("digest"), work_path(spark, "picks")), "digest").drop("digest")
+    shared = cut.select("row", F.explode("digest").alias("digest"))
+    shared = shared.groupBy("digest").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b")
+    shared = save(shared.select("digest"), work_path(spark, "chunks"))
+    chunks = cut.select("row", F.posexplode(F.arrays_zip("digest", "first", "last")).alias("number", "chunk"))
+    chunks = chunks.select("row", "number", "chunk.digest", "chunk.first", "chunk.last")
+    hits = chunks.join(shared, "digest").groupBy("row", "number").agg(
+        F.min("first").alias("first"), F.max("last").alias("last")
+    )
     spans = (
-        hits.withColumn("run", F.col("pick") - F.dense_rank().over(of_text.orderBy("pick")))
+        hits.withColumn("run", F.col("number") - F.row_number().over(of_text.orderBy("number")))
         .groupBy("row", "run")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .where(F.col("last") - F.col("first") >= min_words)
         .groupBy("row")
         .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
         .join(texts.select("row", F.col("doc_id").alias("__doc_id")), "row")
     )
     same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__hash") == F.col("row"))
-    runs = run_table(row_hashes(docs.select("doc_id", "text")).join(spans, same), min_words)
+    runs = run_table(row_hashes(docs.select("doc_id", "text"), "__hash").join(spans, same), min_words)
     runs = save(runs, work_path(spark, "runs"))
 
     shared = (
@@ -267,7 +229,7 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 45) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "row")).alias("first"), F.min("row").alias("a"), F.max("row").alias("b"))
         .where("a <> b")
     )
-    shared = save(shared.select("digest", "first"), work_path(spark, "chunks"))
+    shared = save(shared.select("digest", "first"), work_path(spark, "shared-runs"))
     step = F.col("at") - F.lag("at").over(of_text.orderBy("at"))
     parts = (
         runs.drop("doc_id")
@@ -307,40 +269,43 @@ def repeated_passages(docs: DataFrame, *, min_words: int = 45) -> DataFrame:
 
 
 def drop_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """The documents with passages cut out of their texts wherever is_first does not hold."""
-    spans = (
+    """The documents with passages cut out of their texts wherever is_first does not hold.
+
+    All columns stay, whatever their names; null and empty texts and rows of no passage stay as
+    they are; rows that repeat doc_id and text are cut alike; an empty table stays empty.
+    """
+    row, of_row, of_id, spans = (fresh(n, docs.columns) for n in ("row", "of_row", "of_id", "spans"))
+    wanted = (
         passages.where(~F.col("is_first"))
-        .groupBy("doc_id", "row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+        .groupBy(F.col("doc_id").alias(of_id), F.col("row").alias(of_row))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans))
     )
     schema = docs.schema
 
     def cut(batches):
         for batch in batches:
             texts = []
-            for text, spans in zip(column(batch, "text").to_pylist(), column(batch, "spans").to_pylist()):
-                for span in reversed(spans or []):
-                    text = text[: span["start"]] + text[span["end"] :]
+            for text, parts in zip(column(batch, "text").to_pylist(), column(batch, spans).to_pylist()):
+                for part in reversed(parts or []):
+                    text = text[: part["start"]] + text[part["end"] :]
                 texts.append(text)
             at = batch.schema.get_field_index("text")
             kept = batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
             yield kept.select([f.name for f in schema])
 
-    spans = spans.withColumnRenamed("row", "__row").withColumnRenamed("doc_id", "__doc_id")
-    marked = row_hashes(docs)
-    joined = marked.join(
-        spans, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__hash") == F.col("__row")), "left"
-    )
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "spans").mapInArrow(cut, schema)
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(row) == F.col(of_row))
+    joined = row_hashes(docs, row).join(wanted, same, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], spans).mapInArrow(cut, schema)
 
 
-def row_hashes(docs: DataFrame) -> DataFrame:
-    """`docs` with the hash of the text that pick_table uses, as __hash."""
+def row_hashes(docs: DataFrame, name: str) -> DataFrame:
+    """`docs` with the hash of the text that cut_table uses, under `name`."""
 
     def run(batches):
         for batch in bounded(batches):
             texts = pc.fill_null(column(batch, "text"), "").to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(row_marks(texts))], names=[*batch.schema.names, "__hash"])
+            marks = row_marks([t.encode("utf-8") for t in texts])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names=[*batch.schema.names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, __hash long")
+    return docs.mapInArrow(run, f"{fields}, `{name}` long")

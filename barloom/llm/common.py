@@ -116,5 +116,13 @@ def storage(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+def fresh(name: str, taken) -> str:
+    """A column name like `name` that none of `taken` equals, in any case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def column(batch: pa.RecordBatch, name: str):
     return batch.column(batch.schema.get_field_index(name))

@@ -5,7 +5,7 @@ import numpy as np
 
 from plain import documents  # noqa: F401
 
-from barloom.llm.chunks import GEAR, chunk_texts, cut_places, drop_passages, gear_hashes, repeated_passages
+from barloom.llm.chunks import GEAR, cut_texts, drop_passages, extent, gear_hashes, repeated_passages
 
 
 def prose(rng, n):
@@ -22,20 +22,29 @@ def test_hash_by_the_recurrence():
 
 def test_chunks_cover_texts_and_do_not_depend_on_company():
     rng = random.Random(1)
-    texts = ["", "é", prose(rng, 300), "日" * 400, "a" * 1000, prose(rng, 3)]
-    rows = chunk_texts(texts)
-    for k, text in enumerate(texts):
-        own = [r for r in rows if r[0] == k]
-        assert b"".join(r[5] for r in own) == text.encode()
-        assert all(text[r[2] : r[3]].encode() == r[5] for r in own)
-        assert sum(r[4] for r in own) == len(text.split())
-        assert [r[1:] for r in own] == [r[1:] for r in chunk_texts([text])]
-    assert max(len(r[5]) for r in rows) <= 128
-
-
-def test_forced_cuts():
-    lead = np.ones(1001, bool)
-    assert cut_places([10, 20, 700], lead, 1000, 16, 300) == [20, 320, 620, 700, 1000]
+    texts = [t.encode() for t in ["", "é", prose(rng, 300), "日" * 400, "a" * 1000, prose(rng, 3), " \n "]]
+    data, text, start, end, first, last = cut_texts(texts)
+    for k, whole in enumerate(texts):
+        own = text == k
+        pieces = [data[a:b].tobytes() for a, b in zip(start[own], end[own])]
+        assert b"".join(pieces) == whole
+        alone = cut_texts([whole])
+        assert [alone[0][a:b].tobytes() for a, b in zip(alone[2], alone[3])] == pieces
+        assert (alone[4].tolist(), alone[5].tolist()) == (first[own].tolist(), last[own].tolist())
+        assert (last[own] <= len(whole.split())).all() and extent(whole)[2] == len(whole.split())
+
+
+def test_borders_resist_insertions():
+    """Behind the bytes that the hash looks back over, a copy is cut as the original."""
+    rng = random.Random(3)
+    for _ in range(50):
+        passage = prose(rng, 80).encode()
+        ends = []
+        for lead in (b"", prose(rng, rng.randint(1, 60)).encode() + b" "):
+            data, text, start, end, *_ = cut_texts([lead + passage + b" " + prose(rng, 9).encode()])
+            at = end - 32 - len(lead)
+            ends.append([e for e in at.tolist() if 40 <= e <= len(passage)])
+        assert ends[0] == ends[1] and len(ends[0]) > 3
 
 
 def corpus():
@@ -74,6 +83,22 @@ def test_dropping_keeps_the_first(documents):
     assert len(rows[20]) < len(docs[20][1]) - 0.6 * len(shared[0])
 
 
+def test_dropping_with_names_that_clash(documents, spark):
+    docs, _, _ = corpus()
+    frame = documents(docs).withColumnsRenamed({"lang": "spans", "source": "Row", "n": "__hash"})
+    got = drop_passages(frame, repeated_passages(frame))
+    assert got.columns == frame.columns and got.count() == len(docs)
+
+
+def test_copies_are_one_text_before_their_chunks_are_ordered(documents):
+    """Thousands of copies that share a passage with another text."""
+    rng = random.Random(4)
+    passage = prose(rng, 60)
+    docs = [(i, "copied " + passage) for i in range(500)] + [(1000, prose(rng, 50) + " " + passage)]
+    rows = repeated_passages(documents(docs)).collect()
+    assert len(rows) == 501 and {r.first_doc_id for r in rows} == {0}
+
+
 def test_empty_table(documents):
     assert repeated_passages(documents([(1, "x")]).limit(0)).count() == 0
 
@@ -98,23 +123,38 @@ def brute_passages(docs, words):
     return sorted(out)
 
 
-def test_every_passage_of_51_words_in_two_documents(documents):
+def test_passages_of_51_words_in_two_documents(documents):
+    """What is found is exact; of passages of 51 words less than one in a hundred is missed."""
     rng = random.Random(5)
-    docs = [(i, prose(rng, rng.randint(30, 150))) for i in range(600)]
-    for k in range(0, 600, 2):
-        passage = prose(rng, 51) if k % 4 else " ".join(rng.choices("abcé", k=51))
+    docs = [(i, prose(rng, rng.randint(30, 150))) for i in range(1200)]
+    for k in range(0, 1200, 2):
+        passage = prose(rng, 51)
         for d in (k, k + 1):
             docs[d] = (d, docs[d][1] + "\n" + passage + "\n" + prose(rng, rng.randint(1, 90)))
-    docs += [(900, "a b " * 100), (901, "b a " * 60 + "日 " * 50), (902, "日 " * 44), (903, "日 " * 45), (904, "=" * 500)]
+    docs += [(1900, "a b " * 100), (1901, "b a " * 60 + "日 " * 50), (1902, "日 " * 44), (1903, "日 " * 45), (1904, "=" * 500)]
     rows = repeated_passages(documents(docs)).collect()
-    assert sorted((r.doc_id, r.start, r.end) for r in rows) == brute_passages(docs, 45)
-    assert {r.doc_id for r in rows} >= set(range(600))
+    expected = brute_passages(docs, 45)
+    found = sorted((r.doc_id, r.start, r.end) for r in rows)
+    assert set(found) <= set(expected)
+    planted = [x for x in expected if x[0] < 1200]
+    assert len(set(found) & set(planted)) >= 0.99 * len(planted) and len(planted) >= 1200
     assert all(r.n_words == len(dict(docs)[r.doc_id][r.start : r.end].split()) for r in rows)
 
 
-def test_short_runs_by_brute_force(documents):
+def test_passages_by_brute_force(documents):
     rng = random.Random(6)
-    docs = [(i, " ".join(rng.choices(["a", "bb", "ccc", "é", "dddddd"], k=rng.randint(0, 40)))) for i in range(60)]
-    for words in (2, 5, 9, 20):
+    pool = [prose(rng, 70) for _ in range(6)]
+    docs = []
+    for i in range(120):
+        parts = [prose(rng, rng.randint(1, 40))]
+        for _ in range(rng.randint(0, 3)):
+            words = rng.choice(pool).split()
+            a = rng.randint(0, 30)
+            parts += [" ".join(words[a : a + rng.randint(10, 70)]), prose(rng, rng.randint(1, 9))]
+        docs.append((i, " ".join(parts)))
+    for words in (30, 45):
         rows = repeated_passages(documents(docs), min_words=words).collect()
-        assert sorted((r.doc_id, r.start, r.end) for r in rows) == brute_passages(docs, words)
+        found, expected = {(r.doc_id, r.start, r.end) for r in rows}, set(brute_passages(docs, words))
+        covered = lambda spans: {(d, p) for d, a, b in spans for p in range(a, b)}
+        assert covered(found) <= covered(expected)
+        assert len(covered(found)) >= 0.97 * len(covered(expected))

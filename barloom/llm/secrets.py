@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bz2
 import codecs
 import hashlib
 import itertools
+import lzma
 import re
 import zlib
 
@@ -37,6 +39,8 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: What no secret and no encoded run has in it, so that a long layer can be divided there.
 BORDER = re.compile(r"[^A-Za-z0-9+/_.=:\"'%\\{}&#;\x20\t\r\n-]")
 #: What any layer but plain text shows somewhere; the same tests as above, for a whole Arrow column.
+#: Code points of inflated text held at most while no border shows; then it is cut with an overlap.
+HELD, OVERLAP = 16_000_000, 4096
 ENCODED = r"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#[0-9xX]|[A-Za-z0-9+/_-]{16}"
 PLAIN = r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i)password|passwd|secret|token|api_?key"
 
@@ -99,70 +103,92 @@ def _printable(text):
     return bool(text) and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.95 * len(text)
 
 
-def _inflate(raw: bytes, most: int):
-    """Bytes of a gzip, zlib or raw deflate stream in pieces of `most` at most; none where it is none.
+#: Compressed data by its first bytes, and what reads it.
+FORMATS = (
+    (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
+    (b"BZh", bz2.BZ2Decompressor),
+    (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
+)
+
+
+def _format(raw: bytes):
+    """(first bytes, reader) of compressed data; raw deflate has no sign, so it is read by trial."""
+    for sign, reader in FORMATS:
+        if raw.startswith(sign):
+            return sign, reader
+    if len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] * 256 + raw[1]) % 31 == 0:
+        return None, lambda: zlib.decompressobj(15)
+    return None, None
+
 
-    Gzip members that follow each other are all read. A stream that breaks off counts only as far
-    as it gave whole pieces.
+def _expanded(raw: bytes, sign, reader, most: int):
+    """Bytes of a compressed stream in pieces of `most` at most; none where it is none.
+
+    Members that follow each other with the same sign are all read. A stream that breaks off
+    counts only as far as it gave whole pieces.
     """
-    for wbits in (47, -15):
-        rest, given = raw, False
-        try:
-            while rest:
-                machine, held = zlib.decompressobj(wbits), []
-                out = machine.decompress(rest, most)
-                while out:
-                    held.append(out)
-                    if len(out) == most:
-                        yield from held
-                        held, given = [], True
-                    out = b"" if machine.eof else machine.decompress(machine.unconsumed_tail, most)
-                if not machine.eof:
-                    break
-                given |= bool(held)
-                yield from held
-                # Zeros may pad a member; anything but another one ends the data.
-                rest = machine.unused_data.lstrip(b"\0")
-                if rest[:2] != b"\x1f\x8b":
-                    break
-        except zlib.error:
-            pass
-        if given:
-            return
-
-
-def _pieces(raw: bytes, most: int):
-    """The text of compressed data in pieces that no secret and no encoded run spans.
+    try:
+        while raw:
+            machine, data, held = reader(), raw, []
+            while not machine.eof:
+                out = machine.decompress(data, most)
+                # zlib hands back what it has not taken, the others keep it.
+                data = getattr(machine, "unconsumed_tail", b"")
+                if not out and not data and not machine.eof:
+                    return
+                held.append(out)
+                if len(out) == most or machine.eof:
+                    yield from filter(None, held)
+                    held = []
+            # Zeros may pad a member; anything but another one ends the data.
+            raw = machine.unused_data.lstrip(b"\0")
+            if not sign or not raw.startswith(sign):
+                return
+    except (zlib.error, OSError, EOFError, lzma.LZMAError):
+        pass
+
+
+def _pieces(parts, most: int):
+    """(text, whether it goes on) of inflated parts, in pieces that no secret and no encoded run spans.
 
     They end behind a character that is in none of these, `most` bytes apart or more. A text of
     up to `most` bytes is one piece and has to be UTF-8; in longer ones what is not is left out.
+    Where HELD code points show no such character the text is cut all the same, and OVERLAP of
+    them are read with either piece: enough for the beginning of any secret.
     """
-    parts = _inflate(raw, most)
     first, more = next(parts, None), next(parts, None)
     if first is None:
         return
     if more is None:
         try:
-            yield first.decode("utf-8")
+            yield first.decode("utf-8"), len(first) >= most
         except UnicodeDecodeError:
             # A full piece may end inside a character.
             if len(first) == most:
-                yield first.decode("utf-8", "ignore")
+                yield first.decode("utf-8", "ignore"), True
         return
     decoder = codecs.getincrementaldecoder("utf-8")("ignore")
-    held, size = [], 0
+    held, size, points, total = [], 0, 0, 0
     for part in itertools.chain((first, more), parts):
         new = decoder.decode(part)
-        size += len(part)
+        size, total = size + len(part), total + len(part)
+        points += len(new)
+        if size < most:
+            held.append(new)
+            continue
         stop = max((m.end() for m in BORDER.finditer(new, max(0, len(new) - 10_000))), default=0) or max(
             (m.end() for m in BORDER.finditer(new)), default=0
         )
-        if size >= most and stop:
-            yield "".join([*held, new[:stop]])
-            held, size = [], 0
-            new = new[stop:]
-        held.append(new)
-    yield "".join([*held, decoder.decode(b"", True)])
+        if stop:
+            yield "".join([*held, new[:stop]]), True
+            held, size, points = [new[stop:]], 0, len(new) - stop
+        else:
+            held.append(new)
+            if points > HELD:
+                whole = "".join(held)
+                yield whole, True
+                held, size, points = [whole[-OVERLAP:]], 0, OVERLAP
+    yield "".join([*held, decoder.decode(b"", True)]), total >= most
 
 
 def _runs(text):
@@ -179,87 +205,136 @@ def _runs(text):
 def _blocks(lines):
     """Lines to join: all, and those of equal length in a row, also with the shorter line behind them.
 
-    A word before the first or behind the last line of a block looks like one of its lines.
+    A word before the first or behind the last line of a block looks like one of its lines. A line
+    is in three of them at most.
     """
-    at, found = 0, [lines]
+    at, found = 0, {(0, len(lines))}
     while at < len(lines):
         size, stop = len(lines[at][0]), at + 1
         while stop < len(lines) and len(lines[stop][0]) == size:
             stop += 1
         if stop - at > 1:
-            found.append(lines[at:stop])
+            found.add((at, stop))
         if stop < len(lines) and len(lines[stop][0]) < size:
-            found.append(lines[at : stop + 1])
+            found.add((at, stop + 1))
         at = stop
-    return [x for i, x in enumerate(found) if x not in found[:i]]
+    for a, b in sorted(found):
+        yield lines[a:b]
+
+
+def _starts(chars):
+    """Where base64 may begin in a run: at its front, or behind a mark that ends a path or name."""
+    yield 0
+    for i, c in enumerate(chars[:128]):
+        if c in "/_-" and len(chars) - i > 16:
+            yield i + 1
+
+
+def _text(raw):
+    """The printable text that bytes begin with, all of them but for a tail that is none; else None."""
+    try:
+        text = raw.decode("utf-8")
+    except UnicodeDecodeError as e:
+        if e.start < 12:
+            return None
+        text = raw[: e.start].decode("utf-8")
+    return text if _printable(text) else None
 
 
 def _base64(text, most):
-    """Layers inside base64 runs: (decoded text, begin, end, whether it opens one of over `most` bytes)."""
+    """Layers inside base64 runs: (decoded text, begin, end, whether it is a piece of a larger one)."""
     for chars, spot in _runs(text):
         body = chars.rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        packed, first, last = None, spot(0), spot(len(chars) - 1) + 1
-        if raw[:2] == b"\x1f\x8b" or (raw[0] & 15 == 8 and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            packed = list(_pieces(raw, most))
-        if packed:
-            large = len(packed) > 1 or len(packed[0]) >= most
-            for k, inner in enumerate(packed):
-                size = len(inner)
-                yield inner, np.broadcast_to(first, size), np.broadcast_to(last, size), large and not k
-            continue
-        try:
-            inner = raw.decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-        if not _printable(inner):
-            continue
-        # Character i of the inner text starts at byte at[i]; three bytes come from four characters.
-        at = np.cumsum([0, *(len(c.encode("utf-8")) for c in inner)])
-        begin = spot(at[:-1] // 3 * 4)
-        end = spot(np.minimum((at[1:] - 1) // 3 * 4 + 3, len(chars) - 1)) + 1
-        yield inner, begin, end, False
-
-
-def unwrap(text: str, most: int = 8_000_000):
+        for start in _starts(chars):
+            # One letter over is part of what stands behind.
+            code = body[start : len(body) - ((len(body) - start) % 4 == 1)]
+            try:
+                raw = base64.b64decode(code + "=" * (-len(code) % 4), validate=True)
+            except (binascii.Error, ValueError):
+                continue
+            given = False
+            for inner, large in _unpacked(raw, most):
+                size, given = len(inner), True
+                first, last = spot(start), spot(len(chars) - 1) + 1
+                yield inner, np.broadcast_to(first, size), np.broadcast_to(last, size), large
+            inner = None if given else _text(raw)
+            if inner is not None:
+                # Character i of the inner text starts at byte at[i]; three bytes come from four characters.
+                data = np.frombuffer(inner.encode("utf-8"), np.uint8)
+                at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+                begin = spot(start + at[:-1] // 3 * 4)
+                end = spot(np.minimum(start + (at[1:] - 1) // 3 * 4 + 3, len(chars) - 1)) + 1
+                yield inner, begin, end, False
+                given = True
+            if given:
+                break
+
+
+def _unpacked(raw, most):
+    """Pieces of the text of compressed bytes, none where they are not."""
+    sign, reader = _format(raw)
+    if reader:
+        yield from _pieces(_expanded(raw, sign, reader, most), most)
+    elif len(raw) > 8 and _text(raw) is None:
+        # Bytes that are neither text nor known by a sign: raw deflate, if it ends well and gives text.
+        parts = _expanded(raw, None, lambda: zlib.decompressobj(-15), most)
+        first = next(parts, b"")
+        if len(first) >= 8 and _text(first) is not None:
+            yield from _pieces(itertools.chain((first,), parts), most)
+
+
+def _inner(text, most, begin, end):
+    """The layers directly inside a text, with the places of their characters in the outermost one."""
+
+    def layers():
+        for form in (_percent, _escapes):
+            found = form(text)
+            if found:
+                yield *found, False
+        yield from _base64(text, most)
+
+    for new, b, e, large in layers():
+        if begin is not None and len(b):
+            if b.strides == (0,):
+                b, e = np.broadcast_to(begin[b[0]], len(b)), np.broadcast_to(end[max(e[0] - 1, 0)], len(e))
+            else:
+                b, e = begin[b], end[np.maximum(e - 1, 0)]
+        yield new, b, e, large
+
+
+def unwrap(text: str, most: int = 1_000_000):
     """Spans of all secrets of a text, of every layer, in code points of the text itself.
 
-    Layers wait in a worklist: each is scanned once, then yields its URL-decoded form, its form
-    without Unicode escapes, and the content of its base64 runs, also of those wrapped over lines,
-    decompressed where it is gzip or zlib data. A layer whose text was seen before is not taken again, so cycles end, and every
-    decoding shortens its input except for decompression. Compressed data is read to its end; of
-    more than `most` bytes it is taken in pieces, each a layer, that nothing to be found spans.
-    Returns (spans, layers, layers of more than `most` bytes).
+    The worklist holds the layers that are open, the innermost last. A layer is scanned when it is
+    found; then come the layers inside it: its URL-decoded form, its form without Unicode escapes,
+    and the content of its base64 runs, also of those behind a path or wrapped over lines,
+    decompressed where it is gzip, zlib, bzip2, xz or raw deflate data. A layer whose text was seen
+    before at the same place is not taken again, so cycles end, and every decoding shortens its
+    input except for decompression. Compressed data is read to its end; of more than `most` bytes it
+    is taken piece by piece, each a layer that is done with before the next one is inflated.
+    Returns (spans, layers, pieces of layers of more than `most` bytes).
     """
     found, seen, cut = set(scan(text)), {hashlib.sha1(text.encode("utf-8", "surrogatepass")).digest()}, 0
-    work = [(text, None, None)]
-    layers = 1
+    work, layers = [_inner(text, most, None, None)], 1
     while work:
-        layer, begin, end = work.pop()
-        inner = [(*x, False) for x in (_percent(layer), _escapes(layer)) if x]
-        inner += _base64(layer, most)
-        for new, b, e, short in inner:
-            mark = hashlib.sha1(new.encode("utf-8", "surrogatepass")).digest()
-            # The same content at two places gives two spans, so the place belongs to the mark.
-            if begin is not None:
-                if b.strides == (0,) and len(b):
-                    b, e = np.broadcast_to(begin[b[0]], len(b)), np.broadcast_to(end[max(e[0] - 1, 0)], len(e))
-                else:
-                    b, e = begin[b], end[np.maximum(e - 1, 0)]
-            mark += repr((int(b[0]), int(e[-1]))).encode() if len(b) else b""
-            if not new or mark in seen:
-                continue
-            seen.add(mark)
-            layers += 1
-            cut += short
-            for kind, s, t in scan(new):
-                found.add((kind, int(b[s:t].min()), int(e[s:t].max())))
-            work.append((new, b, e))
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        new, b, e, large = layer
+        # The same content at two places gives two spans, so the place belongs to the mark.
+        mark = hashlib.sha1(new.encode("utf-8", "surrogatepass")).digest()
+        mark += repr((int(b[0]), int(e[-1]))).encode() if len(b) else b""
+        if not new or mark in seen:
+            continue
+        seen.add(mark)
+        layers += 1
+        cut += large
+        for kind, s, t in scan(new):
+            found.add((kind, int(b[s]), int(e[t - 1])) if b.strides == (0,) else (kind, int(b[s:t].min()), int(e[s:t].max())))
+        work.append(_inner(new, most, b, e))
+        # Only what is inside is still needed of it.
+        del layer, new, b, e
     return found, layers, cut
 
 
@@ -285,7 +360,7 @@ def _suspects(texts):
     return pc.fill_null(looks, False).to_pylist()
 
 
-def mask_secrets(docs: DataFrame, most: int = 8_000_000) -> DataFrame:
+def mask_secrets(docs: DataFrame, most: int = 1_000_000) -> DataFrame:
     """`docs`, all columns, with every secret of any layer replaced in `text` by its kind in brackets.
 
     Null texts stay null; see find_secrets for the other cases. A column n_chars, where there is
@@ -309,11 +384,11 @@ def mask_secrets(docs: DataFrame, most: int = 8_000_000) -> DataFrame:
     return masked
 
 
-def find_secrets(docs: DataFrame, mask: bool = False, most: int = 8_000_000) -> DataFrame:
+def find_secrets(docs: DataFrame, mask: bool = False, most: int = 1_000_000) -> DataFrame:
     """Secrets of every document: counts and list of the plain ones, list of those of all layers.
 
-    Columns: doc_id, n_assign, n_access, n_hex, base_spans, spans, n_layers, n_cut (compressed
-    layers of more than `most` bytes, which are cut into pieces but read to the end), and with `mask` the text with all spans replaced. Null text counts as empty and
+    Columns: doc_id, n_assign, n_access, n_hex, base_spans, spans, n_layers, n_cut (pieces of
+    compressed layers of more than `most` bytes, which are read to the end), and with `mask` the text with all spans replaced. Null text counts as empty and
     stays null when masked; empty texts have no spans; repeated rows are scanned each; extra
     columns are ignored; an empty table gives no rows. One pass, no shuffle; a worker holds one
     slice of texts and the layers of one document.

@@ -1,6 +1,10 @@
 import base64
+import bz2
 import gzip
+import lzma
+import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -93,7 +97,7 @@ def test_fixpoint_and_cycles():
 def test_bomb_is_cut_and_said():
     bomb = base64.b64encode(zlib.compress(b"a" * 3_000_000)).decode()
     _, _, cut = unwrap(f"x {bomb}", most=100_000)
-    assert cut == 1
+    assert cut >= 1
 
 
 def test_masked(documents):
@@ -140,7 +144,7 @@ def test_compressed_data_is_read_to_its_end():
     for raw in (gzip.compress(filler + tail), zlib.compress(filler + tail), members, members + b"\0\0"):
         for most in (1000, 50_000, 8_000_000):
             spans, _, large = unwrap("x " + base64.b64encode(raw).decode(), most)
-            assert {"access", "assign"} <= {k for k, _, _ in spans} and large == (most < 8_000_000)
+            assert {"access", "assign"} <= {k for k, _, _ in spans} and bool(large) == (most < 8_000_000)
 
 
 def test_secrets_at_the_borders_of_pieces():
@@ -155,3 +159,45 @@ def test_gzip_that_is_no_text_or_broken_off():
     assert unwrap(base64.b64encode(gzip.compress(b"\xff\xfe" * 50 + KEY.encode())).decode())[1] == 1
     whole = gzip.compress("".join(f"{i * i}, " for i in range(300)).encode())
     assert unwrap(base64.b64encode(whole[:-200]).decode())[1] == 1
+
+
+def test_base64_behind_a_path_or_name():
+    inner = f"password = hunter2hunter2 and the access key is {KEY}, keep it"
+    for raw in (inner.encode(), gzip.compress(inner.encode()), zlib.compress(inner.encode())):
+        code = base64.b64encode(raw).decode()
+        for before in ("", "data/", "x/", "ab/", "abc/", "key_", "/home/user/data/", "a-b_c/"):
+            for after in ("", "/file", ".txt"):
+                spans, _, _ = unwrap(f"see {before}{code}{after} there")
+                assert "access" in {k for k, _, _ in spans}, (before, after, raw[:2])
+
+
+def test_all_kinds_of_compressed_data():
+    inner = ("some text, " * 20 + f"the access key is {KEY}, keep it").encode()
+    deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
+    raw = deflate.compress(inner) + deflate.flush()
+    for packed in (raw, bz2.compress(inner), lzma.compress(inner), bz2.compress(b"x") + bz2.compress(inner)):
+        assert any(k == "access" for k, _, _ in unwrap("x " + base64.b64encode(packed).decode())[0])
+
+
+def test_many_short_lines_take_linear_time():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 9)))
+    text = "a" * 16 + "\n" + "\n".join(word() for _ in range(150_000))
+    begun = time.perf_counter()
+    unwrap(text)
+    assert time.perf_counter() - begun < 20
+
+
+def test_a_large_bomb_is_read_in_bounded_memory():
+    """600 MB of letters, and of lines, with a secret at the end."""
+    import resource
+
+    for filler in (b"z" * 1_000_000, b"some words, " * 80_000):
+        machine = zlib.compressobj(1)
+        packed = b"".join(machine.compress(filler) for _ in range(300))
+        packed += machine.compress(f" {KEY} ".encode()) + machine.flush()
+        text = "x " + base64.b64encode(packed).decode()
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        spans, _, cut = unwrap(text)
+        assert {k for k, _, _ in spans} == {"access"} and cut > 1
+        assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000

@@ -30,12 +30,14 @@ def signature_size(n: int, threshold: float) -> int:
     return min(n, math.floor((1 - threshold) * largest + 1e-9) + 1)
 
 
-def spelled(text: str):
-    """The set of shingles of a text, as tuples of words."""
+def spelled(text: str, width: int = SHINGLE):
+    """The set of shingles of a text, as tuples of words; with a width of 1, its words in order."""
     words = [w for w in _split(text.translate(_LOWER)) if w]
-    if len(words) < SHINGLE:
+    if width == 1:
+        return words
+    if len(words) < width:
         return {tuple(words)} if words else set()
-    return {tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
 def _split(text):
@@ -55,13 +57,19 @@ class Block:
     first: np.ndarray
     items: np.ndarray
     threshold: float
+    short: dict  # by number of words under SHINGLE: hashes of whole items, ascending, and their items
 
     @classmethod
     def of(cls, ids, texts, threshold):
         sets = shingle_sets(pa.array(texts, pa.string()))
-        keys, owners = [], []
+        keys, owners, short = [], [], {}
         for i, s in enumerate(sets):
-            if len(s):
+            words = spelled(texts[i], 1)
+            n = len(words) if len(s) == 1 else SHINGLE
+            if n < SHINGLE:
+                whole = shingle_sets(pa.array([texts[i]], pa.string()), n)[0][0]
+                short.setdefault(n, []).append((int(whole), i))
+            elif len(s):
                 # Shingle hashes are their own random order: the smallest are the minima.
                 keys.append(s[: signature_size(len(s), threshold)])
                 owners.append(np.full(len(keys[-1]), i))
@@ -69,10 +77,13 @@ class Block:
         owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
         order = np.argsort(keys, kind="stable")
         minima, first = np.unique(keys[order], return_index=True)
-        return cls(ids, texts, sets, minima, np.append(first, len(keys)), owners[order], threshold)
+        kinds = (np.uint64, np.int64)
+        short = {n: tuple(np.array(x, k) for x, k in zip(zip(*sorted(found)), kinds)) for n, found in short.items()}
+        return cls(ids, texts, sets, minima, np.append(first, len(keys)), owners[order], threshold, short)
 
     def search(self, texts):
         """(row, item, shingles of the item, shared ones) of every hit in a string array."""
+        yield from self.search_short(texts)
         sets = shingle_sets(texts)
         sizes = [len(s) for s in sets]
         if not len(self.minima) or not sum(sizes):
@@ -103,18 +114,39 @@ class Block:
                 yield row, item, len(inside), shared
 
 
+    def search_short(self, texts):
+        """The same for items of fewer than SHINGLE words, as shingles of their own length."""
+        for width, (hashes, items) in self.short.items():
+            sets = shingle_sets(texts, width)
+            sizes = [len(s) for s in sets]
+            if not sum(sizes):
+                continue
+            flat, row_of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            low, high = (np.searchsorted(hashes, flat, side=side) for side in ("left", "right"))
+            for at in np.flatnonzero(high > low).tolist():
+                row = int(row_of[at])
+                own = spelled(texts[row].as_py(), width) if width > 1 else {(w,) for w in spelled(texts[row].as_py(), 1)}
+                for item in items[low[at] : high[at]].tolist():
+                    if tuple(spelled(self.texts[item], 1)) in own:
+                        yield row, item, 1, 1
+
+
+def keyed(items: DataFrame) -> DataFrame:
+    """item_id, text (empty for null) and the digest of the text."""
+    text = F.coalesce("text", F.lit(""))
+    return items.select("item_id", text.alias("text"), F.sha2(text, 256).alias("key"))
+
+
 def blocks(items: DataFrame, threshold: float, most: int):
-    """Broadcast blocks of the items, of about `most` shingles each by a hash of the text."""
+    """Broadcast blocks of the distinct texts of the items, of about `most` shingles each."""
     spark = items.sparkSession
-    sized = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
-    sized = save(
-        sized.withColumn("n", F.octet_length("text") / 4 + 1), work_path(spark, "items")
-    )
-    total = sized.agg(F.sum("n")).first()[0] or 0
+    texts = keyed(items).groupBy("key").agg(F.first("text").alias("text"))
+    texts = save(texts.withColumn("n", F.octet_length("text") / 4 + 1), work_path(spark, "items"))
+    total = texts.agg(F.sum("n")).first()[0] or 0
     count = max(1, math.ceil(total / most))
     for k in range(count):
-        rows = sized.where(F.pmod(F.xxhash64("text"), F.lit(count)) == k).orderBy("item_id", "text").collect()
-        yield spark.sparkContext.broadcast(Block.of([r.item_id for r in rows], [r.text for r in rows], threshold))
+        rows = texts.where(F.pmod(F.xxhash64("key"), F.lit(count)) == k).orderBy("key").collect()
+        yield spark.sparkContext.broadcast(Block.of([r.key for r in rows], [r.text for r in rows], threshold))
 
 
 def contained_items(
@@ -123,19 +155,20 @@ def contained_items(
     """(doc_id, item_id, n_item, n_shared, containment) of every item that a document holds.
 
     An item is held when `threshold` of its distinct five-word shingles (A-Z lower-cased) are in
-    the document. An item of fewer words is one shingle, its whole sequence, which only an equal
-    document holds; items and documents without words, null ones among them, take no part.
-    Repeated rows give repeated pairs; null ids stay null; extra columns are ignored; an empty
-    table on either side gives no rows.
+    the document. An item of fewer words is one shingle of its own length, which is held wherever
+    its words stand in a row; items and documents without words, null ones among them, take no
+    part. Repeated rows give repeated pairs; null ids stay null; extra columns are ignored; an
+    empty table on either side gives no rows.
 
     Items are partitioned by size: each size class has its own number of minima. With these all
     containments are found, and a document's shingles are looked up whole, however long it is.
-    The items go round in blocks of bounded size, each a pass over the documents without a shuffle.
+    Equal items are one text; the texts go round in blocks of bounded size, each a pass over the
+    documents without a shuffle, and the ids are joined to what is found.
     """
     kinds = pa.schema(
         [
             ("doc_id", pa.int64()),
-            ("item_id", pa.int64()),
+            ("key", pa.string()),
             ("n_item", pa.int64()),
             ("n_shared", pa.int64()),
             ("containment", pa.float64()),
@@ -157,18 +190,23 @@ def contained_items(
 
         return run
 
-    schema = "doc_id long, item_id long, n_item long, n_shared long, containment double"
+    schema = "doc_id long, key string, n_item long, n_shared long, containment double"
     found = [docs.select("doc_id", "text").mapInArrow(finder(b), schema) for b in blocks(items, threshold, most)]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    out = out.join(keyed(items).select("item_id", "key"), "key")
+    return out.select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, *, threshold: float = THRESHOLD, most: int = BLOCK_SHINGLES
 ) -> DataFrame:
-    """The rows of `docs`, all columns, that hold no item; see contained_items for the cases."""
+    """The rows of `docs`, all columns, that hold no item; see contained_items for the cases.
+
+    An item of one word takes all documents with that word away: leave out of `items` what is not
+    to count.
+    """
 
     def keeper(shared):
         def run(batches):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import bounded, column, save, shingle_sets
+from .common import bounded, column, fresh, save, shingle_sets
 from .graph import components
 
 #: Two sets are linked when 100 * shared >= PERCENT * united.
@@ -27,6 +29,11 @@ FLUSH = 750_000
 SHORT = 16
 #: Sets of a cluster that are compared with those of another block in one go.
 BLOCK = 64
+#: Sizes of linked sets differ by less than this factor (4 / 3, with room for rounding).
+CLASS = 1.34
+#: Bytes of text behind one shuffle partition of shingles, and buckets, each held by a worker, in it.
+PART_BYTES = 32_000_000
+BUCKETS = 16
 
 LAST, OUTSIDE = np.int64(2**40), np.int64(2**41)
 _ARRAYS = ("token", "node", "frequent", "x_token", "x_node", "own_token", "own_node", "doc", "doc_null", "doc_node", "doc_n", "doc_in")
@@ -290,11 +297,16 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     root = work_path(spark, "jaccard")
     docs = docs.select("doc_id", "text")
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many parts as the texts need, so that a bucket is as large at any size of the input.
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, math.ceil(total / PART_BYTES))
+    buckets = BUCKETS * parts
     found = (
         docs.mapInArrow(_postings(buckets), _BLOCK_DDL)
+        .repartition(parts, "bucket")
         .groupBy("bucket")
         .applyInArrow(_counted(buckets), _BLOCK_DDL)
+        .repartition(parts, "bucket")
         .groupBy("bucket")
         .applyInArrow(_prefixes, "kind string, doc_id long, node long, n long, token long, g long")
     )
@@ -386,7 +398,7 @@ def _cluster_links(clustered, texts, verified, root):
     A set shares no more with any other of its cluster than its shingles that are not its alone
     there. Sets that by this bound cannot be linked to any size the cluster has drop out; those
     with few of their own stand in the middle. What is not linked to the middle is compared with
-    all others, block by block, so no task holds a cluster.
+    all others whose size allows a link, block by block, so no task holds a cluster.
     """
     tokens = clustered.join(texts, "node").mapInArrow(_cluster_tokens, "cluster long, node long, token long")
     alone = (
@@ -414,32 +426,50 @@ def _cluster_links(clustered, texts, verified, root):
     far = possible.join(near, "node", "left_anti").select("cluster", "node")
     far = save(far, f"{root}/far")
 
-    counts = possible.groupBy("cluster").agg(F.count("*").alias("all"))
-    left = far.groupBy("cluster").agg(F.count("*").alias("open"))
-    counts = save(left.join(counts, "cluster"), f"{root}/open")
-    blocks = lambda n: F.ceil(n / BLOCK)
-    number = lambda n: F.pmod(F.xxhash64("node"), blocks(n))
-    rest = possible.select("cluster", "node").join(near, "node", "left_semi")
-    far = far.join(counts, "cluster").select(
-        "cluster", "node", number(F.col("open")).alias("i"), blocks(F.col("open")).alias("k"), blocks(F.col("all") - F.col("open")).alias("m")
-    )
-    rest = rest.join(counts, "cluster").select(
-        "cluster", "node", number(F.col("all") - F.col("open")).alias("j"), blocks(F.col("open")).alias("k")
+    # Sets are parted by size: those of linked sets lie in one class or in two neighbouring ones.
+    size_class = F.floor(F.log("n") / F.lit(math.log(CLASS))).cast("int")
+    sized = possible.select("cluster", "node", size_class.alias("c"))
+    far = sized.join(far.select("node"), "node", "left_semi")
+    rest = sized.join(near, "node", "left_semi")
+    counted = (
+        far.select("cluster", "c", F.lit(1).alias("open"))
+        .unionByName(rest.select("cluster", "c", F.lit(0).alias("open")))
+        .groupBy("cluster", "c")
+        .agg(F.sum("open").alias("open"), F.sum(1 - F.col("open")).alias("rest"))
     )
-    # Keys (i, j): blocks of open sets with each other once; (i, -1 - j): with the blocks of the rest.
-    up = far.select("cluster", "node", F.explode(F.sequence(F.col("i"), F.col("k") - 1)).alias("y"), F.col("i").alias("x"))
-    down = far.where("i > 0").select("cluster", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("i") - 1)).alias("x"), F.col("i").alias("y"))
-    out = far.where("m > 0").select("cluster", "node", F.explode(F.sequence(-F.col("m"), F.lit(-1).cast("long"))).alias("y"), F.col("i").alias("x"))
-    back = rest.select("cluster", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("x"), (-1 - F.col("j")).alias("y"))
-    names = ["cluster", "node", "x", "y"]
-    placed = (
-        up.select(*names, F.lit(0).alias("side"))
-        .unionByName(down.select(*names, F.lit(1).alias("side")))
-        .unionByName(out.select(*names, F.lit(0).alias("side")))
-        .unionByName(back.select(*names, F.lit(1).alias("side")))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    entries = lambda n: F.map_from_entries(F.collect_list(F.struct("c", blocks(n)))).alias(n)
+    counted = save(counted.groupBy("cluster").agg(entries("open"), entries("rest")), f"{root}/open")
+    of = lambda n, d: F.coalesce(F.try_element_at(F.col(n), F.col("c") + F.lit(d)), F.lit(0))
+    number = lambda n: F.pmod(F.xxhash64("node"), F.greatest(of(n, 0), F.lit(1))).cast("int").alias("i")
+    far = far.join(counted, "cluster").select("*", number("open"))
+    rest = rest.join(counted, "cluster").select("*", number("rest"))
+
+    def places(count, kind, c, side, mine_first):
+        """A place in the pair of one's own block with each of `count` others."""
+        one = lambda other: F.struct(
+            F.lit(kind).alias("kind"),
+            c.alias("c"),
+            (F.col("i") if mine_first else other).cast("int").alias("x"),
+            (other if mine_first else F.col("i")).cast("int").alias("y"),
+            F.lit(side).alias("side"),
+        )
+        none = F.array(one(F.lit(0)))
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), one)).otherwise(F.slice(none, 1, 0))
+
+    c, i = F.col("c"), F.col("i")
+    # Kind 0: open blocks of one class, each pair once; 1: with the next class; 3 + d: with the rest, d classes on.
+    own = F.filter(places(of("open", 0), 0, c, 0, True), lambda p: p["y"] >= i)
+    lower = places(i, 0, c, 1, False)
+    of_far = [own, lower, places(of("open", 1), 1, c, 0, True), places(of("open", -1), 1, c - 1, 1, False)]
+    of_far += [places(of("rest", d), 3 + d, c, 0, True) for d in (-1, 0, 1)]
+    of_rest = [places(of("open", -d), 3 + d, c - d, 1, False) for d in (-1, 0, 1)]
+    placed = far.select("cluster", "node", F.explode(F.concat(*of_far)).alias("p")).unionByName(
+        rest.select("cluster", "node", F.explode(F.concat(*of_rest)).alias("p"))
     )
-    blocks_of = placed.join(texts, "node").select("cluster", "x", "y", "side", "node", "text")
-    blocked = blocks_of.groupBy("cluster", "x", "y").applyInArrow(_block_pairs, "a long, b long")
+    placed = placed.select("cluster", "node", "p.*")
+    blocks_of = placed.join(texts, "node").select("cluster", "kind", "c", "x", "y", "side", "node", "text")
+    blocked = blocks_of.groupBy("cluster", "kind", "c", "x", "y").applyInArrow(_block_pairs, "a long, b long")
     return spokes.unionByName(save(blocked, f"{root}/block-links"))
 
 
@@ -478,13 +508,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, of one document per component: that of the smallest doc_id.
 
     A null doc_id comes last. Of rows that repeat the doc_id that stays, one is kept (the smallest
-    set hash, then text). Documents without shingles are kept, one row per doc_id.
+    set hash, then text). Documents without shingles are kept, one row per doc_id. Extra columns
+    stay, whatever their names; an empty table stays empty.
     """
     placed, empty = _placed(docs)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "node")
     winners = placed.groupBy("root").agg(F.min(order).alias("w")).select("w.*")
     winners = winners.unionByName(empty.select(order.alias("w")).select("w.*").distinct())
     winners = save(winners, work_path(docs.sparkSession, "jaccard-winners"))
+    names = [fresh(n, docs.columns) for n in ("set_node", "set_none", "set_id")]
+    row = fresh("set_row", docs.columns)
 
     def with_keys(batches):
         for batch in bounded(batches):
@@ -493,14 +526,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
             keys = [pa.array(nodes, pa.int64()), ids.is_null(), ids.fill_null(0)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *keys], names=[*batch.schema.names, *names])
 
-    names = ["__node", "__none", "__id"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    keyed = docs.mapInArrow(with_keys, f"{fields}, __node long, __none boolean, __id long")
-    winners = winners.toDF("__none", "__id", "__node")
-    first = Window.partitionBy("__none", "__id", "__node").orderBy("text")
+    keyed = docs.mapInArrow(with_keys, f"{fields}, {names[0]} long, {names[1]} boolean, {names[2]} long")
+    winners = winners.select("node", "none", "id").toDF(*names)
+    first = Window.partitionBy(*names).orderBy("text")
     return (
-        keyed.join(winners, ["__none", "__id", "__node"])
-        .withColumn("__row", F.row_number().over(first))
-        .where("__row = 1")
+        keyed.join(winners, names)
+        .withColumn(row, F.row_number().over(first))
+        .where(F.col(row) == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

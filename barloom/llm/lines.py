@@ -39,7 +39,27 @@ BOILERPLATE = (
     "follow us on",
     "licensed under",
     "powered by",
+    "alle rechte vorbehalten",
+    "datenschutzerkl\u00e4rung",
+    "nutzungsbedingungen",
+    "verwenden cookies",
+    "diese seite teilen",
+    "newsletter abonnieren",
+    "tous droits r\u00e9serv\u00e9s",
+    "politique de confidentialit\u00e9",
+    "conditions d'utilisation",
+    "utilisons des cookies",
+    "partager cette page",
+    "abonnez-vous \u00e0",
+    "todos los derechos reservados",
+    "pol\u00edtica de privacidad",
+    "t\u00e9rminos de uso",
+    "utilizamos cookies",
+    "compartir esta p\u00e1gina",
+    "suscr\u00edbete a",
 )
+#: Where a line's words are not one more than its blanks.
+UNEVEN = r"[\x09\x0B-\x0D]|\x20\x20|^\x20|\x20$"
 
 
 def _any(tests):
@@ -50,14 +70,19 @@ def _count(text: Column, pattern: str) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
-def _rule(x: Column, short: int, marked_share: float, separator_share: float) -> Column:
-    """The rule that a line (struct of line, its lower-cased form, blanks in it plus one) breaks, or null."""
+def _word_count(line: Column) -> Column:
+    blanks = F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(line.rlike(UNEVEN), F.size(F.split(F.btrim(line, F.lit(SPACE)), GAP, -1))).otherwise(blanks + 1)
+
+
+def _rule(x: Column, short: int, marked_share: float, separator_share: float, phrases) -> Column:
+    """The rule that a line (struct of line, its lower-cased form and number of words) breaks, or null."""
     line, words = x["line"], x["words"]
     separators = F.when(line.rlike(SEPARATORS), _count(line, SEPARATORS)).otherwise(0)
     marked = F.when(line.rlike(MARKED), _count(line, MARKED)).otherwise(0)
     open_end = ~F.right(line, F.lit(TAIL)).rlike(GOOD_END)
     return (
-        F.when(_any([F.contains(x["low"], F.lit(phrase)) for phrase in BOILERPLATE]), "boilerplate")
+        F.when(_any([F.contains(x["low"], F.lit(phrase)) for phrase in phrases] or [F.lit(False)]), "boilerplate")
         .when(F.greatest(F.lit(2), separator_share * words) <= separators, "navigation")
         .when((words >= short) & (open_end | (marked > marked_share * words)), "punctuation")
     )
@@ -76,10 +101,11 @@ def clean_lines(
     short_line: int = 3,
     marked_share: float = 0.3,
     separator_share: float = 0.2,
+    phrases=BOILERPLATE,
 ) -> DataFrame:
     """Every document with its counts, its text without failing lines, and whether it is kept.
 
-    A line fails as boilerplate (known phrases), navigation (two separators or more that make up
+    A line fails as boilerplate (`phrases`, lower-cased), navigation (two separators or more that make up
     `separator_share` of its words) or punctuation (`short_line` words or more without a closing
     mark, or marks in a row at more than `marked_share` of its words). A document is kept unless
     it fails the base rule (too few words, too many in repeated 3-word windows) or its failing
@@ -117,10 +143,10 @@ def clean_lines(
             lambda s: F.struct(
                 s.alias("line"),
                 F.lower(s).alias("low"),
-                (F.char_length(s) - F.char_length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("words"),
+                _word_count(s).alias("words"),
             ),
         ),
-        lambda x: F.struct(x["line"], _rule(x, short_line, marked_share, separator_share).alias("rule")),
+        lambda x: F.struct(x["line"], _rule(x, short_line, marked_share, separator_share, phrases).alias("rule")),
     )
     base = base.withColumn("hashes", hashes)
     base = base.select(

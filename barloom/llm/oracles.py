@@ -34,7 +34,7 @@ with d as (
   select r, count(distinct i + k) as n
   from counted, (select unnest([0, 1, 2]) as k) where c > 1 group by r
 ), l as (
-  select r, line, lower(line) as low, len(line) - len(replace(line, ' ', '')) + 1 as words
+  select r, line, lower(line) as low, len(regexp_extract_all(line, {_WORD})) as words
   from (select r, unnest(lines) as line from w)
 ), judged as (
   select r, line,
@@ -93,14 +93,23 @@ select sets.id as doc_id, len(sets.s)::bigint as n_shingles, min(to_id) as compo
 from sets join reach using (id) group by sets.id, len(sets.s)
 """
 
+_LOW_WORDS = f"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORD})"""
+
 CONTAINED = f"""
 with d as ({_SHINGLES % "(select doc_id as id, text from documents)"}),
 i as ({_SHINGLES % "(select item_id as id, text from benchmark)"}),
+long as (select item_id as id from benchmark where len({_LOW_WORDS}) >= 5),
 dx as (select id, unnest(s) as t from d),
-ix as (select id, len(s)::bigint as n, unnest(s) as t from i)
+ix as (select id, len(s)::bigint as n, unnest(s) as t from i where id in (select id from long))
 select dx.id as doc_id, ix.id as item_id, any_value(n) as n_item, count(*)::bigint as n_shared,
        count(*)::double / any_value(n) as containment
 from dx join ix using (t) group by dx.id, ix.id having 4 * count(*) >= 3 * any_value(n)
+union all
+select doc_id, item_id, 1::bigint, 1::bigint, 1.0::double
+from (select item_id, ' ' || array_to_string({_LOW_WORDS}, ' ') || ' ' as w from benchmark
+      where len({_LOW_WORDS}) between 1 and 4) a
+join (select doc_id, ' ' || array_to_string({_LOW_WORDS}, ' ') || ' ' as w from documents) b on contains(b.w, a.w)
 """
 
 _TERM = _text(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")

@@ -104,7 +104,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, seed: int = 0) -> DataFrame:
     empty ones among them, has null for both.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    names = [c for c in docs.columns if c not in ("log_weight", "sample_key")]
+    names = [c for c in docs.columns if c.lower() not in ("log_weight", "sample_key")]
 
     def run(batches):
         ratio = shared.value
@@ -189,11 +189,12 @@ def resample(
 
     Texts without n-grams (null, empty, white space) are never taken; copies of a text under
     different ids draw their own noise; a row that repeats another is taken or left with it; a
-    null doc_id has no label but is weighed like others; columns named log_weight or sample_key
-    are replaced and other extra columns kept; an empty table gives no rows.
+    null doc_id has no label but is weighed like others; of rows that repeat a labelled id the one
+    of the least key stands for it; columns named log_weight or sample_key, in any case, are
+    replaced and other extra columns kept; an empty table gives no rows.
 
-    Two passes over the texts without a shuffle of them; keys are written once, and selection
-    works on them.
+    Three passes over the texts without a shuffle of them: counts, keys, and the rows taken. Keys
+    are written once, and selection works on them.
     """
     ratio = fit_ratio(docs, labels, buckets=buckets, most=most)
     weighed = weigh(docs, ratio, seed)
@@ -201,8 +202,11 @@ def resample(
     keys = save(keys, work_path(docs.sparkSession, "sample-keys"))
     if k is None:
         sample = labelled_sample(labels, most)
-        found = keys.join(F.broadcast(sample), "doc_id").orderBy("doc_id", "sample_key").limit(2 * most)
-        found = found.select("good", "log_weight").toPandas()
+        # One row per labelled id, of which there are at most 2 * most.
+        found = keys.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+            F.min(F.struct("sample_key", "log_weight", "good")).alias("row")
+        )
+        found = found.select("row.good", "row.log_weight").toPandas()
         cut = cut_weight(
             found.log_weight[found.good].to_numpy(), found.log_weight[~found.good].to_numpy(), max_good_loss
         )

@@ -1,7 +1,7 @@
 import random
 
 
-from plain import documents, shingles  # noqa: F401
+from plain import documents, lower, shingles, words  # noqa: F401
 
 from barloom.llm.contamination import contained_items, decontaminate, signature_size
 
@@ -30,8 +30,12 @@ def brute(docs, items):
     for d, text in docs:
         own = shingles(text)
         for i, item in items:
-            wanted = shingles(item)
-            if wanted and 4 * len(wanted & own) >= 3 * len(wanted):
+            wanted, plain, inside = shingles(item), words(lower(item or "")), words(lower(text or ""))
+            if 0 < len(plain) < 5:
+                # A short item is one shingle of its own length.
+                if any(inside[k : k + len(plain)] == plain for k in range(len(inside))):
+                    out.append((d, i, 1, 1))
+            elif wanted and 4 * len(wanted & own) >= 3 * len(wanted):
                 out.append((d, i, len(wanted), len(wanted & own)))
     return sorted(out, key=repr)
 
@@ -56,6 +60,21 @@ def test_empty_sides(spark, documents):
     assert decontaminate(documents(docs), table.limit(0)).count() == len(docs)
 
 
+def test_short_items_inside_longer_documents(spark, documents):
+    docs = [(1, "x y Alpha  beta\nGAMMA z q"), (2, "alpha beta x gamma"), (3, "alphabeta gamma"), (4, "gamma"), (5, None)]
+    items = [(1, "alpha beta gamma"), (2, "gamma"), (2, "gamma"), (3, ""), (4, "beta gamma delta")]
+    found = contained_items(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == sorted(
+        [(1, 1), *[(d, 2) for d in (1, 2, 3, 4) for _ in range(2)]]
+    )
+
+
+def test_equal_items_are_one_text(spark, documents):
+    items = spark.createDataFrame([(i, "one two three four five six") for i in range(300)], "item_id long, text string")
+    found = contained_items(documents([(1, "zero one two three four five six")]), items, most=10)
+    assert sorted(r.item_id for r in found.collect()) == list(range(300))
+
+
 def test_signature_sizes():
     for n in range(1, 300):
         for t in (0.5, 0.75, 0.9):

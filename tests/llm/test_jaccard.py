@@ -6,6 +6,7 @@ import pytest
 from plain import documents, shingles  # noqa: F401
 
 from barloom.llm import jaccard
+from barloom.llm.jaccard import keep_one
 from barloom.llm.graph import components
 
 
@@ -103,3 +104,9 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert {got[i] for i in range(41)} == {0} and {got[i] for i in range(100, 160)} == {100}
     assert got[202] == 200 and got[300] == -5
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_with_names_that_clash(documents):
+    frame = documents([(1, "a b c"), (2, "a b c"), (3, "x y")]).withColumnsRenamed({"lang": "set_id", "n": "Set_Node", "source": "__id"})
+    got = keep_one(frame)
+    assert got.columns == frame.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]

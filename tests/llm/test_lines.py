@@ -67,6 +67,12 @@ def test_lines_and_verdicts(documents):
         ("A heading", None),
         ("He said: \"that is all.\"", None),
         ("Une phrase finie…", None),
+        ("Alle Rechte vorbehalten.", "boilerplate"),
+        ("Home \t|\tNews\t|\tSport", "navigation"),
+        # Three words and many blanks are no menu of thirteen words, and five words parted by tabs no heading.
+        ("Home      About | Contact |", "navigation"),
+        ("one\ttwo\tthree\tfour\tfive", "punctuation"),
+        ("   two     words   ", None),
     ],
 )
 def test_rules(documents, line, rule):

@@ -177,8 +177,8 @@ def write_shards(
     repeat an id follow each other, ordered by text; extra columns are ignored; an empty table
     gives no parts.
 
-    Texts are dealt out by ranges of (doc_id, text), so an id of many rows is split, and parts follow the order of ids without one task
-    seeing all. A part becomes as many shards as its ids need; a document may go on in the next
+    Texts are dealt out by ranges of doc_id and hash, so parts follow the order of ids without one
+    task seeing all, and an id of many rows is split. A part becomes as many shards as its ids need; a document may go on in the next
     shard. A worker holds the ids of one shard. Files of a failed attempt are in no manifest.
     """
     root = root or work_path(docs.sparkSession, "wavelet")
@@ -229,8 +229,9 @@ def write_shards(
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     manifest = (
-        rows.repartitionByRange("doc_id", "text")
-        .sortWithinPartitions("doc_id", "text")
+        # The ranges are found from a sample of keys, so a hash stands for the text there.
+        rows.repartitionByRange("doc_id", F.xxhash64("text"))
+        .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
         .mapInArrow(write, "part int, paths array<string>, tokens long, documents long")
         .withColumn("root", F.lit(root))
     )

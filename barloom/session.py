@@ -23,8 +23,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: spark.checkpoint.dir, or the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Folder every executor can reach: spark.checkpoint.dir, or the warehouse where that is unset.
+
+    On a cluster a local warehouse is refused: each machine would write to its own disk.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        local = "://" not in root or root.startswith("file:")
+        if local and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 
 

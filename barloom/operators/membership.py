@@ -291,8 +291,9 @@ def flags_recon(flags: DataFrame, snapshots: DataFrame, indices=None, end_year=N
     cuts = dates.select(F.col("dt").alias("cut")).distinct()
 
     # Stretches from one cut to the next, per year that they touch; the last one is open.
-    by_day = Window.orderBy("cut")
-    stretches = cuts.select("cut", F.lead("cut").over(by_day).alias("next_cut"))
+    ordered = cuts.agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+    stretches = ordered.select(F.posexplode("cuts").alias("at", "cut"), "cuts")
+    stretches = stretches.select("cut", F.get("cuts", F.col("at") + 1).alias("next_cut"))
     last_cut = cuts.agg(F.max(F.year("cut"))).scalar()
     touched = F.sequence(F.year("cut"), F.coalesce(F.year("next_cut"), F.year("cut")))
     stretches = stretches.select("cut", "next_cut", F.explode(touched).alias("_year"))

@@ -17,7 +17,7 @@ from ..sources import files
 from ..sources.files import read_bar_files
 from ..sources.tables import fetch_bars
 from ..streaming.ingest import start_ingest
-from .views import CODES, INDICES, spark_view
+from .views import CODES, INDICES, spark_view, spelled_out
 
 QUERIES = {}
 
@@ -106,10 +106,7 @@ class Inputs:
 
 def query(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = function(Inputs(tune(spark), sf_dir))
-        if dict(out.dtypes).get("seq", "").startswith("decimal"):
-            out = out.withColumn("seq", F.lpad(F.col("seq").cast("string"), 31, "0"))
-        return out
+        return spelled_out(function(Inputs(tune(spark), sf_dir)))
 
     run.__doc__ = function.__doc__
     QUERIES[function.__name__] = run

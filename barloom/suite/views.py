@@ -4,6 +4,7 @@
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Stand-ins for index names and their export codes.
 INDICES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -12,7 +13,7 @@ CODES = {"1-URGENT": "URG", "2-HIGH": "HIGH", "3-MEDIUM": "MED", "4-NOT SPECIFIE
 # The ingest position as digits: order, line and part number in fixed places.
 POSITION = """concat(lpad(cast(l_orderkey as string), 15, '0'), lpad(cast(l_linenumber as string), 3, '0'),
               lpad(cast(l_partkey as string), 13, '0'))"""
-# The same as a number, which compares and hashes faster; `query` spells it out again.
+# The same as a number, which compares and hashes faster.
 POSITION_NUMBER = """cast(cast(l_orderkey as decimal(15,0)) * 10000000000000000bd
               + cast(l_linenumber as decimal(3,0)) * 10000000000000bd + cast(l_partkey as decimal(13,0)) as decimal(31,0))"""
 
@@ -90,5 +91,12 @@ def spark_view(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.sql(text, **tables)
 
 
+def spelled_out(df: DataFrame) -> DataFrame:
+    """`df` with an ingest position that is a number spelled as its digits, as the SQL has it."""
+    if not dict(df.dtypes).get("seq", "").startswith("decimal"):
+        return df
+    return df.withColumn("seq", F.lpad(F.col("seq").cast("string"), 31, "0"))
+
+
 def duckdb_view(name) -> str:
     return VIEWS[name].format(**{t: t for t in TABLES})

@@ -7,7 +7,7 @@ from conftest import plan
 import __spark_entry__ as entry
 from barloom.suite.oracles import ORACLES
 from barloom.suite.queries import QUERIES
-from barloom.suite.views import TABLES, spark_view, duckdb_view, VIEWS
+from barloom.suite.views import TABLES, VIEWS, duckdb_view, spark_view, spelled_out
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,7 +35,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(VIEWS))
 def test_view(spark, duck, name):
-    df = spark_view(spark, SF, name)
+    df = spelled_out(spark_view(spark, SF, name))
     result = duck.execute(duckdb_view(name))
     columns = [d[0] for d in result.description]
     assert sorted_rows(df.columns, df.collect()) == sorted_rows(columns, result.fetchall())

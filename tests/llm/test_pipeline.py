@@ -1,11 +1,11 @@
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 from plain import shingles
 from test_jaccard import brute
 
 import corpus_pipeline
-from barloom.llm.encode import ChunkEncoder
 from barloom.llm.queries import tokenizer
 from barloom.llm.resampling import resample
 from barloom.llm.secrets import _masked, unwrap
@@ -52,7 +52,7 @@ def test_stages_against_plain_versions(spark, folder):
     for r in sorted(kept[4], key=lambda r: (r.doc_id, r.start)):
         assert len(ids.setdefault(r.doc_id, [])) == r.start
         ids[r.doc_id] += np.frombuffer(bytes(r.ids), "<u4").tolist()
-    own = ChunkEncoder(tokenizer("byte_bpe_50k.json")).tokenizer
+    own = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
     assert ids == {d: [*own.encode(t, add_special_tokens=False).ids, 1] for d, t in masked.items()}
 
 
@@ -62,6 +62,18 @@ def test_run_is_the_stages(spark):
     assert rows.count() > 0
 
 
+def test_odd_rows_of_the_quality_stage(spark):
+    """Texts without n-grams go; the others are weighed by the labels of the folder."""
+    stage = dict(corpus_pipeline.STAGES)["quality"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
+    odd = spark.createDataFrame(
+        [(None, None, None, None, None), (1, "", "en", None, 0), (1, " \n", "en", None, 2), (2, "a b", None, "s", 3)], docs.schema
+    )
+    kept = stage(spark, odd, SF)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {2}
+    assert stage(spark, odd.limit(0), SF).count() == 0
+
+
 @pytest.mark.parametrize("stage", [f for n, f in corpus_pipeline.STAGES if n != "quality"])
 def test_odd_rows_and_empty_tables(spark, stage):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)

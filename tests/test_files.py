@@ -1,4 +1,5 @@
 import os
+import re
 
 from conftest import bar, bars, day, rows
 from pyspark.sql import functions as F
@@ -169,3 +170,11 @@ def test_flag_exports_and_the_refusal(spark):
         raise AssertionError("not refused")
     except ValueError:
         pass
+
+
+def test_a_path_without_a_day_is_searched_once():
+    # Tries grow with the square of the path's length where the pattern may begin anywhere.
+    assert files._DAY_IN_PATH.startswith("^")
+    found = re.search(files._DAY_IN_PATH, "file:/in/2001-01-02/day=2001-01-03/part-0.txt")
+    assert found.group(1) == "2001-01-03"
+    assert re.search(files._DAY_IN_PATH, "file:/in/pairs/part-0.csv") is None

@@ -232,3 +232,13 @@ def test_reports_are_counted_while_written(spark, folder):
     assert written["flags_2001"] == 2 and written["flags_2002"] == 1 and written["range_anomalies"] == 0
     back = spark.read.option("header", True).csv(f"{folder}/out/flags")
     assert back.count() == 3 and len(back.columns) == 2 + 14 + 1
+
+
+def test_lines_are_judged_once(spark, folder):
+    write(folder, "selected.csv", HEADER, line("a"), line("b"))
+    write(folder, "skipped.csv", HEADER, line("a", price=7), line("b", price=8))
+    sides = [files.read_pairs(spark, f"{folder}/{n}.csv") for n in ("selected", "skipped")]
+    labels = []
+    found = review.match_pairs(*sides, stage=lambda df, label: labels.append(label) or df.cache())
+    assert labels == ["judged", "accepted"]
+    assert rows(found.accepted, "open") == [(7.0,)] and rows(found.refused, "open") == [(8.0,)]

@@ -101,22 +101,36 @@ def split_duplicates(df: DataFrame, keys=KEY, order=("seq",), repeated: DataFram
     )
 
 
-def append_first(stored: DataFrame, delta: DataFrame, keys=KEY, order=("seq",)) -> Appended:
+def _mark_arrivals(delta: DataFrame, stored_again: DataFrame, keys, order) -> DataFrame:
+    """`mark_copies`, and `_known` where the key is stored, by one join with both kinds of keys."""
+    copies = repeated_keys(delta, keys, order).withColumn("_known", F.lit(False))
+    stored_keys = stored_again.select(*keys, F.lit(True).alias("_known"))
+    side = copies.unionByName(stored_keys, allowMissingColumns=True).groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    side = side.agg(F.min("_first").alias("_first"), F.max("key_rows").alias("key_rows"), F.max("_known").alias("_known"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    key_rows = F.when(F.col("_first").isNull(), F.lit(1).cast("bigint")).when(
+        _order_value(order) == F.col("_first"), F.col("key_rows")
+    )
+    marked = delta.join(side, same, "left").withColumn("key_rows", key_rows)
+    known = F.coalesce("_known", F.lit(False))
+    return marked.withColumn("_known", known).drop("_first", *[f"_k_{k}" for k in keys])
+
+
+def append_first(stored: DataFrame, delta: DataFrame, keys=KEY, order=("seq",), stage=None) -> Appended:
     """Add delta rows whose key is not stored; within the delta the first row wins.
 
     `stored` is only cut down to the delta's keys, without a shuffle while those are few;
-    only `fresh` needs writing.
+    only `fresh` needs writing. `stage` (rows, label) writes down what several of the results
+    share, which else each of them works out anew.
     """
-    repeated_stored = match(stored, delta.select(*keys).distinct(), keys, "left_semi")
-    firsts = mark_copies(delta, keys, order).where(F.col("key_rows").isNotNull())
-    fresh_counted = match(firsts, repeated_stored, keys, "left_anti")
-    fresh = fresh_counted.drop("key_rows")
-    # Joins on key and order value: rows of a hot key spread over partitions.
-    spread = [*keys, *order]
-    skipped = match(delta, fresh, spread, "left_anti")
-    repeated = match(delta, fresh_counted.where("key_rows = 1"), spread, "left_anti")
-    duplicates = repeated_stored.unionByName(repeated, allowMissingColumns=True)
-    return Appended(stored.unionByName(fresh, allowMissingColumns=True), fresh, duplicates, skipped)
+    stage = stage or (lambda df, label: df)
+    stored_again = stage(match(stored, delta.select(*keys).distinct(), keys, "left_semi"), "stored-again")
+    marked = stage(_mark_arrivals(delta, stored_again, keys, order), "arrivals")
+    is_fresh = F.col("key_rows").isNotNull() & ~F.col("_known")
+    rows_of = lambda test: marked.where(test).drop("key_rows", "_known")
+    fresh = rows_of(is_fresh)
+    duplicates = stored_again.unionByName(rows_of(~is_fresh | (F.col("key_rows") > 1)), allowMissingColumns=True)
+    return Appended(stored.unionByName(fresh, allowMissingColumns=True), fresh, duplicates, rows_of(~is_fresh))
 
 
 def duplicates_not_skipped(duplicates: DataFrame, skipped: DataFrame) -> DataFrame:

@@ -102,3 +102,15 @@ def test_few_repeated_keys_shuffle_no_rows(spark, folder):
 def test_key_counts_are_ordered(spark):
     counts = dedupe.key_counts(dedupe.duplicate_rows(sample(spark))).collect()
     assert [(r.symbol, r.row_count) for r in counts] == [("A", 3), (None, 2)]
+
+
+def test_an_append_works_out_shared_rows_once(spark):
+    stored = bars(spark, [bar("A", "2001-01-01", 1, 1, 1), bar(None, "2001-01-01", 1, 1, 2), bar("D", "2001-01-01", 1, 1, 3)])
+    delta = bars(spark, [bar("A", "2001-01-01", 2, 1, 11), bar(None, "2001-01-01", 2, 1, 12), bar("B", None, 3, 1, 13), bar("B", None, 4, 1, 14), bar("C", "2001-01-02", 5, 1, 15)])
+    labels = []
+    got = dedupe.append_first(stored, delta, stage=lambda df, label: labels.append(label) or df.cache())
+    assert labels == ["stored-again", "arrivals"]
+    assert rows(got.fresh, "seq") == [(13,), (15,)]
+    assert rows(got.skipped, "seq") == [(11,), (12,), (14,)]
+    assert rows(got.duplicates, "seq") == [(1,), (11,), (12,), (13,), (14,), (2,)]
+    assert got.rows.count() == 5

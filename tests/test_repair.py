@@ -93,3 +93,10 @@ def test_from_date_limits_the_rejected_rows(spark):
         bar("A", "2001-01-03", 2, 1, 4),
     ]
     assert rows(scored(spark, data, "20010103"), "seq") == [(4,)]
+
+
+def test_only_bars_with_rejected_rows_leave_the_window(spark):
+    data = [bar("A", f"2001-01-0{d}", 10 * d, 100, d) for d in (1, 2, 3, 4)] + [bar("B", "2001-01-02", 5, 100, 9)]
+    asked = bars(spark, [bar("A", "2001-01-03", 1, 1, 20), bar("A", "2001-01-03", 2, 1, 21), bar("C", "2001-01-03", 1, 1, 22), bar("A", None, 1, 1, 23)])
+    found = repair.with_neighbours(bars(spark, data), asked)
+    assert rows(found, "symbol", "dt", "prev.open", "next.open") == [("A", "2001-01-03", 20.0, 40.0)]

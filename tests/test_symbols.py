@@ -99,3 +99,15 @@ def test_rename_stored_reports_collisions_and_repeats_safely(spark):
     assert rows(once.losers, "symbol", "old_symbol", "open") == [("NEW", "OLD", 1.0)]
     twice = symbols.rename_stored(once.rows, renames)
     assert rows(twice.rows) == rows(once.rows) and twice.losers.count() == 0
+
+
+def test_losers_and_ranked_rows_take_one_shuffle(spark):
+    stored = bars(spark, [bar("OLD", "2001-01-01", 1, 1, 1), bar("NEW", "2001-01-01", 2, 1, 2), bar("X", "2001-01-01", 3, 1, 3)])
+    renames = F.broadcast(spark.createDataFrame([("OLD", "NEW")], "old string, new string"))
+    none = stored.limit(0)
+    built = symbols.build_modified(stored, none, renames)
+    shown = built.losers._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange hashpartitioning") == 1
+    ranked = symbols.ranked_modified(stored, none, renames)
+    assert rows(ranked, "symbol", "open", "kind") == [("NEW", 1.0, "row"), ("NEW", 2.0, "loser"), ("X", 3.0, "row")]
+    assert rows(ranked.where("kind = 'row'"), "symbol", "open") == rows(built.rows, "symbol", "open")

@@ -304,3 +304,10 @@ def test_no_rows_replace_a_batch(spark, folder):
         write_batch(batch, store.path("modified_losers"), "x")
     write_batch(some, store.path("modified_losers"), "y")
     assert rows(store.read("modified_losers"), "batch") == [("y",)]
+
+
+def test_a_step_is_tried_first_once_until_the_run_ends(spark, folder):
+    store = PriceStore(spark, folder)
+    assert [store.first_try("append", "x"), store.first_try("append", "x"), store.first_try("append", "y")] == [True, False, True]
+    store.drop_staged("x")
+    assert store.first_try("append", "x")

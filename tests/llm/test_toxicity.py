@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 from plain import documents  # noqa: F401
 
@@ -108,3 +109,30 @@ def test_scores_by_the_definition():
     texts = [*corpus(30, 6)[0], "", " \n ", "SCUM! idiotic, (worthless)", "é scumé " * 20]
     got = model.scores(pa.array(texts))
     assert np.allclose(got, [plain_score(model, t) for t in texts], atol=1e-4)
+
+
+def test_every_labelled_document_counts(spark, documents):
+    texts, labels, langs = corpus(600, 9)
+    docs = documents([*enumerate(texts)]).drop("lang")
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "en").otherwise("fr"))
+    known = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(labels)], "doc_id long, quality int, toxic int")
+    for model in (toxicity.fit_toxicity(docs, known, per_class=5), toxicity.fit_toxicity(docs, known, max_bytes=0)):
+        # Words and thresholds come from all documents, also where few or none begin.
+        assert set(toxicity.forms(BAD)[0].tolist()) <= set(model.vocabulary.tolist())
+        assert set(model.thresholds) == {"", "en", "fr"}
+    model = toxicity.fit_toxicity(docs, known, per_class=5)
+    more, bad, _ = corpus(300, 10)
+    assert ((model.scores(pa.array(more)) >= 0.7) == np.array(bad, bool)).mean() > 0.95
+
+
+def test_known_forms_and_counts_of_logits(spark, documents):
+    texts, labels, langs = corpus(300, 11)
+    known = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(labels)], "doc_id long, quality int, toxic int")
+    table = toxicity.labelled_texts(documents([*enumerate(texts)]), known, 5)
+    share = float(np.mean(labels))
+    found, bad, every = toxicity.form_counts(pa.array(texts), np.array(labels, bool))
+    expected = np.unique(found[toxicity.worth_knowing(bad, every, share)])
+    assert toxicity.known_forms(table, share).tolist() == expected.tolist()
+    model = toxicity.train(texts, labels, langs)
+    counts = toxicity.logit_counts(table, model).collect()
+    assert sum(r.bad for r in counts) == sum(labels) and sum(r.bad + r.good for r in counts) == len(texts)

@@ -322,9 +322,10 @@ def calibrate_counts(model, z, bad, good, langs, at=0.7, least=40):
     if not bad.sum() or not good.sum():
         return
     middle = _median(z, bad + good)
-    spread = max(1e-6, _median(np.abs(z - middle), bad + good))
+    spread = _median(np.abs(z - middle), bad + good)
     cut = _threshold(*_merged(z, bad, good))
-    model.scale = float(np.clip(1.0, 1.0 / (spread * 10), 4.0 / spread))
+    # Where most texts have the same logit, as those without a known word, their spread says nothing.
+    model.scale = float(np.clip(1.0, 1.0 / (spread * 10), 4.0 / spread)) if spread > LOGIT_STEP else 1.0
     model.shift = float(np.log(at / (1 - at)) - model.scale * cut)
     model.thresholds = {"": at}
     for lang in sorted({x for x in langs if x is not None}):

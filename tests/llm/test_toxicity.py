@@ -136,3 +136,9 @@ def test_known_forms_and_counts_of_logits(spark, documents):
     model = toxicity.train(texts, labels, langs)
     counts = toxicity.logit_counts(table, model).collect()
     assert sum(r.bad for r in counts) == sum(labels) and sum(r.bad + r.good for r in counts) == len(texts)
+
+
+def test_equal_logits_do_not_stretch_the_scores():
+    model = toxicity.untrained(np.random.default_rng(1))
+    toxicity.calibrate_counts(model, [-1.0, 0.0, 2.0], [0, 0, 5], [3, 45, 0], [None] * 3)
+    assert model.scale == 1.0 and math.isclose(model.shift, math.log(0.7 / 0.3) - 1.0)

@@ -5,7 +5,9 @@ import numpy as np
 
 from plain import documents  # noqa: F401
 
+from barloom.llm import chunks
 from barloom.llm.chunks import GEAR, cut_texts, drop_passages, extent, gear_hashes, repeated_passages
+from barloom.llm.common import save
 
 
 def prose(rng, n):
@@ -158,3 +160,18 @@ def test_passages_by_brute_force(documents):
         covered = lambda spans: {(d, p) for d, a, b in spans for p in range(a, b)}
         assert covered(found) <= covered(expected)
         assert len(covered(found)) >= 0.97 * len(covered(expected))
+
+
+def test_staged_tables_are_packed(spark, documents, monkeypatch):
+    codecs = []
+
+    def noted(df, path, codec=None):
+        codecs.append(codec)
+        kept = save(df, path, codec)
+        assert all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+        return kept
+
+    monkeypatch.setattr(chunks, "save", noted)
+    words = " ".join(f"word{k * k}" for k in range(60))
+    found = chunks.repeated_passages(documents([(1, f"one {words}"), (2, f"two {words}")]))
+    assert {r.doc_id for r in found.collect()} == {1, 2} and codecs == ["zstd"] * len(codecs) != []

@@ -111,3 +111,24 @@ def test_losers_and_ranked_rows_take_one_shuffle(spark):
     ranked = symbols.ranked_modified(stored, none, renames)
     assert rows(ranked, "symbol", "open", "kind") == [("NEW", 1.0, "row"), ("NEW", 2.0, "loser"), ("X", 3.0, "row")]
     assert rows(ranked.where("kind = 'row'"), "symbol", "open") == rows(built.rows, "symbol", "open")
+
+
+def test_ranked_rows_meet_their_actions_by_year_in_one_shuffle(spark):
+    days = ["2000-12-31", "2001-01-01", "2001-06-01", "2002-03-01", "2004-05-05"]
+    data = [bar(s, d, 10.0 + i, 1, i) for i, (s, d) in enumerate((s, d) for s in ("A", "OLD", "NEW", "Z") for d in days)]
+    data += [bar("A", "1999-01-01", 5, 1, 90), bar(None, "2001-01-01", 6, 1, 91)]
+    stored = bars(spark, data)
+    renames = F.broadcast(spark.createDataFrame([("OLD", "NEW")], "old string, new string"))
+    actions_of = [("A", "2000-06-15", 2.0), ("A", "2002-01-01", 4.0), ("NEW", "2001-06-01", None), ("NEW", "2001-01-01", 3.0)]
+    actions_of += [("A", None, 9.0), (None, "2000-01-01", 8.0), ("OTHER", "2001-01-01", 7.0), ("A", "2002-01-01", 3.0), ("Z", "2005-01-01", 5.0)]
+    events = spark.createDataFrame(actions_of, "symbol string, d string, cum_multiplier double")
+    events = events.select("symbol", F.to_date("d").alias("dt"), "cum_multiplier")
+    built = symbols.build_modified(stored, stored.limit(0), renames)
+    ranked = actions.apply_multiplier(symbols.ranked_modified(stored, stored.limit(0), renames, events, 2004))
+    kept = ranked.where("kind = 'row'").drop("kind")
+    assert rows(kept) == rows(actions.adjust_prices(built.rows, events))
+    assert rows(ranked.where("kind = 'loser'"), "symbol", "dt", "open") == rows(built.losers, "symbol", "dt", "open")
+    # `symbol` and year deal the bars out once: neither the rank nor the actions shuffle them again.
+    shown = plan(kept.select("*"))
+    assert shown.count("Exchange rangepartitioning") == 1
+    assert "Exchange" not in shown[: shown.index("Exchange rangepartitioning")]

@@ -153,8 +153,8 @@ def _beside_by_joins(raw: DataFrame) -> DataFrame:
 
 
 def score_beside(marked: DataFrame, from_date=None) -> DataFrame:
-    """`score_skipped` from the later rows of `mark_beside`; a row without a position is no later row."""
-    later = marked.where("key_rows is null and seq is not null and beside is not null")
+    """`score_skipped` from the later rows of `mark_beside`."""
+    later = marked.where("key_rows is null and beside is not null")
     if from_date is not None:
         later = later.where(F.col("dt") >= day(from_date))
     # The rows of a key stand beside the same kept bars.

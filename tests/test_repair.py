@@ -129,3 +129,9 @@ def test_bars_meet_their_neighbours_in_one_shuffle_of_all_rows(spark, monkeypatc
     raw = bars(spark, [bar("A", f"2001-01-0{d}", 10 * d, 100, d) for d in (1, 2, 2, 3)])
     shown = plan(repair.mark_beside(raw))
     assert shown.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in shown
+
+
+def test_a_rejected_row_without_a_position_is_scored(spark):
+    data = [bar("A", "2001-01-01", 10, 1, 1), bar("A", "2001-01-02", 50, 1, 2), (*bar("A", "2001-01-02", 11, 1), None)]
+    marked = repair.mark_beside(bars(spark, data))
+    assert rows(repair.score_beside(marked), "open", "seq", "kept_open") == [(11.0, None, 50.0)]

@@ -1,6 +1,8 @@
 from conftest import bar, bars, plan, rows
+from pyspark.sql import functions as F
 
 from barloom.operators import dedupe, repair
+from barloom.schemas import BAR
 
 
 def scored(spark, data, from_date=None):
@@ -135,3 +137,28 @@ def test_a_rejected_row_without_a_position_is_scored(spark):
     data = [bar("A", "2001-01-01", 10, 1, 1), bar("A", "2001-01-02", 50, 1, 2), (*bar("A", "2001-01-02", 11, 1), None)]
     marked = repair.mark_beside(bars(spark, data))
     assert rows(repair.score_beside(marked), "open", "seq", "kept_open") == [(11.0, None, 50.0)]
+
+
+def test_arrivals_meet_stored_bars_as_in_an_append(spark, monkeypatch):
+    raw = _odd_raw(spark).where("dt is not null")
+    odd = [bar(None, "2001-03-01", 5, 1, -9), bar("HOT", "2001-02-27", 6, 1, -8), bar("HOT", "2001-03-01", 4, 1, -7)]
+    old = [bar(f"S{i % 4}", f"200{i % 2}-0{1 + i % 5}-1{i % 3}", float(i), 3, -100 - i) for i in range(40, 70)]
+    stored = dedupe.first_rows(bars(spark, odd + old))
+    appended = dedupe.append_first(stored, raw)
+    for from_day in ("2000-01-01", "2000-04-01"):
+        late = F.col("dt") < from_day
+        kept = stored.unionByName(appended.fresh.where(~late))
+        expected = rows(repair.score_skipped(kept, appended.skipped, from_day))
+        for limit in (repair.LARGE_ROWS, 50):
+            monkeypatch.setattr(repair, "LARGE_ROWS", limit)
+            marked = repair.mark_arrivals(stored, raw, from_day).cache()
+            columns = [*BAR, "seq"]
+            assert rows(marked.where("kind in ('lone', 'first')"), *columns) == rows(appended.fresh.where(~late), *columns)
+            assert rows(marked.where("kind = 'late'"), *columns) == rows(appended.fresh.where(late), *columns)
+            assert rows(marked.where("kind = 'later'"), *columns) == rows(appended.skipped, *columns)
+            repeated = marked.where("kind in ('stored', 'first', 'later') or key_rows > 1")
+            assert rows(repeated, *columns) == rows(appended.duplicates, *columns)
+            assert rows(repair.score_beside(marked.where("kind = 'later'"), from_day)) == expected
+    monkeypatch.setattr(repair, "large_buckets", lambda raw: [])
+    shown = plan(repair.mark_arrivals(stored.coalesce(1), raw.coalesce(1), "2000-01-01"))
+    assert shown.count("Exchange rangepartitioning") == 1

@@ -311,3 +311,28 @@ def test_a_step_is_tried_first_once_until_the_run_ends(spark, folder):
     assert [store.first_try("append", "x"), store.first_try("append", "x"), store.first_try("append", "y")] == [True, False, True]
     store.drop_staged("x")
     assert store.first_try("append", "x")
+
+
+def test_a_later_batch_lists_no_bar_of_an_earlier_one_as_loser(spark, folder):
+    store = PriceStore(spark, f"{folder}/store")
+    write(f"{folder}/files", "2001-01-02.txt", "A,20010102,1,1,1,1,1", "A,20010103,2,2,2,2,1")
+    write(f"{folder}/files", "2001-01-03.txt", "A,20010103,3,3,3,3,1", "A,20010104,4,4,4,4,1")
+    start_ingest(store, f"{folder}/files", max_files=1).awaitTermination()
+    assert store.read("bars").count() == store.read("bars_mod").count() == 3
+    assert store.read("bars_skipped").count() == 1
+    again = store.read("modified_losers").join(store.read("bars").select(*BAR), BAR, "left_semi")
+    assert again.count() == 0
+
+
+def test_new_rows_are_adjusted_by_year_like_by_intervals(spark):
+    from barloom.operators import actions
+
+    data = [bar(s, d, 10.0, 1, 1) for s in ("A", "B", None) for d in ("2000-12-31", "2001-01-01", "2001-06-01", "2002-03-01")]
+    new = actions.without_adjustment(bars(spark, data, seq=True).drop("seq"))
+    events = spark.createDataFrame(
+        [("A", "1999-06-15", 2.0), ("A", "2001-06-01", 4.0), ("A", "2002-01-01", None), ("B", "2001-01-02", 3.0), (None, "2000-01-01", 8.0), ("A", None, 9.0)],
+        "symbol string, d string, cum_multiplier double",
+    ).select("symbol", F.to_date("d").alias("dt"), "cum_multiplier")
+    got = actions.adjust_in_years(new, events, [2000, 2001, 2002], "2001-01-01")
+    assert rows(got, *BARS_MOD) == rows(actions.adjust_prices(new, events, "2001-01-01"), *BARS_MOD)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange rangepartitioning") == 1

@@ -132,3 +132,16 @@ def test_ranked_rows_meet_their_actions_by_year_in_one_shuffle(spark):
     shown = plan(kept.select("*"))
     assert shown.count("Exchange rangepartitioning") == 1
     assert "Exchange" not in shown[: shown.index("Exchange rangepartitioning")]
+
+
+def test_rows_to_append_take_one_shuffle_and_repeat_no_stored_row(spark):
+    renames = F.broadcast(spark.createDataFrame([("OLD", "NEW")], "old string, new string"))
+    stored = actions.without_adjustment(bars(spark, [bar("NEW", "2001-01-02", 1), bar(None, "2001-01-02", 5)], seq=False))
+    new = [bar("OLD", "2001-01-02", 2, seq=1), bar("OLD", "2001-01-03", 3, seq=2), bar("NEW", "2001-01-03", 4, seq=3)]
+    new += [bar(None, "2001-01-02", 6, seq=4), bar(None, "2001-01-03", 7, seq=5)]
+    result = symbols.append_modified(stored, bars(spark, new), bars(spark, new).limit(0), renames)
+    assert rows(result.fresh, "symbol", "open") == [("NEW", 3.0), (None, 7.0)]
+    assert rows(result.skipped, "symbol", "open") == [("NEW", 2.0), ("NEW", 4.0), (None, 6.0)]
+    assert rows(result.duplicates, "open") == [(1.0,), (2.0,), (3.0,), (4.0,), (5.0,), (6.0,)]
+    shown = result.skipped._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in shown

@@ -91,6 +91,13 @@ def symbol_history(
     `buffer` is present when buffer days are fetched, `idxflag` with an index name,
     `split` with multipliers. Adjusted prices fall back to the raw ones column by column.
     """
+    history = _flagged(bars_mod, start, end, symbols, buffer_start, index_name, snapshots, flag_mode)
+    if multipliers is not None:
+        history = add_splits(history, multipliers)
+    return history.withColumnRenamed("dt", "date")
+
+
+def _flagged(bars_mod, start, end, symbols, buffer_start, index_name, snapshots, flag_mode) -> DataFrame:
     first_day = check_dates(start, end, buffer_start)
     if flag_mode not in ("asof", "exact"):
         raise ValueError(f"flag_mode must be asof or exact, not {flag_mode}")
@@ -104,9 +111,7 @@ def symbol_history(
             history = index_flag(history, snapshots, index_name)
         else:
             history = index_flag_exact(history, snapshots, index_name, first_day)
-    if multipliers is not None:
-        history = add_splits(history, multipliers)
-    return history.withColumnRenamed("dt", "date")
+    return history
 
 
 def index_history(
@@ -121,13 +126,17 @@ def index_history(
 ) -> DataFrame:
     """History of every symbol that was in the index on a fetched day, buffer days included.
 
-    The symbols are found from keys and flags alone, combined map-side; the served rows meet
-    them in a semi-join.
+    Bars are flagged once and meet the flags of their symbol in the same task: they are unique per
+    symbol and date, so a window partition is bounded by the calendar.
     """
     ever = change_history(snapshots, index_name).select("symbol")
-    flagged = symbol_history(bars_mod, start, end, ever, buffer_start, index_name, snapshots, None, flag_mode)
-    inside = flagged.where("idxflag = 1").select("symbol")
-    return symbol_history(bars_mod, start, end, inside, buffer_start, index_name, snapshots, multipliers, flag_mode)
+    flagged = _flagged(bars_mod, start, end, ever, buffer_start, index_name, snapshots, flag_mode)
+    columns = flagged.columns
+    inside = F.max("idxflag").over(Window.partitionBy("symbol"))
+    history = flagged.withColumn("_inside", inside).where("_inside = 1").select(*columns)
+    if multipliers is not None:
+        history = add_splits(history, multipliers)
+    return history.withColumnRenamed("dt", "date")
 
 
 def slice_history(history: DataFrame, symbols=None, start=None, end=None, strict=False) -> DataFrame:

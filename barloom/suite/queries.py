@@ -781,8 +781,10 @@ def symbol_history(x):
 
 @query
 def index_history(x):
-    bars = x.table("bars_mod", x.adjusted())
-    return history.index_history(bars, x.snapshots(), INDEX, START, END, BUFFER, x.multipliers_raw)
+    # The actions are found once, for the prices and for the splits.
+    multipliers = x.table("multipliers", x.multipliers_raw)
+    bars = x.table("bars_mod", actions.adjust_prices(x.bars_mod(), actions.cum_multiplier(multipliers)))
+    return history.index_history(bars, x.snapshots(), INDEX, START, END, BUFFER, multipliers)
 
 
 @query

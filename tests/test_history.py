@@ -88,6 +88,17 @@ def test_index_history_keeps_all_days_of_members(spark):
     assert rows(got, "symbol", "idxflag") == [("A", 0), ("A", 0), ("A", 0), ("A", 1)]
 
 
+def test_index_history_reads_the_bars_once(spark, folder):
+    stored(spark).write.parquet(f"{folder}/bars")
+    snapshots = snapshot_rows(spark, [("X", "A", "2001-01-05"), ("X", "B", "2001-01-06")])
+    for mode in ("asof", "exact"):
+        got = history.index_history(
+            spark.read.parquet(f"{folder}/bars"), snapshots, "X", "20010103", "20010105", "20010102", flag_mode=mode
+        )
+        assert rows(got, "symbol", "idxflag") == [("A", 0), ("A", 0), ("A", 0), ("A", 1)]
+        assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
 def test_slice(spark):
     served = history.symbol_history(stored(spark), "20010102", "20010105")
     assert rows(history.slice_history(served, "A", "2001-01-03"), "date") == [("2001-01-03",)]

@@ -45,16 +45,18 @@ def build(ids: np.ndarray, docs: dict[str, list]) -> bytes:
     zeros, current = [], ids
     for plane in range(bits):
         one = (current & current.dtype.type(1 << (bits - 1 - plane))) != 0
-        packed = np.packbits(one).tobytes()
+        bytes_of = np.packbits(one)
+        packed = bytes_of.tobytes()
         size = BLOCK_BITS // 8
         blocks = [zlib.compress(packed[i : i + size], 1) for i in range(0, len(packed), size)]
-        ones = np.add.reduceat(one, np.arange(0, n, BLOCK_BITS), dtype=np.int64) if n else np.zeros(0, np.int64)
+        counts = np.bitwise_count(bytes_of)
+        ones = np.add.reduceat(counts, np.arange(0, len(counts), size), dtype=np.int64) if n else np.zeros(0, np.int64)
         put(f"starts{plane}", np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8").tobytes())
         put(f"ranks{plane}", np.concatenate([[0], np.cumsum(ones)]).astype("<u8").tobytes())
         put(f"blocks{plane}", b"".join(blocks))
         zeros.append(n - int(ones.sum()))
         if plane < bits - 1:
-            current = np.concatenate([current[~one], current[one]])
+            current = np.concatenate([current.take(np.flatnonzero(~one)), current.take(np.flatnonzero(one))])
     header = json.dumps({"n": n, "bits": bits, "zeros": zeros, "sections": sections, "dtype": ids.dtype.str}).encode()
     return b"".join([MAGIC, len(header).to_bytes(4, "little"), header, *parts])
 
@@ -161,8 +163,8 @@ class Shard:
             one = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n).view(bool)
             above = np.empty_like(out)
             zeros = self.zeros[plane]
-            above[~one] = out[:zeros]
-            above[one] = out[zeros:] | self.dtype.type(1 << (self.bits - 1 - plane))
+            above[np.flatnonzero(~one)] = out[:zeros]
+            above[np.flatnonzero(one)] = out[zeros:] | self.dtype.type(1 << (self.bits - 1 - plane))
             out = above
         return out
 

@@ -315,7 +315,7 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str, *, block_bytes:
     """
     spark = docs.sparkSession
     path = work_path(spark, "aligned")
-    blocks = save(align_documents(docs, path_a, path_b, block_bytes), path)
+    blocks = save(align_documents(docs, path_a, path_b, block_bytes), path, wide=True)
     held = blocks.select("block", F.explode(F.arrays_zip("a", "b", "docs")).alias("p")).select("block", "p.a", "p.b", "p.docs")
     counts = held.groupBy("a", "b").agg(F.sum("docs").alias("count"))
     counts = save(counts, work_path(spark, "pair-counts"))

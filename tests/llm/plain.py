@@ -1,7 +1,9 @@
 """Plain versions of what the operators compute, and the frame that their tests share."""
 
+import glob
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -23,6 +25,12 @@ def shingles(text, width=5):
     return {tuple(w)} if w else set()
 
 
+def row_groups(folder):
+    """Rows of each row group of the Parquet files of a folder."""
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{folder}/*.parquet")]
+    return [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+
+
 @pytest.fixture
 def documents(spark):
     """A frame of documents from (doc_id, text) pairs, with a column of a clashing name."""

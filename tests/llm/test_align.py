@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from plain import documents  # noqa: F401
+from plain import documents, row_groups  # noqa: F401
 
 from barloom.llm import align
 from barloom.llm.encode import byte_letters
@@ -104,6 +104,15 @@ def test_against_brute_force(documents, block_bytes):
     assert expected[6][:2] == (0, 0) and expected[7][0] > 0
 
 
+def test_blocks_are_read_a_few_at_a_time(documents, monkeypatch, tmp_path):
+    """A file of many blocks has row groups of a few: a reader holds no more however long the file is."""
+    monkeypatch.setattr(align, "work_path", lambda spark, label: str(tmp_path / label))
+    docs = documents([(i, f"text number {i}") for i in range(40)]).coalesce(1)
+    assert align.aligned_documents(docs, A, B, block_bytes=1).count() == 40
+    found = row_groups(tmp_path / "aligned")
+    assert sum(found) == 40 and max(found) <= 4
+
+
 def test_no_documents(documents):
     assert align.aligned_documents(documents([(1, "x")]).limit(0), A, B).count() == 0
 

@@ -97,7 +97,7 @@ def build_index(docs: DataFrame, path: str | None = None, *, shard_bytes: int =
         "shard long, n_docs long, n_terms long, doc_id array<long>, n array<long>, terms array<string>, "
         "df array<int>, places array<int>, tf array<int>",
     )
-    return save(shards, path or work_path(docs.sparkSession, "index"))
+    return save(shards, path or work_path(docs.sparkSession, "index"), wide=True)
 
 
 @dataclass

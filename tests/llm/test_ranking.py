@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from plain import documents, lower  # noqa: F401
+from plain import documents, lower, row_groups  # noqa: F401
 
 from barloom.llm import ranking
 
@@ -74,6 +74,14 @@ def test_against_brute_force(documents, benchmark, sizes):
     assert got == brute_force(DOCS, ITEMS, sizes.get("k", 20))
 
 
+def test_shards_are_read_a_few_at_a_time(documents, tmp_path):
+    """A file of many shards has row groups of a few: a reader holds no more however long the file is."""
+    docs = documents([(i, f"text number {i}") for i in range(40)]).coalesce(1)
+    assert ranking.build_index(docs, str(tmp_path / "index"), shard_bytes=1).count() == 40
+    found = row_groups(tmp_path / "index")
+    assert sum(found) == 40 and max(found) <= 4
+
+
 def test_empty_tables(documents, benchmark):
     docs, items = documents(DOCS), benchmark(ITEMS)
     assert search(docs.limit(0), items) == []

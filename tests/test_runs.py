@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from conftest import bar, bars, day, rows
@@ -87,6 +88,46 @@ def test_interrupted_delta_run_can_be_started_again(spark, folder, monkeypatch):
     assert rows(store.read("bars_mod"), *BARS_MOD) == rows(whole.read("bars_mod"), *BARS_MOD)
 
 
+@pytest.mark.parametrize("step", ["symbols.ranked_modified", "repair.score_beside"])
+def test_a_load_drops_staged_copies_that_it_needs_no_more(spark, folder, monkeypatch, step):
+    feed(spark, folder)
+    renames, multipliers = inputs(spark, folder)
+    store, whole = (PriceStore(spark, f"{folder}/{name}") for name in ("store", "whole"))
+    module, name = step.split(".")
+    held = []
+
+    def lost(*a, **k):
+        held.extend(label for label in ("raw", "marked", "scores") if store.is_staged(label, "full"))
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(getattr(runs, module), name, lost)
+        with pytest.raises(RuntimeError):
+            runs.full_load(store, f"{folder}/files", renames, multipliers)
+    assert held == (["scores"] if name == "ranked_modified" else ["marked"])
+    runs.full_load(store, f"{folder}/files", renames, multipliers)
+    runs.full_load(whole, f"{folder}/files", renames, multipliers)
+    for table in ("bars", "bars_skipped", "bars_duplicates", "bars_replace", "bars_unverified", "modified_losers"):
+        assert rows(store.read(table), *BAR) == rows(whole.read(table), *BAR), table
+    assert rows(store.read("bars_mod"), *BARS_MOD) == rows(whole.read("bars_mod"), *BARS_MOD)
+
+
+def test_files_of_a_shuffle_go_with_its_query(spark, folder):
+    """They would else stay until the driver collects its garbage, which a large run may never do."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    spark.range(1000).repartition(5, "id").write.parquet(f"{folder}/rows")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+
 def test_new_actions_and_renames_on_stored_rows(spark, folder):
     feed(spark, folder)
     renames, multipliers = inputs(spark, folder)
